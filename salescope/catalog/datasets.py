@@ -175,15 +175,29 @@ CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 @query(
     "preprocess_recommendation",
     star_sql(
-        """SELECT customer_sk, product_sk, round(total_spent, 6) AS total_spent,
-        round(average_spend, 6) AS average_spend FROM interactions"""
+        f"""SELECT customer_sk, product_sk, {_scaled_sql('purchase_count', 'interactions')},
+        round(total_spent, 6) AS total_spent, round(average_spend, 6) AS average_spend
+        FROM interactions"""
     ),
 )
 def preprocess_recommendation(spark, folder):
-    """``purchase_count`` is dropped: over 99 % of the pairs met once."""
     return _fitted(spark, folder, "recommendation")
 
 
+CUSTOMER_SCALED = ("total_orders", "products_purchased", "stores_used", "customer_lifetime_days")
+
+
+def _customer_model_sql(extra):
+    return star_sql(
+        "SELECT customer_sk, campaigns_used_scaled AS campaigns_used, * EXCLUDE "
+        "(customer_sk, campaigns_used_scaled) FROM (SELECT customer_sk, "
+        + ", ".join(_scaled_sql(c, "customer_features") for c in CUSTOMER_SCALED)
+        + ", " + _scaled_sql("campaigns_used", "customer_features") + "_scaled, "
+        + _one_hot_sql("customer_segment", SEGMENTS)
+        + f", round(average_order_value, 6) AS average_order_value, {extra})"
+    )
+
+
 @query("preprocess_churn")
 def preprocess_churn(spark, folder):
     return _fitted(spark, folder, "churn")

@@ -1 +1,221 @@
-"""Registered later."""
+"""Cleaning, validation and profiling."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from salescope.catalog.registry import as_days, query, rounded, star_sql
+from salescope.operators import cleaning, profiling, validation
+from salescope.operators.metrics import aggregate_metric  # noqa: F401
+from salescope.plans import datasets
+from salescope.sources import adapter
+
+
+def _messy_customers(spark, folder):
+    """The customers twice, with padded names: cleaning must bring back one of each."""
+    base = adapter.table(spark, folder, "customer").select(
+        "c_custkey", F.concat(F.lit("  "), "c_name", F.lit(" ")).alias("c_name"),
+        F.when(F.col("c_custkey") % 7 == 0, F.lit(float("inf")))
+        .otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 5 == 0, F.lit("no date"))
+        .otherwise(F.lit("1997-03-04")).alias("signup_date"),
+    )
+    return base.unionByName(base)
+
+
+@query(
+    "clean_tables",
+    """SELECT c_custkey, trim('  ' || c_name || ' ') AS c_name,
+      CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal,
+      CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE DATE '1997-03-04' END AS signup_date
+    FROM customer""",
+)
+def clean_tables(spark, folder):
+    return as_days(cleaning.clean_dataframe(_messy_customers(spark, folder)), "signup_date")
+
+
+def _gappy_customers(spark, folder):
+    """Customers with missing figures and segments, each row twice."""
+    base = adapter.table(spark, folder, "customer").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 6 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.when(F.col("c_custkey") % 9 != 0, F.col("c_acctbal")).alias("target"),
+    )
+    return base.unionByName(base)
+
+
+def _gap_sql(target):
+    gaps = """SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS c_acctbal,
+      CASE WHEN c_custkey % 6 <> 0 THEN c_mktsegment END AS c_mktsegment,
+      CASE WHEN c_custkey % 9 <> 0 THEN c_acctbal END AS target FROM customer"""
+    return f"""WITH gaps AS ({gaps})
+      SELECT c_custkey, round(coalesce(c_acctbal, (SELECT quantile_cont(c_acctbal, 0.5)
+        FROM gaps)), 6) AS c_acctbal, coalesce(c_mktsegment, 'Unknown') AS c_mktsegment,
+        round({target}, 6) AS target FROM gaps"""
+
+
+@query("clean_ml", _gap_sql("target"))
+def clean_ml(spark, folder):
+    out = cleaning.clean_ml_dataframe(_gappy_customers(spark, folder), ["target"])
+    return rounded(out, "c_acctbal", "target")
+
+
+@query("clean_raw", _gap_sql("coalesce(target, (SELECT quantile_cont(target, 0.5) FROM gaps))"))
+def clean_raw(spark, folder):
+    out = cleaning.clean_feature_dataset_raw(_gappy_customers(spark, folder))
+    return rounded(out, "c_acctbal", "target")
+
+
+# table -> key columns, in the SQL below
+KEYS = {
+    "campaigns": ("campaign_sk", "campaign_id"),
+    "customers": ("customer_sk", "customer_id"),
+    "dates": ("date_sk",),
+    "products": ("product_sk", "product_id"),
+    "salespersons": ("salesperson_sk", "salesperson_id"),
+    "stores": ("store_sk", "store_id"),
+    "fact_sales": ("sales_sk", "sales_id"),
+}
+PK_CTE = "pk AS (" + " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{c}' AS column_name,
+    CAST(count_if({c} IS NULL) AS BIGINT) AS nulls,
+    count(*) - (count(DISTINCT {c}) + CAST(max(CAST({c} IS NULL AS INTEGER)) AS BIGINT))
+      AS duplicates FROM {t}"""
+    for t, cs in KEYS.items()
+    for c in cs
+) + ")"
+LINKS = (
+    ("customer_sk", "customers", "customer_sk"),
+    ("product_sk", "products", "product_sk"),
+    ("store_sk", "stores", "store_sk"),
+    ("salesperson_sk", "salespersons", "salesperson_sk"),
+    ("campaign_sk", "campaigns", "campaign_sk"),
+    ("sales_date", "dates", "full_date"),
+)
+FK_CTE = "fk AS (" + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, '{t}' AS parent_table, count(*) AS missing FROM fact_sales
+    WHERE {'CAST(sales_date AS DATE)' if c == 'sales_date' else c} NOT IN (SELECT {k} FROM {t})"""
+    for c, t, k in LINKS
+) + ")"
+RULES_CTE = """rules AS (
+  SELECT 'campaign_ends_after_start' AS rule, CAST(count_if(end_date_sk < start_date_sk) AS BIGINT)
+    AS bad_rows FROM campaigns
+  UNION ALL SELECT 'amount_not_negative', CAST(count_if(total_amount < 0) AS BIGINT)
+  FROM fact_sales)"""
+
+
+@query(
+    "pk_check",
+    star_sql("SELECT *, nulls = 0 AND duplicates = 0 AS passed FROM pk", PK_CTE),
+)
+def pk_check(spark, folder):
+    from functools import reduce
+
+    parts = [
+        validation.validate_primary_keys(df, name)
+        for name, df in adapter.star(spark, folder).tables().items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("fk_check", star_sql("SELECT *, missing = 0 AS passed FROM fk", FK_CTE))
+def fk_check(spark, folder):
+    return validation.validate_foreign_keys(adapter.star(spark, folder))
+
+
+@query("business_rules", star_sql("SELECT *, bad_rows = 0 AS passed FROM rules", RULES_CTE))
+def business_rules(spark, folder):
+    return validation.validate_business_rules(adapter.star(spark, folder))
+
+
+@query(
+    "star_validation",
+    star_sql(
+        """SELECT 'primary_key' AS "check", table_name || '.' || column_name AS subject,
+          nulls + duplicates AS bad_rows, nulls = 0 AND duplicates = 0 AS passed FROM pk
+        UNION ALL SELECT 'foreign_key', column_name, missing, missing = 0 FROM fk
+        UNION ALL SELECT 'business_rule', rule, bad_rows, bad_rows = 0 FROM rules""",
+        PK_CTE,
+        FK_CTE,
+        RULES_CTE,
+    ),
+)
+def star_validation(spark, folder):
+    return validation.validate_star_schema(adapter.star(spark, folder))
+
+
+@query(
+    "ml_dataset_check",
+    star_sql(
+        """SELECT 'rows' AS "check", '' AS subject, count(*) AS value FROM churn
+        UNION ALL SELECT 'columns', '', 15
+        UNION ALL SELECT 'null_cells', '', 0
+        UNION ALL SELECT 'duplicate_rows', '', 0
+        UNION ALL SELECT 'constant', 'first_name', 1
+        UNION ALL SELECT 'target_values', 'churn_label', count(DISTINCT churn_label) FROM churn"""
+    ),
+)
+def ml_dataset_check(spark, folder):
+    from salescope.catalog.datasets import churn
+
+    return profiling.validate_ml_dataframe(churn(spark, folder), datasets.TARGETS["churn"])
+
+
+PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+
+def _profile_sql(column, dtype):
+    x = f"CAST({column} AS DOUBLE)"
+    stats = f"""count({column}) AS count, round(avg({x}), 4) AS mean,
+      round(stddev_samp({x}), 4) AS std, min({x}) AS min, max({x}) AS max,
+      round(skewness({x}), 4) AS skew, round(quantile_cont({x}, 0.25), 4) AS p25,
+      round(quantile_cont({x}, 0.5), 4) AS p50, round(quantile_cont({x}, 0.75), 4) AS p75"""
+    return f"""SELECT '{column}' AS column_name, '{dtype}' AS type, count(*) AS row_count,
+      CAST(count_if({column} IS NULL) AS BIGINT) AS nulls,
+      count(DISTINCT {column}) AS distinct_values, {stats} FROM lineitem"""
+
+
+@query(
+    "feature_profile",
+    " UNION ALL ".join(
+        _profile_sql(c, "int" if c == "l_linenumber" else "double") for c in PROFILED
+    )
+    + """ UNION ALL SELECT 'l_returnflag', 'string', count(*),
+      CAST(count_if(l_returnflag IS NULL) AS BIGINT), count(DISTINCT l_returnflag),
+      NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM lineitem""",
+)
+def feature_profile(spark, folder):
+    lines = adapter.table(spark, folder, "lineitem").select(*PROFILED, "l_returnflag")
+    return rounded(
+        profiling.inspect_dataset(lines), "mean", "std", "skew", "p25", "p50", "p75", digits=4
+    )
+
+
+@query(
+    "constant_columns",
+    star_sql("SELECT 'first_name' AS column_name, count(DISTINCT first_name) AS distinct_values, "
+             "max(c) AS top_count FROM (SELECT first_name, count(*) OVER "
+             "(PARTITION BY first_name) AS c FROM churn)"),
+)
+def constant_columns(spark, folder):
+    from salescope.catalog.datasets import churn
+
+    profile = profiling.column_profile(churn(spark, folder))
+    found = profiling.constant_columns(profile, datasets.protected_columns("churn"))
+    return found.select("column_name", "distinct_values", "top_count")
+
+
+@query(
+    "high_cardinality_columns",
+    star_sql("SELECT 'last_name' AS column_name, count(DISTINCT last_name) AS distinct_values "
+             "FROM churn"),
+)
+def high_cardinality_columns(spark, folder):
+    from salescope.catalog.datasets import churn
+    from salescope.functions.columns import string_columns
+
+    frame = churn(spark, folder)
+    profile = profiling.column_profile(frame)
+    found = profiling.high_cardinality_columns(profile, string_columns(frame))
+    return found.select("column_name", "distinct_values")

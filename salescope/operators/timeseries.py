@@ -74,10 +74,10 @@ def fill_periods(series: DataFrame, freq: str) -> DataFrame:
     """
     step = F.expr(FREQUENCIES[freq][0])
     following = F.lead("__start").over(Window.orderBy("__start"))
-    last_empty = F.coalesce(F.date_sub(following, 1), F.col("__start"))
     values = [c for c in series.columns if c != "__start"]
-    gaps = series.select(
-        *series.columns, F.explode(F.sequence("__start", last_empty, step)).alias("__slot")
+    ends = series.withColumn("__end", F.coalesce(F.date_sub(following, 1), F.col("__start")))
+    gaps = ends.select(
+        *series.columns, F.explode(F.sequence("__start", "__end", step)).alias("__slot")
     )
     present = F.col("__slot") == F.col("__start")
     return gaps.select(
