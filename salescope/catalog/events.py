@@ -1 +1,234 @@
-"""Registered later."""
+"""Event banks, row events and streaming metrics."""
+
+from __future__ import annotations
+
+from functools import reduce
+from uuid import uuid4
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from salescope.catalog.registry import query, star_sql
+from salescope.functions.columns import money
+from salescope.session import shared_dir
+from salescope.sources import adapter
+from salescope.streaming import metrics, transport
+
+
+def fresh(spark, name):
+    """A new folder for one run, where all executors can reach it."""
+    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def event_stream(spark, folder):
+    """The ``events`` table as a file stream."""
+    schema = adapter.table(spark, folder, "events").schema
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return adapter.as_sales_events(files.parquet(folder))
+
+
+def fact_events(spark, folder):
+    sales = adapter.fact_sales(spark, folder)
+    return sales.select(
+        F.col("sales_id").cast("string").alias("sales_id"),
+        "customer_sk",
+        "product_sk",
+        F.col("total_amount").cast("double").alias("total_amount"),
+        "sales_date",
+    )
+
+
+@query(
+    "event_bank_roundtrip",
+    star_sql(
+        """SELECT customer_sk, count(*) AS n, CAST(sum(total_amount) AS DOUBLE) AS revenue,
+        CAST(min(sales_date) AS DATE) AS first_day, CAST(max(sales_date) AS DATE) AS last_day
+        FROM fact_sales GROUP BY customer_sk"""
+    ),
+)
+def event_bank_roundtrip(spark, folder):
+    bank = fresh(spark, "bank")
+    transport.write_event_bank(fact_events(spark, folder), bank)
+    return (
+        transport.read_event_bank(spark, bank)
+        .groupBy("customer_sk")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(money("total_amount")).cast("double").alias("revenue"),
+            F.to_date(F.min("sales_date")).alias("first_day"),
+            F.to_date(F.max("sales_date")).alias("last_day"),
+        )
+    )
+
+
+ROW_TABLES = {
+    "customer": ("c_custkey", "c_name", "c_mktsegment"),
+    "part": ("p_partkey", "p_name", "p_size"),
+    "supplier": ("s_suppkey", "s_name"),
+}
+
+
+def _envelopes(spark, folder, name):
+    rows = adapter.table(spark, folder, name).select(*ROW_TABLES[name])
+    return transport.row_events(rows, name)
+
+
+@query(
+    "row_events",
+    """SELECT 'row_loaded' AS event_type, 'customer' AS "table",
+    CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_mktsegment': c_mktsegment})
+      AS VARCHAR) AS payload FROM customer""",
+)
+def row_events(spark, folder):
+    return _envelopes(spark, folder, "customer")
+
+
+@query(
+    "stream_row_events",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", count(*) AS n, CAST(sum({c[0]}) AS BIGINT) AS key_sum FROM {t}"""
+        for t, c in ROW_TABLES.items()
+    ),
+)
+def stream_row_events(spark, folder):
+    """Produce row events of three tables, consume them as one stream, route by table."""
+    topic = fresh(spark, "topic")
+    envelopes = reduce(DataFrame.unionByName, [_envelopes(spark, folder, t) for t in ROW_TABLES])
+    transport.send_to_files(envelopes, topic)
+    key = F.coalesce(*[F.get_json_object("payload", f"$.{c[0]}") for c in ROW_TABLES.values()])
+    return metrics.running_aggregate(
+        transport.stream_from_files(spark, topic).filter(F.col("event_type") == "row_loaded"),
+        ["table"],
+        {"n": F.count(F.lit(1)), "key_sum": F.sum(key.cast("long"))},
+        fresh(spark, "routed"),
+    )
+
+
+@query(
+    "event_validity",
+    star_sql(
+        """SELECT amount IS NOT NULL AND product_sk IS NOT NULL AND customer_sk IS NOT NULL AS valid,
+        count(*) AS n, CAST(coalesce(sum(CAST(amount AS DECIMAL(18,4))), 0) AS DOUBLE) AS revenue
+        FROM (SELECT CASE WHEN event_type <> 'error' THEN value END AS amount, user_id AS customer_sk,
+          json_extract_string(props, '$.k') AS product_sk FROM events) GROUP BY 1"""
+    ),
+)
+def event_validity(spark, folder):
+    """Events of type ``error`` lose their amount here, so they are dead letters."""
+    events = adapter.table(spark, folder, "events").withColumn(
+        "value", F.when(F.col("event_type") != "error", F.col("value"))
+    )
+    valid, dead = metrics.split_events(adapter.as_sales_events(events))
+    counted = [
+        part.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(money("total_amount")), F.lit(0)).cast("double").alias("revenue"),
+        ).withColumn("valid", F.lit(flag))
+        for part, flag in ((valid, True), (dead, False))
+    ]
+    return counted[0].unionByName(counted[1])
+
+
+EVENT_SUM = "CAST(sum(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS revenue"
+
+
+@query(
+    "stream_totals",
+    star_sql(f"SELECT {EVENT_SUM}, count(*) AS transactions FROM sales_events"),
+)
+def stream_totals(spark, folder):
+    return metrics.stream_totals(event_stream(spark, folder), fresh(spark, "totals"))
+
+
+@query(
+    "stream_products",
+    star_sql(
+        """SELECT product_sk, count(*) AS n FROM sales_events
+        WHERE product_sk <> 0 GROUP BY product_sk"""
+    ),
+)
+def stream_products(spark, folder):
+    stream = event_stream(spark, folder)
+    return metrics.stream_products(stream, fresh(spark, "products"), skip_zero_keys=True)
+
+
+@query(
+    "stream_customers",
+    star_sql(
+        f"""SELECT customer_sk, {EVENT_SUM} FROM sales_events
+        WHERE customer_sk <> 0 GROUP BY customer_sk"""
+    ),
+)
+def stream_customers(spark, folder):
+    stream = event_stream(spark, folder)
+    return metrics.stream_customers(stream, fresh(spark, "customers"), skip_zero_keys=True)
+
+
+@query(
+    "stream_daily",
+    star_sql(
+        f"SELECT strftime(sales_date, '%Y-%m-%d') AS day, {EVENT_SUM} FROM sales_events GROUP BY 1"
+    ),
+)
+def stream_daily(spark, folder):
+    return metrics.stream_daily(event_stream(spark, folder), fresh(spark, "daily"))
+
+
+@query(
+    "stream_monthly",
+    star_sql(
+        f"SELECT strftime(sales_date, '%Y-%m') AS month, {EVENT_SUM} FROM sales_events GROUP BY 1"
+    ),
+)
+def stream_monthly(spark, folder):
+    return metrics.stream_monthly(event_stream(spark, folder), fresh(spark, "monthly"))
+
+
+MONTHLY = """SELECT strftime(sales_date, '%Y-%m') AS key, CAST(sum(total_amount) AS DOUBLE) AS value
+  FROM fact_sales GROUP BY 1"""
+DAILY = """SELECT strftime(sales_date, '%Y-%m-%d') AS key, CAST(sum(total_amount) AS DOUBLE) AS value
+  FROM fact_sales GROUP BY 1"""
+HEAD = """SELECT 'total_revenue' AS section, '' AS key,
+    round(CAST(sum(total_amount) AS DOUBLE), 2) AS value FROM fact_sales
+  UNION ALL SELECT 'transactions', '', CAST(count(*) AS DOUBLE) FROM fact_sales
+  UNION ALL SELECT * FROM (SELECT 'top_products', CAST(product_sk AS VARCHAR),
+    CAST(count(*) AS DOUBLE) AS v FROM fact_sales WHERE product_sk <> 0
+    GROUP BY product_sk ORDER BY v DESC, product_sk LIMIT 10)
+  UNION ALL SELECT * FROM (SELECT 'top_customers', CAST(customer_sk AS VARCHAR),
+    CAST(sum(total_amount) AS DOUBLE) AS v FROM fact_sales WHERE customer_sk <> 0
+    GROUP BY customer_sk ORDER BY v DESC, customer_sk LIMIT 10)"""
+
+
+def summary(spark, folder):
+    """Replay the fact as an event bank and fold it."""
+    bank = fresh(spark, "bank")
+    transport.write_event_bank(fact_events(spark, folder), bank)
+    state = metrics.process_events(
+        transport.stream_event_bank(spark, bank), fresh(spark, "fold"), skip_zero_keys=True
+    )
+    return metrics.event_summary(state)
+
+
+@query(
+    "event_summary",
+    star_sql(
+        f"""{HEAD} UNION ALL SELECT 'daily_sales', * FROM ({DAILY})
+        UNION ALL SELECT 'monthly_sales', * FROM ({MONTHLY})"""
+    ),
+)
+def event_summary(spark, folder):
+    return summary(spark, folder)
+
+
+@query(
+    "event_report",
+    star_sql(
+        f"""{HEAD}
+        UNION ALL SELECT 'monthly_sales', * FROM (SELECT * FROM ({MONTHLY}) ORDER BY key LIMIT 12)
+        UNION ALL SELECT 'months_tracked', '', CAST(count(*) AS DOUBLE) FROM ({MONTHLY})
+        UNION ALL SELECT 'days_tracked', min(key) || ' to ' || max(key), CAST(count(*) AS DOUBLE)
+        FROM ({DAILY})"""
+    ),
+)
+def event_report(spark, folder):
+    return metrics.event_report(summary(spark, folder))

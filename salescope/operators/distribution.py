@@ -93,13 +93,23 @@ def concentration_analysis(df: DataFrame, value: str, key: str) -> DataFrame:
     the entities, from the top, that reaches 80 % of the total.  All NULL when
     the total is not positive.
     """
-    scan = ordered_scan(
+    return concentration_figures(concentration_scan(df, value, key), value)
+
+
+def concentration_scan(df: DataFrame, value: str, key: str, **scan) -> DataFrame:
+    """Entities from the highest value down: position, running sum ``run``, ``whole`` and ``n``."""
+    return ordered_scan(
         df.filter(F.col(value).isNotNull()),
         [F.desc(value), F.asc(key)],
         running={"run": F.col(value)},
         totals={"whole": F.col(value), "n": F.lit(1).cast("long")},
         row_number="position",
+        **scan,
     )
+
+
+def concentration_figures(scan: DataFrame, value: str) -> DataFrame:
+    """The one-row result of ``concentration_analysis`` from its scan."""
     whole = F.max("whole").cast("double")
     n = F.max("n")
     columns: list[Column] = []

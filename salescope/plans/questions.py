@@ -19,7 +19,6 @@ from salescope.operators import distribution as dist
 from salescope.operators import timeseries as ts
 from salescope.operators.aggregates import grouped
 from salescope.operators.metrics import basket_size, lookup_join, summary_statistics
-from salescope.operators.ordered import ordered_scan
 from salescope.operators.scoring import weighted_score
 
 
@@ -102,19 +101,14 @@ def period_share(d: SalesData) -> DataFrame:
 def concentration(d: SalesData, key: str, with_rank: bool = False) -> DataFrame:
     """Q4 to Q6: Pareto rows of every entity beside the concentration figures."""
     sums = dist.exact_sums(d.lines, key, "total_amount")
-    scan = ordered_scan(
-        sums,
-        [F.desc("total_amount"), F.asc(key)],
-        running={"__run": F.col("total_amount")},
-        totals={"__all": F.col("total_amount")},
-        dense_rank=("total_amount", "rank") if with_rank else None,
-    )
-    figures = dist.concentration_analysis(sums, "total_amount", key)
+    rank = {"dense_rank": ("total_amount", "rank")} if with_rank else {}
+    scan = dist.concentration_scan(sums, "total_amount", key, **rank)
+    figures = dist.concentration_figures(scan, "total_amount")
     row = figures.select(F.struct(*figures.columns).alias("c")).scalar()
     return scan.select(
         key,
         F.col("total_amount").cast("double").alias("total_amount"),
-        percent("__run", "__all").alias("cumulative_pct"),
+        percent("run", "whole").alias("cumulative_pct"),
         *(["rank"] if with_rank else []),
         *[row.getField(c).alias(c) for c in figures.columns],
     )
