@@ -32,6 +32,7 @@ ID_SUFFIXES = ("_id", "_sk")
 ID_NAMES = ("id", "sales_id")
 # ---- end of fixed values ----
 MAX_INDICATORS = 1000
+UNKNOWN_CODE = -1.0  # a value the fit has not seen
 
 
 def identifier_columns(columns: Sequence[str]) -> list[str]:
@@ -98,7 +99,8 @@ class Preprocessor:
     def encode(self, df: DataFrame) -> DataFrame:
         out = df.drop(*self.dropped)
         for column, table in self.codes.items():
-            out = out.join(table, column, "left").drop(column).withColumnRenamed("__code", column)
+            known = F.coalesce(F.col("__code"), F.lit(UNKNOWN_CODE))
+            out = out.join(table, column, "left").withColumn(column, known).drop("__code")
         for column, values in self.one_hot.items():
             out = out.withColumns(one_hot_columns(column, values)).drop(column)
         return out

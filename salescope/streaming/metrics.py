@@ -153,10 +153,12 @@ def process_events(stream: DataFrame, folder: str, skip_zero_keys: bool = False)
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read twice below
         sums = batch_increments(batch, skip_zero_keys)
         sums.write.mode("overwrite").parquet(f"{folder}/increments/batch={batch_id}")
         _, dead = split_events(batch)
         dead.write.mode("overwrite").json(f"{folder}/dead/batch={batch_id}")
+        batch.unpersist()
 
     run = (
         stream.writeStream.foreachBatch(write)
