@@ -46,7 +46,8 @@ fact_sales AS (
          o_orderdate AS sales_date,
          CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
               AS DECIMAL(18,4)) AS total_amount
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  LEFT JOIN customer ON o_custkey = c_custkey),
 sales_lines AS (
   SELECT l_orderkey AS sales_id, o_custkey AS customer_sk, l_partkey AS product_sk,
          l_suppkey AS store_sk, l_linenumber AS line_number,

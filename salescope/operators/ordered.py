@@ -30,6 +30,7 @@ def ordered_scan(
     totals: Mapping[str, Column] | None = None,
     row_number: str | None = None,
     dense_rank: tuple[str, str] | None = None,
+    unwanted: Column | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Add order-dependent columns to ``df``.
@@ -41,6 +42,9 @@ def ordered_scan(
     row_number  name of a 1-based position column
     dense_rank  (value column, name): rank without gaps of a column that is
                 the first entry of ``order``
+    unwanted    leave out the pieces of a cut group for which this holds; it may
+                use ``<running>_before`` and ``<running>_after`` (the sums up to
+                the piece and including it) and the totals
     partitions  number of range partitions; by default Spark decides
     """
     by = list(by)
@@ -56,11 +60,13 @@ def ordered_scan(
         {f"__run_{n}": c for n, c in sums.items()} | {f"__tot_{n}": c for n, c in whole.items()}
     )
 
-    carried = _carry(tagged, by, list(sums), list(whole), dense_rank)
+    carried = _carry(tagged, by, list(sums), list(whole), dense_rank, unwanted)
 
     local = Window.partitionBy(PART, *by)
     upto = local.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = tagged.join(F.broadcast(carried), [PART, *by], "left")
+    if unwanted is not None:
+        out = out.filter(~F.coalesce(F.col("__unwanted"), F.lit(False)))
     columns: dict[str, Column] = {}
     for name in sums:
         here = F.sum(f"__run_{name}").over(upto)
@@ -74,7 +80,7 @@ def ordered_scan(
     return out.select(*df.columns, *[c.alias(n) for n, c in columns.items()])
 
 
-def _carry(tagged, by, sums, whole, dense):
+def _carry(tagged, by, sums, whole, dense, unwanted):
     """What every partition needs to know about the ones before it.
 
     Only groups that cross a partition boundary are kept, so there are at most
@@ -111,7 +117,14 @@ def _carry(tagged, by, sums, whole, dense):
             "__off_dense",
             F.coalesce(F.sum("__distinct").over(before), F.lit(0)) - F.sum("__cut").over(upto),
         )
-    keep = [f"__off_{n}" for n in sums] + [f"__all_{n}" for n in whole]
+    if unwanted is not None:
+        seen = {f"{n}_before": F.coalesce(F.col(f"__off_{n}"), F.lit(0)) for n in sums}
+        carried = carried.withColumns(seen | {n: F.col(f"__all_{n}") for n in whole})
+        carried = carried.withColumns(
+            {f"{n}_after": F.col(f"{n}_before") + F.col(f"__run_{n}") for n in sums}
+        ).withColumn("__unwanted", unwanted)
+    keep = ["__unwanted"] if unwanted is not None else []
+    keep += [f"__off_{n}" for n in sums] + [f"__all_{n}" for n in whole]
     keep += ["__off_dense"] if dense else []
     return carried.select(PART, *by, *keep)
 
@@ -192,31 +205,41 @@ def exact_quantiles(
     """
     squash = {} if by else _squash_far_values(df, columns, list(quantiles.values()))
     counts = value_counts(df, columns, by, squash)
+    positions = {n: (F.col("total") - 1) * F.lit(float(q)) for n, q in quantiles.items()}
+
+    def holds(position: Column, first: Column, last: Column) -> Column:
+        return (first <= position) & (position <= last)
+
+    def wanted(first: Column, last: Column) -> Column:
+        hits = [
+            holds(edge(p), first, last) for p in positions.values() for edge in (F.floor, F.ceil)
+        ]
+        return reduce(lambda a, b: a | b, hits)
+
+    # Of a group cut by partitions, only the pieces with a wanted position are scanned.
     scan = ordered_scan(
         counts,
         [F.col("value")],
         by=[*by, "metric"],
         running={"upto": F.col("n")},
         totals={"total": F.col("n")},
+        unwanted=~wanted(F.col("upto_before"), F.col("upto_after") - 1),
         partitions=partitions,
     )
-    picks = []
-    wanted = F.lit(False)
     first, last = F.col("upto") - F.col("n"), F.col("upto") - 1
-    for name, q in quantiles.items():
-        position = (F.col("total") - 1) * F.lit(float(q))
+    picks = []
+    for name, position in positions.items():
         low, high = F.floor(position), F.ceil(position)
-        holds_low = (first <= low) & (low <= last)
-        holds_high = (first <= high) & (high <= last)
-        wanted = wanted | holds_low | holds_high
         for column in columns:
             mine = F.col("metric") == column
+            below = mine & holds(low, first, last)
+            above = mine & holds(high, first, last)
             picks += [
-                F.max(F.when(mine & holds_low, F.col("value"))).alias(f"__lo_{column}_{name}"),
-                F.max(F.when(mine & holds_high, F.col("value"))).alias(f"__hi_{column}_{name}"),
+                F.max(F.when(below, F.col("value"))).alias(f"__lo_{column}_{name}"),
+                F.max(F.when(above, F.col("value"))).alias(f"__hi_{column}_{name}"),
                 F.max(F.when(mine, position - low)).alias(f"__w_{column}_{name}"),
             ]
-    rows = scan.filter(wanted)
+    rows = scan.filter(wanted(first, last))
     picked = rows.groupBy(*by).agg(*picks) if by else rows.agg(*picks)
     out = []
     for column in columns:

@@ -14,29 +14,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def net_amount(price: str = "l_extendedprice", discount: str = "l_discount"):
-    gross = F.col(price).cast("decimal(18,2)")
-    return money(gross * (1 - F.col(discount).cast("decimal(4,2)")))
+    """Price less discount.  12 and 4 digits give a product of 18, the widest
+    decimal Spark keeps in a single long."""
+    return money(F.col(price).cast("decimal(12,2)") * (1 - F.col(discount).cast("decimal(4,2)")))
 
 
-def fact_sales(spark: SparkSession, folder: str) -> DataFrame:
+def fact_sales(spark: SparkSession, folder: str, territory: bool = False) -> DataFrame:
     """One row per order line.
 
-    No join here carries a broadcast hint: Spark broadcasts the customer side
-    while its size allows and shuffles beyond that.
+    ``territory`` adds the salesperson, who comes with the customer.  No join
+    here carries a broadcast hint: Spark broadcasts a side while its size
+    allows and shuffles beyond that.
     """
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
-    territory = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
-        territory, orders.o_custkey == territory.c_custkey
-    )
+    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    if territory:
+        people = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
+        joined = joined.join(people, orders.o_custkey == people.c_custkey, "left")
+    seller = [F.col("c_nationkey").cast("long").alias("salesperson_sk")] if territory else []
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("sales_sk"),
         F.col("l_orderkey").alias("sales_id"),
         F.col("o_custkey").alias("customer_sk"),
         F.col("l_partkey").alias("product_sk"),
         F.col("l_suppkey").alias("store_sk"),
-        F.col("c_nationkey").cast("long").alias("salesperson_sk"),
+        *seller,
         F.substring("o_orderpriority", 1, 1).cast("long").alias("campaign_sk"),
         F.col("o_orderdate").alias("sales_date"),
         net_amount().alias("total_amount"),
@@ -51,7 +54,7 @@ def sales_lines(spark: SparkSession, folder: str) -> DataFrame:
     """
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
-    freight = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_tax").cast("decimal(4,2)")
+    freight = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_tax").cast("decimal(4,2)")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("l_orderkey").alias("sales_id"),
         F.col("o_custkey").alias("customer_sk"),
@@ -155,7 +158,7 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
 
 def star(spark: SparkSession, folder: str) -> StarSchema:
     return StarSchema(
-        fact_sales=fact_sales(spark, folder),
+        fact_sales=fact_sales(spark, folder, territory=True),
         customers=customers(spark, folder),
         products=products(spark, folder),
         stores=stores(spark, folder),
