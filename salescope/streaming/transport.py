@@ -12,12 +12,18 @@ from salescope.sources.schema import ENVELOPE_SCHEMA, EVENT_SCHEMA
 BATCH_SIZE = 5000
 ROW_LOADED = "row_loaded"
 # ---- end of fixed values ----
+# Spark's own JSON form would cut times to milliseconds.
+ISO_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 
 
 def write_event_bank(events: DataFrame, folder: str, batch_size: int = BATCH_SIZE) -> None:
     """JSON files of at most ``batch_size`` events each, dates in ISO form."""
     writer = events.select(*[f.name for f in EVENT_SCHEMA.fields if f.name in events.columns]).write
-    writer.mode("overwrite").option("maxRecordsPerFile", batch_size).json(folder)
+    writer = writer.mode("overwrite").option("maxRecordsPerFile", batch_size)
+    writer.options(**ISO_TIMES).json(folder)
 
 
 def read_event_bank(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,7 +43,7 @@ def row_events(df: DataFrame, table_name: str) -> DataFrame:
     return df.select(
         F.lit(ROW_LOADED).alias("event_type"),
         F.lit(table_name).alias("table"),
-        F.to_json(F.struct(*df.columns)).alias("payload"),
+        F.to_json(F.struct(*df.columns), ISO_TIMES).alias("payload"),
     )
 
 
