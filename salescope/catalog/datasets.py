@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from salescope.catalog.registry import as_days, query, rounded, star_sql
 from salescope.operators.cleaning import clean_ml_dataframe
-from salescope.operators.ordered import ordered_scan  # noqa: F401
 from salescope.plans import datasets, features, manifest, preprocess, splits
+from salescope.session import durable
 from salescope.sources import adapter
 
 
@@ -146,7 +146,7 @@ def forecast_dataset(spark, folder):
 
 def _fitted(spark, folder, name):
     """The whole chain fitted on all rows, so that a single SQL query can check it."""
-    clean = clean_ml_dataframe(DATASETS[name](spark, folder), datasets.TARGETS[name])
+    clean = durable(clean_ml_dataframe(DATASETS[name](spark, folder), datasets.TARGETS[name]))
     out, _ = preprocess.preprocess(name, clean, fit_on="all")
     doubles = [c for c, t in out.dtypes if t == "double"]
     return rounded(out, *doubles)
@@ -184,36 +184,69 @@ def preprocess_recommendation(spark, folder):
     return _fitted(spark, folder, "recommendation")
 
 
-CUSTOMER_SCALED = ("total_orders", "products_purchased", "stores_used", "customer_lifetime_days")
+def _scaled(columns, source):
+    return ", ".join(_scaled_sql(c, source) for c in columns)
 
 
-def _customer_model_sql(extra):
-    return star_sql(
-        "SELECT customer_sk, campaigns_used_scaled AS campaigns_used, * EXCLUDE "
-        "(customer_sk, campaigns_used_scaled) FROM (SELECT customer_sk, "
-        + ", ".join(_scaled_sql(c, "customer_features") for c in CUSTOMER_SCALED)
-        + ", " + _scaled_sql("campaigns_used", "customer_features") + "_scaled, "
-        + _one_hot_sql("customer_segment", SEGMENTS)
-        + f", round(average_order_value, 6) AS average_order_value, {extra})"
-    )
+CUSTOMER_SCALED = ("total_orders", "products_purchased", "stores_used", "customer_lifetime_days")
+MONEY_SQL = "round(average_order_value, 6) AS average_order_value"
 
 
-@query("preprocess_churn")
+# ``campaigns_used`` is not constant at sf0.01 and ``first_name`` is; ``last_name`` has as many
+# values as rows.  Dates go, and so do the columns that give the target away.
+@query(
+    "preprocess_churn",
+    star_sql(
+        f"""SELECT customer_sk, {_scaled(CUSTOMER_SCALED, 'churn')},
+        {_scaled_sql('campaigns_used', 'churn')}, total_spent, {MONEY_SQL}, churn_label,
+        {_one_hot_sql('customer_segment', SEGMENTS)} FROM churn"""
+    ),
+)
 def preprocess_churn(spark, folder):
     return _fitted(spark, folder, "churn")
 
 
-@query("preprocess_ltv")
+@query(
+    "preprocess_ltv",
+    star_sql(
+        f"""SELECT customer_sk, {_scaled(CUSTOMER_SCALED, 'customer_features')},
+        {_scaled_sql('campaigns_used', 'customer_features')},
+        {_scaled_sql('days_since_last_purchase', 'customer_features')},
+        {MONEY_SQL}, total_spent AS customer_ltv,
+        {_one_hot_sql('customer_segment', SEGMENTS)} FROM customer_features"""
+    ),
+)
 def preprocess_ltv(spark, folder):
     return _fitted(spark, folder, "ltv")
 
 
-@query("preprocess_demand")
+CODED = ("brand", "product_name", "origin_location")
+
+
+@query(
+    "preprocess_demand",
+    star_sql(
+        f"""SELECT product_sk, total_units_sold, round(average_sales_value, 6)
+          AS average_sales_value, {_scaled(('customers_purchased', 'stores_sold_in', *CODED), 'coded')},
+        {_one_hot_sql('category', CATEGORIES)} FROM coded""",
+        "coded AS (SELECT pf.* REPLACE (dense_rank() OVER (ORDER BY pf.brand) - 1 AS brand), "
+        "dense_rank() OVER (ORDER BY product_name) - 1 AS product_name, "
+        "dense_rank() OVER (ORDER BY origin_location) - 1 AS origin_location "
+        "FROM product_features pf LEFT JOIN products p ON pf.product_sk = p.product_sk)",
+    ),
+)
 def preprocess_demand(spark, folder):
     return _fitted(spark, folder, "demand")
 
 
-@query("preprocess_forecast")
+@query(
+    "preprocess_forecast",
+    star_sql(
+        f"""SELECT date, daily_revenue, round(future_revenue, 6) AS future_revenue, {ROLLING_SQL},
+        {_scaled(('transaction_count', 'day_of_week', 'month', 'quarter', 'year', 'weekday'),
+                 'forecast')} FROM forecast"""
+    ),
+)
 def preprocess_forecast(spark, folder):
     return _fitted(spark, folder, "forecast")
 

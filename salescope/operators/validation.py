@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.sources.schema import FOREIGN_KEYS, PRIMARY_KEYS, StarSchema
@@ -15,67 +15,92 @@ def validate_primary_keys(df: DataFrame, table_name: str) -> DataFrame:
 
     Duplicates are the rows beyond the first of each value, NULL counted as a
     value.  A table without known keys yields no rows; a missing key column fails.
+    All key columns are checked in one pass.
     """
-    rows = []
-    for column in PRIMARY_KEYS.get(table_name, ()):
-        if column not in df.columns:
-            one = df.sparkSession.range(1)
-            rows.append(_key_row(one, table_name, column, F.lit(None), F.lit(None)))
-            continue
-        # Count per key first: the shuffle carries one row per key and task.
-        keys = df.groupBy(F.col(column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        sums = keys.agg(
-            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
-        )
-        rows.append(_key_row(sums, table_name, column, F.col("nulls"), F.col("duplicates")))
-    if not rows:
-        return _key_row(df.sparkSession.range(0), table_name, "", F.lit(0), F.lit(0))
-    return reduce(DataFrame.unionByName, rows)
-
-
-def _key_row(df, table_name, column, nulls, duplicates):
-    nulls, duplicates = nulls.cast("long"), duplicates.cast("long")
-    return df.select(
+    wanted = PRIMARY_KEYS.get(table_name, ())
+    present = [c for c in wanted if c in df.columns]
+    keys = _key_counts(df, {c: F.col(c) for c in present})
+    sums = keys.groupBy("column_name").agg(
+        F.sum(F.when(F.col("key").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
+        F.sum(F.col("n") - 1).alias("duplicates"),
+    )
+    rows = _names(df, wanted).join(sums, "column_name", "left")
+    known = F.col("column_name").isin(present)
+    counted = {c: F.when(known, F.coalesce(c, F.lit(0))) for c in ("nulls", "duplicates")}
+    return rows.withColumns(counted).select(
         F.lit(table_name).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        nulls.alias("nulls"),
-        duplicates.alias("duplicates"),
-        F.coalesce((nulls == 0) & (duplicates == 0), F.lit(False)).alias("passed"),
+        "column_name",
+        "nulls",
+        "duplicates",
+        F.coalesce((F.col("nulls") == 0) & (F.col("duplicates") == 0), F.lit(False)).alias("passed"),
     )
 
 
-def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """``(missing)``: child rows whose key is not in the parent.
+def _names(df: DataFrame, names) -> DataFrame:
+    return df.sparkSession.createDataFrame([(n,) for n in names], "column_name string")
+
+
+def _key_counts(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``(column_name, key, n)`` of several key columns, as text, in one pass.
+
+    Rows are counted per key before the shuffle, so a hot key costs one row per task.
+    """
+    if not keys:
+        return df.sparkSession.createDataFrame([], "column_name string, key string, n long")
+    cells = [
+        F.struct(F.lit(name).alias("column_name"), key.cast("string").alias("key"))
+        for name, key in keys.items()
+    ]
+    long = df.select(F.explode(F.array(*cells)).alias("cell"))
+    return long.groupBy("cell.column_name", "cell.key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def missing_keys(child: DataFrame, links: dict[str, tuple[Column, DataFrame, Column]]) -> DataFrame:
+    """``(column_name, missing)``: child rows per link whose key no parent row has.
 
-    A NULL key is missing unless the parent has a NULL key too.  Child rows are
-    counted per key before the join, so a hot key costs one row.
+    ``links`` maps a name to the child's key, the parent and its key.  A NULL
+    key is missing unless the parent has a NULL key too.  The child is read
+    once and joined once, whatever the number of links.
     """
-    keys = child.groupBy(F.col(key).alias("ck")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(parent_key).alias("pk"))
-    lost = keys.join(known, F.col("ck").eqNullSafe(F.col("pk")), "left_anti")
-    return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("missing"))
+    counts = _key_counts(child, {name: key for name, (key, _, _) in links.items()})
+    parents = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(name).alias("p_name"), key.cast("string").alias("p_key"))
+            for name, (_, parent, key) in links.items()
+        ],
+    )
+    same = (F.col("column_name") == F.col("p_name")) & F.col("key").eqNullSafe(F.col("p_key"))
+    lost = counts.join(parents, same, "left_anti")
+    sums = lost.groupBy("column_name").agg(F.sum("n").alias("missing"))
+    rows = _names(child, links).join(sums, "column_name", "left")
+    return rows.withColumn("missing", F.coalesce("missing", F.lit(0)))
 
 
 def validate_foreign_keys(star: StarSchema) -> DataFrame:
     """``(column_name, parent_table, missing, passed)``; dates match by day."""
     tables = star.tables()
-    rows = []
-    for child_name, links in FOREIGN_KEYS.items():
-        for column, (parent_name, parent_key) in links.items():
-            child, parent = tables[child_name], tables[parent_name]
-            if parent_name == "dates":
-                child = child.withColumn(column, F.to_date(column))
-                parent = parent.withColumn(parent_key, F.to_date(parent_key))
-            rows.append(
-                orphans(child, column, parent, parent_key).select(
-                    F.lit(column).alias("column_name"),
-                    F.lit(parent_name).alias("parent_table"),
-                    "missing",
-                    (F.col("missing") == 0).alias("passed"),
-                )
+    parts = []
+    for child_name, columns in FOREIGN_KEYS.items():
+        child = tables[child_name]
+        links = {}
+        for column, (parent_name, parent_key) in columns.items():
+            parent = tables[parent_name]
+            day = parent_name == "dates"
+            # as text, keys only match when both sides have the same type
+            dtype = "date" if day else parent.schema[parent_key].dataType.simpleString()
+            child_key, key = F.col(column).cast(dtype), F.col(parent_key).cast(dtype)
+            links[column] = (child_key, parent, key)
+        names = F.create_map(*[F.lit(x) for c, (p, _) in columns.items() for x in (c, p)])
+        parts.append(
+            missing_keys(child, links).select(
+                "column_name",
+                F.element_at(names, F.col("column_name")).alias("parent_table"),
+                "missing",
+                (F.col("missing") == 0).alias("passed"),
             )
-    return reduce(DataFrame.unionByName, rows)
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 def validate_business_rules(star: StarSchema) -> DataFrame:

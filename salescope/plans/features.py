@@ -9,15 +9,17 @@ from salescope.functions.columns import floor_days
 from salescope.operators.aggregates import builtin
 from salescope.operators.metrics import lookup_join
 from salescope.operators.timeseries import rolling_average
+from salescope.session import durable
 
 
 def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per customer with sales; recency counts from the latest sale of all."""
-    latest = sales.agg(F.max("sales_date")).scalar()
-    per_customer = (
-        sales.filter(F.col("customer_sk").isNotNull())
-        .groupBy("customer_sk")
-        .agg(
+    """One row per customer with sales; recency counts from the latest sale of all.
+
+    The sales are read once: the aggregate, one row per customer, is written
+    out, and the latest date comes from it.
+    """
+    per_customer = durable(
+        sales.groupBy("customer_sk").agg(
             F.count("sales_id").alias("total_orders"),
             builtin("sum", "total_amount").alias("total_spent"),
             builtin("mean", "total_amount").alias("average_order_value"),
@@ -27,12 +29,15 @@ def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
             F.count_distinct("store_sk").alias("stores_used"),
             F.count_distinct("campaign_sk").alias("campaigns_used"),
         )
-        .withColumn(
-            "customer_lifetime_days", floor_days("first_purchase_date", "last_purchase_date")
-        )
-        .withColumn("days_since_last_purchase", floor_days(F.col("last_purchase_date"), latest))
     )
-    return lookup_join(per_customer, customers, "customer_sk", "customer_sk", ["customer_segment"])
+    latest = per_customer.agg(F.max("last_purchase_date")).scalar()
+    known = per_customer.filter(F.col("customer_sk").isNotNull()).withColumns(
+        {
+            "customer_lifetime_days": floor_days("first_purchase_date", "last_purchase_date"),
+            "days_since_last_purchase": floor_days(F.col("last_purchase_date"), latest),
+        }
+    )
+    return lookup_join(known, customers, "customer_sk", "customer_sk", ["customer_segment"])
 
 
 def product_features(sales: DataFrame, products: DataFrame) -> DataFrame:

@@ -7,30 +7,43 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salescope.session import durable
 from salescope.sources.schema import FOREIGN_KEYS, PRIMARY_KEYS, StarSchema
 
 LEARNING_SAMPLE_SIZE = 5000
 
 
-def learning_sales(sales: DataFrame, n: int = LEARNING_SAMPLE_SIZE) -> DataFrame:
+def earliest_sales(sales: DataFrame, n: int = LEARNING_SAMPLE_SIZE) -> DataFrame:
+    """The ``n`` earliest sales: a top-k, no full sort."""
+    return sales.orderBy("sales_date", "sales_sk").limit(n)
+
+
+def learning_sales(
+    sales: DataFrame, n: int = LEARNING_SAMPLE_SIZE, sample: DataFrame | None = None
+) -> DataFrame:
     """Flag the ``n`` earliest sales as ``used``.
 
-    Only the last row of the sample is looked up (a top-k, no full sort); every
-    row is then compared with it, so there is no join.
+    Every row is compared with the last one of the sample, so there is no join.
     """
     position = F.struct("sales_date", "sales_sk")
-    first = sales.select("sales_date", "sales_sk").orderBy("sales_date", "sales_sk").limit(n)
-    last = first.agg(F.max(position)).scalar()
+    if sample is None:
+        sample = earliest_sales(sales.select("sales_date", "sales_sk"), n)
+    last = sample.agg(F.max(position)).scalar()
     return sales.withColumn("used", F.coalesce(position <= last, F.lit(False)))
 
 
 def row_usage(star: StarSchema, n: int = LEARNING_SAMPLE_SIZE) -> DataFrame:
-    """``(table_name, pk_column, pk, used)`` for the fact and its dimensions."""
-    flagged = learning_sales(star.fact_sales, n)
-    sample = flagged.filter("used")
+    """``(table_name, pk_column, pk, used)`` for the fact and its dimensions.
+
+    The sample, ``n`` rows, is written out once for the fact and every dimension.
+    """
+    links = FOREIGN_KEYS["fact_sales"]
+    needed = {"sales_sk", "sales_date", *links}
+    sample = durable(earliest_sales(star.fact_sales.select(*sorted(needed)), n))
+    flagged = learning_sales(star.fact_sales.select("sales_sk", "sales_date"), n, sample)
     tables = star.tables()
     parts = [_usage("fact_sales", PRIMARY_KEYS["fact_sales"][0], flagged, F.col("used"))]
-    for column, (table, key) in FOREIGN_KEYS["fact_sales"].items():
+    for column, (table, key) in links.items():
         child = F.to_date(column) if table == "dates" else F.col(column)
         parent = F.to_date(key) if table == "dates" else F.col(key)
         seen = sample.select(child.alias(key)).filter(F.col(key).isNotNull()).distinct()

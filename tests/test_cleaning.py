@@ -40,13 +40,16 @@ def test_primary_key_counts_nulls_as_a_value(frame):
 def test_primary_key_missing_column_and_unknown_table(frame):
     df = frame("x long", 1)
     assert [r.passed for r in validation.validate_primary_keys(df, "dates").collect()] == [False]
+    empty = frame("date_sk long", 1).filter("date_sk > 1")
+    assert [r.passed for r in validation.validate_primary_keys(empty, "dates").collect()] == [True]
     assert validation.validate_primary_keys(df, "weather").count() == 0
 
 
 @pytest.mark.parametrize(("parents", "missing"), [((1, 2), 2), ((1, None), 1)])
 def test_orphans_and_null_keys(frame, parents, missing):
     child, parent = frame("k long", 1, None, 5), frame("p long", *parents)
-    assert validation.orphans(child, "k", parent, "p").first()["missing"] == missing
+    links = {"k": (F.col("k"), parent, F.col("p"))}
+    assert validation.missing_keys(child, links).first()["missing"] == missing
 
 
 def star_of(frame):
