@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from salescope.functions.columns import percent, ratio
 from salescope.operators.aggregates import grouped
 from salescope.operators.ordered import average_ranks, exact_quantiles, ordered_scan
+from salescope.session import broadcast_if_small, durable
 
 TOP_PERCENTS = (1, 5, 10)
 
@@ -131,17 +132,18 @@ def _positive(whole: Column, result: Column) -> Column:
 def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """Pearson and Spearman correlation of two columns, one row.
 
-    Rows are first counted per distinct pair.  The ranks are then joined to
-    pairs, so a value shared by very many rows stays cheap.
+    Rows are first counted per distinct pair, once.  The ranks are then joined
+    to pairs, so a value shared by very many rows stays cheap.
     """
-    pairs = (
+    pairs = durable(
         df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    ranked_pairs = pairs.join(average_ranks(pairs, "x", "w", "rx"), "x").join(
-        average_ranks(pairs, "y", "w", "ry"), "y"
-    )
+    ranked_pairs = pairs
+    for value, rank in (("x", "rx"), ("y", "ry")):
+        ranks = average_ranks(pairs, value, "w", rank)
+        ranked_pairs = ranked_pairs.join(broadcast_if_small(ranks), value)
     means = pairs.agg(
         F.struct(
             F.sum("w").alias("n"),

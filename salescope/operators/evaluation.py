@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from salescope.functions.columns import ratio
 from salescope.operators.ordered import average_ranks
+from salescope.session import durable
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -28,7 +29,7 @@ def classification_metrics(df: DataFrame, label: str, score: str, threshold: flo
     The exact area under the ROC curve follows from the ranks of the positives;
     NULL when only one class is present.
     """
-    counts = (
+    counts = durable(
         df.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("s"))
         .agg(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,3 +57,15 @@ def durable(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a narrow frame for broadcast when it is counted to be small.
+
+    For frames over ``durable`` data, whose size Spark cannot estimate and
+    whose rows are cheap to count.  A larger one joins the ordinary way.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
