@@ -17,6 +17,7 @@ from salescope.sources import adapter
 
 # One small candidate, so that a query trains once; a real run searches the registry's grid.
 SMALL = {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1]}
+SMALLEST = {"n_estimators": [2], "max_depth": [2], "learning_rate": [0.1]}
 
 
 def trained(spark, folder, name):
@@ -195,7 +196,7 @@ def dashboard(spark, folder):
     star = adapter.star(spark, folder)
     cut = "timestamp_ntz'1998-01-01'"
     first = pipeline.run_initial_pipeline(
-        replace(star, fact_sales=star.fact_sales.filter(f"sales_date < {cut}")), grid=SMALL
+        replace(star, fact_sales=star.fact_sales.filter(f"sales_date < {cut}")), grid=SMALLEST
     )
     _, board = pipeline.ingest_and_retrain(first, star.fact_sales.filter(f"sales_date >= {cut}"))
     return board

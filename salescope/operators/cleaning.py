@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from salescope.functions.columns import finite, is_float, numeric_columns, string_columns
 from salescope.operators.ordered import exact_quantiles
+from salescope.session import durable
 from salescope.sources.schema import StarSchema
 
 UNKNOWN = "Unknown"
@@ -38,11 +39,14 @@ def clean_star(star: StarSchema) -> StarSchema:
 
 
 def clean_ml_dataframe(df: DataFrame, targets: Sequence[str] = ()) -> DataFrame:
-    """Distinct rows; numeric gaps get the median (not in targets), text gaps "Unknown"."""
+    """Distinct rows; numeric gaps get the median (not in targets), text gaps "Unknown".
+
+    The distinct rows are written out, because the search for gaps, the medians
+    and whatever is fitted on the result all read them again.
+    """
     rows = df.dropDuplicates()
-    rows = rows.withColumns(
-        {f.name: finite(f.name) for f in rows.schema.fields if is_float(f.dataType)}
-    )
+    floats = {f.name: finite(f.name) for f in rows.schema.fields if is_float(f.dataType)}
+    rows = durable(rows.withColumns(floats) if floats else rows)
     return fill_missing(rows, numeric_medians(rows, targets), targets)
 
 

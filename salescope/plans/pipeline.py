@@ -37,11 +37,8 @@ class PipelineContext:
 def prepare_dataset(
     name: str, raw: DataFrame, max_rows: int | None = None
 ) -> tuple[DataFrame, list[str]]:
-    """Clean, split and preprocess one data set; returns it with its model inputs.
-
-    The cleaned rows are written once: fitting reads them several times.
-    """
-    clean = durable(clean_ml_dataframe(raw, datasets.TARGETS[name]))
+    """Clean, split and preprocess one data set; returns it with its model inputs."""
+    clean = clean_ml_dataframe(raw, datasets.TARGETS[name])
     if name not in datasets.PRIMARY_TARGET:
         out, fitted = preprocess.preprocess(name, clean, fit_on="all")
         return out, fitted.feature_columns(out)

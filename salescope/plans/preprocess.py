@@ -130,7 +130,10 @@ def fit_preprocessor(name: str, df: DataFrame, extra_keys: Sequence[str] = ()) -
     one_hot_candidates: list[str] = []
     coded: list[str] = []
     dropped = [c for c in df.columns if c not in keys and c not in rest.columns]
-    for p in column_profile(rest).collect():
+    # Protected figures are kept whatever they hold, so they are not profiled.
+    profiled = [c for c in rest.columns if c in text or c not in protected]
+    profile = column_profile(rest.select(*profiled)).collect() if profiled else []
+    for p in profile:
         values = p.distinct_values + (1 if p.nulls else 0)
         constant = values <= 1 or p.top_count >= p.row_count * LOW_VARIANCE
         spread = p.column_name in text and p.distinct_values >= p.row_count * HIGH_CARDINALITY
