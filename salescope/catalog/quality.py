@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from salescope.catalog.registry import as_days, query, rounded, star_sql
 from salescope.operators import cleaning, profiling, validation
-from salescope.operators.metrics import aggregate_metric  # noqa: F401
 from salescope.plans import datasets
 from salescope.sources import adapter
 

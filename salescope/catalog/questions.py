@@ -21,7 +21,6 @@ def data(spark, folder) -> qs.SalesData:
         lines=adapter.sales_lines(spark, folder),
         customers=adapter.customers(spark, folder).join(nations, "nation_key"),
         products=adapter.products(spark, folder),
-        stores=adapter.stores(spark, folder),
     )
 
 

@@ -8,6 +8,7 @@ of a join has one row per entity.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,12 +25,11 @@ from salescope.operators.scoring import weighted_score
 
 @dataclass(frozen=True)
 class SalesData:
-    """Lines with customer, product and store keys; the three attribute tables."""
+    """Lines with customer, product and store keys; the attribute tables."""
 
     lines: DataFrame
     customers: DataFrame  # customer_sk, customer_segment, state, region
     products: DataFrame  # product_sk, category
-    stores: DataFrame  # store_sk, state, region
 
     def with_customer(self, *columns: str) -> DataFrame:
         return lookup_join(self.lines, self.customers, "customer_sk", "customer_sk", columns)
@@ -37,9 +37,6 @@ class SalesData:
     def with_product(self, *columns: str) -> DataFrame:
         return lookup_join(self.lines, self.products, "product_sk", "product_sk", columns)
 
-    def with_store(self, *columns: str) -> DataFrame:
-        return lookup_join(self.lines, self.stores, "store_sk", "store_sk", columns)
-
     def delivered(self, lines: DataFrame | None = None) -> DataFrame:
         lines = self.lines if lines is None else lines
         timed = delivery.delivery_duration(lines)
@@ -59,6 +56,39 @@ def share_and_rank(df: DataFrame, key: str, value: str) -> DataFrame:
     return scan.withColumn("share_pct", percent(value, "__all")).drop("__all")
 
 
+def sums_by_attribute(
+    lines: DataFrame, key: str, lookup: DataFrame, attribute: str, columns: Sequence[str]
+) -> DataFrame:
+    """Exact sums (``sum_<column>``) and counts (``n_<column>``) per attribute of an entity.
+
+    Lines are summed per entity before the attribute is joined, so neither a
+    hot entity nor the number of lines reaches the join.  ``entities`` counts
+    the entities with lines.
+    """
+    per_entity = (
+        lines.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            *[F.sum(c).alias(f"sum_{c}") for c in columns],
+            *[F.count(c).alias(f"n_{c}") for c in columns],
+        )
+    )
+    named = lookup_join(per_entity, lookup, key, key, [attribute])
+    return (
+        named.filter(F.col(attribute).isNotNull())
+        .groupBy(attribute)
+        .agg(
+            *[F.coalesce(F.sum(f"sum_{c}"), F.lit(0)).cast("double").alias(f"sum_{c}") for c in columns],
+            *[F.sum(f"n_{c}").alias(f"n_{c}") for c in columns],
+            F.count(key).alias("entities"),
+        )
+    )
+
+
+def mean_of(column: str):
+    return ratio(f"sum_{column}", f"n_{column}")
+
+
 def kpis(d: SalesData) -> DataFrame:
     """Q1."""
     figures = grouped(
@@ -191,20 +221,32 @@ def seller_rank(d: SalesData) -> DataFrame:
     return figures
 
 
+def revenue_figures() -> list:
+    return [
+        F.col("sum_total_amount").alias("revenue"),
+        F.col("n_total_amount").alias("lines"),
+        mean_of("total_amount").alias("average_sale"),
+    ]
+
+
 def state_rank(d: SalesData) -> DataFrame:
     """Q16."""
-    figures = grouped(d.with_customer("state"), ["state"], REVENUE)
-    return dist.ranked(figures, "revenue", "state")
+    sums = sums_by_attribute(d.lines, "customer_sk", d.customers, "state", ["total_amount"])
+    return dist.ranked(sums.select("state", *revenue_figures()), "revenue", "state")
 
 
 def by_attribute(d: SalesData, column: str) -> DataFrame:
     """Q17, Q18 and Q30: several figures per state, region or segment."""
-    specs = REVENUE | {
-        "customers": ("customer_sk", "nunique"),
-        "freight": ("freight", "sum"),
-        "rating": ("rating", "mean"),
-    }
-    return grouped(d.with_customer(column), [column], specs)
+    sums = sums_by_attribute(
+        d.lines, "customer_sk", d.customers, column, ["total_amount", "freight", "rating"]
+    )
+    return sums.select(
+        column,
+        *revenue_figures(),
+        F.col("entities").alias("customers"),
+        F.col("sum_freight").alias("freight"),
+        mean_of("rating").alias("rating"),
+    )
 
 
 def state_ratio(d: SalesData) -> DataFrame:
@@ -229,13 +271,26 @@ def delivery_trend(d: SalesData) -> DataFrame:
 
 def delivery_by(d: SalesData, key: str) -> DataFrame:
     """Q21 and Q22: delivery figures and rank per seller or customer state."""
-    lines = d.lines if key == "store_sk" else d.with_customer(key)
-    figures = grouped(
-        d.delivered(lines),
-        [key],
-        {"mean_days": ("delivery_days", "mean"), "mean_delay": ("delay_days", "mean"),
-         "lines": ("delay_days", "count")},
-    )
+    if key == "store_sk":
+        figures = grouped(
+            d.delivered(),
+            [key],
+            {
+                "mean_days": ("delivery_days", "mean"),
+                "mean_delay": ("delay_days", "mean"),
+                "lines": ("delay_days", "count"),
+            },
+        )
+    else:
+        sums = sums_by_attribute(
+            d.delivered(), "customer_sk", d.customers, key, ["delivery_days", "delay_days"]
+        )
+        figures = sums.select(
+            key,
+            mean_of("delivery_days").alias("mean_days"),
+            mean_of("delay_days").alias("mean_delay"),
+            F.col("n_delay_days").alias("lines"),
+        )
     return dist.ranked(figures, "mean_delay", key, ascending=True)
 
 
@@ -251,8 +306,11 @@ def delay_rating(d: SalesData) -> DataFrame:
 
 def rating_by(d: SalesData, key: str) -> DataFrame:
     """Q25 and Q26: rating rank per category or seller."""
-    lines = d.lines if key == "store_sk" else d.with_product(key)
-    figures = grouped(lines, [key], {"rating": ("rating", "mean"), "lines": ("rating", "count")})
+    if key == "store_sk":
+        figures = grouped(d.lines, [key], {"rating": ("rating", "mean"), "lines": ("rating", "count")})
+    else:
+        sums = sums_by_attribute(d.lines, "product_sk", d.products, key, ["rating"])
+        figures = sums.select(key, mean_of("rating").alias("rating"), F.col("n_rating").alias("lines"))
     return dist.ranked(figures, "rating", key)
 
 
@@ -291,16 +349,16 @@ def freight_outliers(d: SalesData) -> DataFrame:
 
 def freight_share(d: SalesData) -> DataFrame:
     """Q33: freight, its ratio to revenue and its share per category."""
-    per_product = (
-        d.lines.filter(F.col("product_sk").isNotNull())
-        .groupBy("product_sk")
-        .agg(F.sum("freight").alias("freight"), F.sum("total_amount").alias("total_amount"))
+    sums = sums_by_attribute(
+        d.lines, "product_sk", d.products, "category", ["freight", "total_amount"]
     )
-    named = lookup_join(per_product, d.products, "product_sk", "product_sk", ["category"])
-    sums = grouped(
-        named, ["category"], {"freight": ("freight", "sum"), "revenue": ("total_amount", "sum")}
-    ).withColumn("freight_ratio", ratio("freight", "revenue"))
-    return dist.percentage_share(sums, "freight")
+    figures = sums.select(
+        "category",
+        F.col("sum_freight").alias("freight"),
+        F.col("sum_total_amount").alias("revenue"),
+        ratio("sum_freight", "sum_total_amount").alias("freight_ratio"),
+    )
+    return dist.percentage_share(figures, "freight")
 
 
 def category_score(d: SalesData) -> DataFrame:
@@ -333,9 +391,11 @@ def seller_score(d: SalesData) -> DataFrame:
 
 def state_score(d: SalesData) -> DataFrame:
     """Q36."""
-    figures = grouped(
-        d.with_customer("state"),
-        ["state"],
-        {"revenue": ("total_amount", "sum"), "customers": ("customer_sk", "nunique")},
-    ).withColumn("revenue_per_customer", ratio("revenue", "customers"))
+    sums = sums_by_attribute(d.lines, "customer_sk", d.customers, "state", ["total_amount"])
+    figures = sums.select(
+        "state",
+        F.col("sum_total_amount").alias("revenue"),
+        F.col("entities").alias("customers"),
+        ratio("sum_total_amount", "entities").alias("revenue_per_customer"),
+    )
     return weighted_score(figures, ["revenue", "customers", "revenue_per_customer"])
