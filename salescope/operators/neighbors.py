@@ -8,11 +8,13 @@ blocks of at most ``QUERY_BLOCK``; more queries mean more scans.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,9 @@ METRICS = ("cosine", "euclidean")
 QUERY_BLOCK = 1024
 DIGITS = 9  # distances closer than this are ties, decided by key
 
+# The functions below travel with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def kneighbors(
     df: DataFrame,

@@ -220,3 +220,20 @@ def test_ask(frame):
         ask.ask("correlation", df, "x")
     with pytest.raises(ValueError, match="no known metric"):
         ask.ask("hello", df, "x")
+
+
+def test_task_functions_travel_without_the_package():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from salescope.operators import neighbors
+
+    code = "import pickle, sys, numpy as np; f = pickle.load(sys.stdin.buffer); "
+    code += "print(f(np.array([[2.0, 1.0]]), np.array([7, 8]), 1)[0][1][0])"
+    out = subprocess.run(
+        [sys.executable, "-I", "-c", code], input=cloudpickle.dumps(neighbors._best_of),
+        capture_output=True, check=True, cwd="/",
+    )
+    assert out.stdout.strip() == b"8"
