@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, simhash
-from salescope.llm.common import LOWER, UPPER
+from salescope.llm import decontamination, mixing, simhash, url_filter, warc
+from salescope.llm.common import LOWER, UPPER, remove, scratch
+from salescope.session import durable
 
 
 @dataclass(frozen=True)
@@ -79,3 +80,74 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select(
         "row.doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
+
+
+@query("op1_mixing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mixture(table(spark, folder, "documents")).drop("key")
+
+
+# ---- fixed values ----
+RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+# ---- end of fixed values ----
+
+OP3_SQL = """
+WITH r(rule_host, rule_path, verdict) AS (VALUES {rules}),
+p AS (
+  SELECT page_id, row_number() OVER () AS n,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, n, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+m AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+         arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM h JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN m USING (n)
+""".format(rules=", ".join(map(str, RULES)), upper=UPPER, lower=LOWER)
+
+
+@query("op3_url_filters", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    names = ("host", "path", "verdict")
+    rows = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, rule)]) for rule in RULES]
+    rules = spark.range(1).select(F.inline(F.array(*rows)))
+    return url_filter.filter_urls(table(spark, folder, "pages"), rules)
+
+
+OP6_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM g
+"""
+
+
+@query("op6_warc", OP6_SQL)
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    path = scratch(spark, "warc")
+    warc.write(pages, path)
+    kind = pages.schema["page_id"].dataType
+    found = warc.read(spark, path, payloads=False).select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+    found = durable(found)
+    remove(spark, path)
+    return found
