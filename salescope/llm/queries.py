@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, mixing, simhash, url_filter, warc
+from salescope.llm import decontamination, mixing, quality, simhash, url_filter, warc
 from salescope.llm.common import LOWER, UPPER, remove, scratch
 from salescope.session import durable
 
@@ -151,3 +151,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     found = durable(found)
     remove(spark, path)
     return found
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("row.doc_id", "held_out", "score", "predicted")
