@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, mixing, quality, simhash, url_filter, warc
+from salescope.llm import decontamination, line_dedup, mixing, quality, simhash, url_filter, warc
 from salescope.llm.common import LOWER, UPPER, remove, scratch
 from salescope.session import durable
 
@@ -157,3 +157,37 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select("row.doc_id", "held_out", "score", "predicted")
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (
+  SELECT doc_id, n, ls[n] AS line, len(regexp_extract_all(ls[n], '[^\x20\x09-\x0D]+')) AS w
+  FROM (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS n FROM d)),
+c AS (
+  SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY n) AS upto,
+         row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i
+  FROM l WHERE w > 0),
+span AS (
+  SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b
+    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.w >= 50 GROUP BY ALL
+  UNION
+  SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM c a JOIN c b
+    ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.i),
+win AS (
+  SELECT span.doc_id, s, e, min(n) AS low, max(n) AS high, string_agg(line, chr(10) ORDER BY i) AS run
+  FROM span JOIN c ON span.doc_id = c.doc_id AND c.i BETWEEN s AND e GROUP BY span.doc_id, s, e),
+copies AS (
+  SELECT doc_id, low, high FROM (
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, low) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(low, high)) AS n FROM copies)
+SELECT l.doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(gone.n) AS BIGINT) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (gone.n IS NULL), '') AS text
+FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.n = gone.n GROUP BY l.doc_id
+"""
+
+
+@query("op7_line_dedup", OP7_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return found.select("row.doc_id", "n_lines", "n_removed", "text")

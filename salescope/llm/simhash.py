@@ -30,10 +30,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import components, forest, stored
+from salescope.llm.common import components, forest, row_key, stored
 from salescope.session import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -77,18 +77,23 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.R
     for batch in batches:
         texts = batch.column(1).cast(pa.binary())
         prints = pa.array([fingerprint(t.as_py(), size) for t in texts], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), prints, batch.column(2)], ["doc_id", "fp", "key"])
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint of every row as a signed long."""
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    """``(doc_id, fp, key)``: the fingerprint of every row as a signed long."""
+    rows = docs.select(docs["doc_id"], docs["text"].cast("string").alias("text"), document_key(docs))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         return _fingerprints(batches, size)
 
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long, key string")
+
+
+def document_key(docs: DataFrame) -> Column:
+    """Tells rows apart that differ in ``doc_id`` or text."""
+    return row_key(docs["doc_id"].cast("string"), docs["text"].cast("string")).alias("key")
 
 
 def block_keys(blocks: int, distance: int):
@@ -184,7 +189,7 @@ def near_duplicates(
     blocks: int = BLOCKS,
     part: int = PART,
 ) -> DataFrame:
-    """``(doc_id, fp, component_id)`` of every row.
+    """``(doc_id, key, fp, component_id)`` of every row.
 
     ``component_id`` is the smallest ``doc_id`` reachable over pairs of
     fingerprints that differ in at most ``distance`` bits.
@@ -198,4 +203,27 @@ def near_duplicates(
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
     # The parts of the corpus that share a fingerprint meet one row of this table.
     names = stored(named.join(smallest, "component").select("fp", "component_id"), "names")
-    return prints.join(names, "fp", "left").select("doc_id", "fp", "component_id")
+    return prints.join(names, "fp", "left").select("doc_id", "key", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without all but one document of every component.
+
+    The smallest ``doc_id`` stays; of documents that share it, the one with the
+    smallest key; of rows that repeat both ``doc_id`` and text, any one.
+    """
+    found = near_duplicates(docs, **options)
+    by_key = found.groupBy("fp", "component_id", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    alone = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
+    by_key = stored(by_key.withColumn("name", alone).withColumn("order", order), "documents")
+    chosen = by_key.groupBy("name").agg(F.min("order").alias("order"))
+    chosen = chosen.select(F.col("order.key").alias("key")).withColumn("chosen", F.lit(True))
+    gone = stored(by_key.select("key").distinct().join(chosen.distinct(), "key", "left_anti"), "gone")
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), document_key(docs))
+    kept = keyed.join(gone, "key", "left_anti")
+    twice = stored(by_key.filter("rows > 1").select("key").distinct(), "repeated")
+    if not twice.isEmpty():
+        once = kept.join(twice, "key", "left_semi").dropDuplicates(["key"])
+        kept = kept.join(twice, "key", "left_anti").unionByName(once)
+    return kept.select("row.*")
