@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, line_dedup, mixing, quality, simhash, url_filter, warc
+from salescope.llm import decontamination, embedding_dedup, line_dedup, mixing, quality, simhash, url_filter, warc
 from salescope.llm.common import LOWER, UPPER, remove, scratch
 from salescope.session import durable
 
@@ -191,3 +191,25 @@ FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.n = gone.n GROUP BY l.doc_
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return found.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+OP9_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, CASE WHEN len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                       AND len(list_filter(v, lambda x: x <> 0)) > 0 THEN v END AS v
+  FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM e UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
+"""
+
+
+@query("op9_embedding_near_dedup", OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
