@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, embedding_dedup, line_dedup, mixing, quality, simhash, url_filter, warc
+from salescope.llm import decontamination, embedding_dedup, line_dedup, mixing, pii, quality, simhash, url_filter, warc
 from salescope.llm.common import LOWER, UPPER, remove, scratch
 from salescope.session import durable
 
@@ -213,3 +213,8 @@ FROM e JOIN c ON vec_id = c.a LEFT JOIN n ON vec_id = n.a
 @query("op9_embedding_near_dedup", OP9_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op5_pii")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents")).select("row.doc_id", *pii.COLUMNS)
