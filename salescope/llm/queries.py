@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, embedding_dedup, line_dedup, mixing, pii, quality, simhash, url_filter, warc
+from salescope.llm import decontamination, embedding_dedup, html_extraction, line_dedup, mixing, pii, quality, simhash, url_filter, warc
 from salescope.llm.common import LOWER, UPPER, remove, scratch
 from salescope.session import durable
 
@@ -218,3 +218,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_pii")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(table(spark, folder, "documents")).select("row.doc_id", *pii.COLUMNS)
+
+
+@query("op10_html_extraction")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(table(spark, folder, "pages"))
