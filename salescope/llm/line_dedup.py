@@ -24,8 +24,8 @@ of the document, then by line.
 
 Defined results: null texts stay null and empty texts empty; runs may repeat
 inside one document, where all but their first lines go; rows that repeat both
-``doc_id`` and text count as one document; blank lines inside a deleted run go
-with it; a text all of whose lines go becomes empty; other columns are kept.
+``doc_id`` and text count as one document; blank lines between two deleted lines
+go with them; a text all of whose lines go becomes empty; other columns are kept.
 """
 
 from __future__ import annotations
@@ -149,7 +149,9 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = runs.join(at("last", F.col("line").alias("high")), [*PLACE, "last"])
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *DOC, "low")
     runs = runs.select(
-        *DOC,
+        *PLACE,
+        "i",
+        "last",
         "low",
         "high",
         "n",
@@ -162,12 +164,13 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     firsts = runs.groupBy(*interval).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
     firsts = stored(firsts.filter("size > 1").select(*interval, "first"), "intervals")
     copies = runs.join(firsts, interval).filter("place > first")
-    # Ranges that touch or overlap become one.
-    by_doc = Window.partitionBy(*DOC).orderBy("low", "high")
-    reach = F.max("high").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    islands = copies.withColumn("new", F.coalesce((F.col("low") > reach + 1).cast("int"), F.lit(1)))
-    islands = islands.withColumn("island", F.sum("new").over(by_doc))
-    return islands.groupBy(*DOC, "island").agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("island")
+    # Windows that touch or overlap become one range, with the blank lines between.
+    own = Window.partitionBy(*PLACE).orderBy("i", "last")
+    reach = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    islands = copies.withColumn("new", F.coalesce((F.col("i") > reach + 1).cast("int"), F.lit(1)))
+    islands = islands.withColumn("island", F.sum("new").over(own))
+    ranges = islands.groupBy(*PLACE, "island").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return ranges.select(*DOC, "low", "high")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

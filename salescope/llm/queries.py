@@ -175,15 +175,20 @@ span AS (
   SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM c a JOIN c b
     ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.i),
 win AS (
-  SELECT span.doc_id, s, e, min(n) AS low, max(n) AS high, string_agg(line, chr(10) ORDER BY i) AS run
+  SELECT span.doc_id, s, e, string_agg(line, chr(10) ORDER BY i) AS run
   FROM span JOIN c ON span.doc_id = c.doc_id AND c.i BETWEEN s AND e GROUP BY span.doc_id, s, e),
 copies AS (
-  SELECT doc_id, low, high FROM (
-    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, low) AS k FROM win) WHERE k > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(generate_series(low, high)) AS n FROM copies)
-SELECT l.doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(gone.n) AS BIGINT) AS n_removed,
-       coalesce(string_agg(line, chr(10) ORDER BY l.n) FILTER (gone.n IS NULL), '') AS text
-FROM l LEFT JOIN gone ON l.doc_id = gone.doc_id AND l.n = gone.n GROUP BY l.doc_id
+  SELECT doc_id, s, e FROM (
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) AS k FROM win) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM copies),
+k AS (SELECT *, sum(CAST(w > 0 AS INT)) OVER (PARTITION BY doc_id ORDER BY n) AS i FROM l),
+j AS (
+  SELECT k.*, a.i IS NOT NULL AND (w > 0 OR b.i IS NOT NULL) AS cut FROM k
+  LEFT JOIN gone a ON k.doc_id = a.doc_id AND k.i = a.i
+  LEFT JOIN gone b ON k.doc_id = b.doc_id AND k.i + 1 = b.i)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (cut) AS BIGINT) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT cut), '') AS text
+FROM j GROUP BY doc_id
 """
 
 
