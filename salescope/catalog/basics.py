@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 from pyspark.sql import functions as F
 
 from salescope.catalog.registry import query, rounded, star_sql
 from salescope.functions.columns import calendar_parts, ratio
 from salescope.operators import delivery, metrics
-from salescope.session import shared_dir
+from salescope.session import fresh
 from salescope.sources import adapter, tables
 
 TEST_TABLES = (
     "benchmark conversations customer documents embeddings events labels lineitem nation orders "
     "pages part region supplier"
 ).split()
-LOADED_TABLES = "customer events lineitem nation orders part region supplier".split()
 
 
 def _counts_sql(names, extra=""):
@@ -30,11 +27,11 @@ def scan_tables(spark, folder):
     return tables.row_counts(tables.scan_tables(spark, folder, "parquet"))
 
 
-@query("load_report", _counts_sql(LOADED_TABLES, ", true AS loaded"))
+@query("load_report", _counts_sql(TEST_TABLES, ", true AS loaded"))
 def load_report(spark, folder):
     """Load the tables in replace mode and count what arrived."""
-    target = f"{shared_dir(spark)}/loaded-{uuid4().hex}"
-    readers = {n: (lambda n=n: adapter.table(spark, folder, n)) for n in LOADED_TABLES}
+    target = fresh(spark, "loaded")
+    readers = {n: (lambda n=n: adapter.table(spark, folder, n)) for n in TEST_TABLES}
     report = tables.load_tables(spark, readers, tables.parquet_writer(target))
     good = [r.table_name for r in report.filter("loaded").collect()]
     counts = tables.row_counts({n: spark.read.parquet(f"{target}/{n}") for n in good})

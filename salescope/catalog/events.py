@@ -3,23 +3,17 @@
 from __future__ import annotations
 
 from functools import reduce
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.catalog.registry import query, star_sql
 from salescope.functions.columns import money
-from salescope.session import shared_dir
+from salescope.session import fresh
 from salescope.sources import adapter
 from salescope.streaming import metrics, transport
 
 
-def fresh(spark, name):
-    """A new folder for one run, where all executors can reach it."""
-    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
-
-
 def event_stream(spark, folder):
     """The ``events`` table as a file stream."""
     schema = adapter.table(spark, folder, "events").schema
@@ -42,42 +36,53 @@ def fact_events(spark, folder):
     "event_bank_roundtrip",
     star_sql(
         """SELECT customer_sk, count(*) AS n, CAST(sum(total_amount) AS DOUBLE) AS revenue,
-        CAST(min(sales_date) AS DATE) AS first_day, CAST(max(sales_date) AS DATE) AS last_day
+        CAST(min(sales_date) AS DATE) AS first_day, CAST(max(sales_date) AS DATE) AS last_day,
+        count(DISTINCT sales_sk) AS sales, CAST(sum(product_sk) AS BIGINT) AS product_sum,
+        CAST(sum(store_sk) AS BIGINT) AS store_sum, CAST(sum(campaign_sk) AS BIGINT) AS campaign_sum
         FROM fact_sales GROUP BY customer_sk"""
     ),
 )
 def event_bank_roundtrip(spark, folder):
+    """Write the whole fact as JSON batches and read all of its columns back."""
     bank = fresh(spark, "bank")
-    transport.write_event_bank(fact_events(spark, folder), bank)
+    sales = adapter.fact_sales(spark, folder)
+    transport.write_event_bank(sales, bank)
     return (
-        transport.read_event_bank(spark, bank)
+        transport.read_event_bank(spark, bank, sales.schema)
         .groupBy("customer_sk")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(money("total_amount")).cast("double").alias("revenue"),
             F.to_date(F.min("sales_date")).alias("first_day"),
             F.to_date(F.max("sales_date")).alias("last_day"),
+            F.count_distinct("sales_sk").alias("sales"),
+            F.sum("product_sk").alias("product_sum"),
+            F.sum("store_sk").alias("store_sum"),
+            F.sum("campaign_sk").alias("campaign_sum"),
         )
     )
 
 
+#: The tables of the star, with a whole number each that is summed up as a check.
 ROW_TABLES = {
-    "customer": ("c_custkey", "c_name", "c_mktsegment"),
-    "part": ("p_partkey", "p_name", "p_size"),
-    "supplier": ("s_suppkey", "s_name"),
+    "customer": "c_custkey",
+    "lineitem": "l_orderkey",
+    "nation": "n_nationkey",
+    "orders": "o_orderkey",
+    "part": "p_partkey",
+    "region": "r_regionkey",
+    "supplier": "s_suppkey",
 }
 
 
 def _envelopes(spark, folder, name):
-    rows = adapter.table(spark, folder, name).select(*ROW_TABLES[name])
-    return transport.row_events(rows, name)
+    return transport.row_events(adapter.table(spark, folder, name), name)
 
 
 @query(
     "row_events",
     """SELECT 'row_loaded' AS event_type, 'customer' AS "table",
-    CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_mktsegment': c_mktsegment})
-      AS VARCHAR) AS payload FROM customer""",
+    CAST(to_json(customer) AS VARCHAR) AS payload FROM customer""",
 )
 def row_events(spark, folder):
     return _envelopes(spark, folder, "customer")
@@ -86,16 +91,16 @@ def row_events(spark, folder):
 @query(
     "stream_row_events",
     " UNION ALL ".join(
-        f"""SELECT '{t}' AS "table", count(*) AS n, CAST(sum({c[0]}) AS BIGINT) AS key_sum FROM {t}"""
+        f"""SELECT '{t}' AS "table", count(*) AS n, CAST(sum({c}) AS BIGINT) AS key_sum FROM {t}"""
         for t, c in ROW_TABLES.items()
     ),
 )
 def stream_row_events(spark, folder):
-    """Produce row events of three tables, consume them as one stream, route by table."""
+    """Produce row events of all star tables, consume them as one stream, route by table."""
     topic = fresh(spark, "topic")
     envelopes = reduce(DataFrame.unionByName, [_envelopes(spark, folder, t) for t in ROW_TABLES])
     transport.send_to_files(envelopes, topic)
-    key = F.coalesce(*[F.get_json_object("payload", f"$.{c[0]}") for c in ROW_TABLES.values()])
+    key = F.coalesce(*[F.get_json_object("payload", f"$.{c}") for c in ROW_TABLES.values()])
     return metrics.running_aggregate(
         transport.stream_from_files(spark, topic).filter(F.col("event_type") == "row_loaded"),
         ["table"],

@@ -249,12 +249,13 @@ def store_score(spark, folder):
 
 @query(
     "histogram",
-    """SELECT bin, round(lo + bin * w, 6) AS low, round(lo + (bin + 1) * w, 6) AS high,
-      count(*) AS n
-    FROM (SELECT CAST(least(floor((o_totalprice - lo) / w), 19) AS BIGINT) AS bin, lo, w
-      FROM orders, (SELECT min(o_totalprice) AS lo,
-        (max(o_totalprice) - min(o_totalprice)) / 20 AS w FROM orders))
-    GROUP BY bin, lo, w""",
+    """WITH span AS (SELECT min(o_totalprice) AS lo,
+      (max(o_totalprice) - min(o_totalprice)) / 20 AS w FROM orders),
+    counts AS (SELECT CAST(least(floor((o_totalprice - lo) / w), 19) AS BIGINT) AS bin, count(*) AS n
+      FROM orders, span GROUP BY 1)
+    SELECT b AS bin, round(lo + b * w, 6) AS low, round(lo + (b + 1) * w, 6) AS high,
+      coalesce(n, 0) AS n
+    FROM (SELECT unnest(generate_series(0, 19)) AS b) CROSS JOIN span LEFT JOIN counts ON b = counts.bin""",
 )
 def histogram(spark, folder):
     orders = adapter.table(spark, folder, "orders")
@@ -276,26 +277,16 @@ def box_stats(spark, folder):
     return rounded(box, "min", "q1", "median", "q3", "max", digits=4)
 
 
-def _pivot_sql(labels):
-    return ", ".join(
-        f"""round(CAST(sum(total_amount) FILTER (category = '{c}') AS DOUBLE)
-        / nullif(count(total_amount) FILTER (category = '{c}'), 0), 6) AS "{c}" """
-        for c in labels
-    )
-
-
 @query(
     "segment_category_pivot",
     star_sql(
-        f"""SELECT customer_segment, {_pivot_sql(
-            ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"))}
+        """SELECT customer_segment, category,
+        round(CAST(sum(total_amount) AS DOUBLE) / count(total_amount), 6) AS mean
         FROM fact_sales f JOIN customers c ON f.customer_sk = c.customer_sk
-        JOIN products p ON f.product_sk = p.product_sk GROUP BY customer_segment"""
+        JOIN products p ON f.product_sk = p.product_sk GROUP BY customer_segment, category"""
     ),
 )
 def segment_category_pivot(spark, folder):
-    from salescope.catalog.datasets import CATEGORIES
-
     lines = sales(spark, folder).select("customer_sk", "product_sk", "total_amount")
     lines = lookup_join(
         lines, adapter.customers(spark, folder), "customer_sk", "customer_sk", ["customer_segment"]
@@ -303,8 +294,7 @@ def segment_category_pivot(spark, folder):
     lines = lookup_join(
         lines, adapter.products(spark, folder), "product_sk", "product_sk", ["category"]
     )
-    table = dist.pivot_mean(lines, "customer_segment", "category", "total_amount", CATEGORIES)
-    return rounded(table, *CATEGORIES)
+    return rounded(dist.mean_matrix(lines, "customer_segment", "category", "total_amount"), "mean")
 
 
 @query("target_distribution", star_sql("SELECT churn_label, count(*) AS n FROM churn GROUP BY ALL"))

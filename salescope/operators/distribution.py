@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from salescope.functions.columns import percent, ratio
 from salescope.operators.aggregates import grouped
 from salescope.operators.ordered import average_ranks, exact_quantiles, ordered_scan
-from salescope.session import broadcast_if_small, durable
+from salescope.session import durable
 
 TOP_PERCENTS = (1, 5, 10)
 
@@ -19,15 +19,11 @@ def ranked(df: DataFrame, value: str, key: str, name: str = "rank", ascending: b
     """``df`` with the gapless rank of ``value``; rows without a value get NULL.
 
     ``key`` breaks ties in the row order; further arguments go to the scan.
+    Rows without a value come last in the scan, so ``df`` is evaluated once.
     """
-    direction = F.asc(value) if ascending else F.desc(value)
-    known = ordered_scan(
-        df.filter(F.col(value).isNotNull()),
-        [direction, F.asc(key)],
-        dense_rank=(value, name),
-        **scan,
-    )
-    return known.unionByName(df.filter(F.col(value).isNull()), allowMissingColumns=True)
+    direction = F.asc_nulls_last(value) if ascending else F.desc_nulls_last(value)
+    scanned = ordered_scan(df, [direction, F.asc(key)], dense_rank=(value, name), **scan)
+    return scanned.withColumn(name, F.when(F.col(value).isNotNull(), F.col(name)))
 
 
 rank_values = ranked
@@ -143,7 +139,7 @@ def correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     ranked_pairs = pairs
     for value, rank in (("x", "rx"), ("y", "ry")):
         ranks = average_ranks(pairs, value, "w", rank)
-        ranked_pairs = ranked_pairs.join(broadcast_if_small(ranks), value)
+        ranked_pairs = ranked_pairs.join(ranks, value)
     means = pairs.agg(
         F.struct(
             F.sum("w").alias("n"),
@@ -184,7 +180,10 @@ def detect_outliers(df: DataFrame, value: str, name: str = "is_outlier") -> Data
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
-    """``(bin, low, high, n)`` over equal-width bins; the maximum is in the last one."""
+    """``(bin, low, high, n)`` over equal-width bins; the maximum is in the last one.
+
+    Bins without values are there with 0.
+    """
     col = F.col(value).cast("double")
     span = df.agg(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
     low = span.getField("lo")
@@ -195,8 +194,14 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
         .groupBy(F.least(slot, F.lit(bins - 1)).cast("long").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return counts.select(
-        "bin", (low + F.col("bin") * width).alias("low"), (low + (F.col("bin") + 1) * width).alias("high"), "n"
+    # No values, no bins; one value, one bin.
+    every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
+    every = every.filter(low.isNotNull() & ((width > 0) | (F.col("bin") == 0)))
+    return every.join(counts, "bin", "left").select(
+        "bin",
+        (low + F.col("bin") * width).alias("low"),
+        (low + (F.col("bin") + 1) * width).alias("high"),
+        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
     )
 
 
@@ -207,13 +212,23 @@ def box_stats(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     return out.select(*by, *[F.col(f"{value}_{p}").alias(p) for p in points])
 
 
-def pivot_mean(df: DataFrame, rows: str, columns: str, value: str, labels: Sequence[str]) -> DataFrame:
-    """Mean of ``value`` per row and column label.
+def mean_matrix(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """``(rows, columns, mean)``: the mean of ``value`` per pair of labels that occurs.
+
+    One line per cell, so neither side has a limit and no label is lost.
+    """
+    mean = F.try_divide(F.sum(value).cast("double"), F.count(value))
+    known = df.filter(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    return known.groupBy(rows, columns).agg(mean.alias("mean"))
+
+
+def pivot_mean(df: DataFrame, rows: str, columns: str, value: str) -> DataFrame:
+    """The same as one column per label; the labels are found in one aggregate pass.
 
-    The labels are given, so no pass over the data is spent to find them.
+    Spark refuses more labels than ``spark.sql.pivotMaxValues``.
     """
     mean = F.try_divide(F.sum(value).cast("double"), F.count(value))
-    return df.filter(F.col(rows).isNotNull()).groupBy(rows).pivot(columns, list(labels)).agg(mean)
+    return df.filter(F.col(rows).isNotNull()).groupBy(rows).pivot(columns).agg(mean)
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:

@@ -149,11 +149,13 @@ def value_counts(
     return long.filter(known).groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-# percentile_approx is off by at most n / SKETCH positions, so a bracket of
-# +-MARGIN around a quantile surely holds it once n > SQUASH_FROM.
+# percentile_approx is off by at most n / SKETCH positions, and interpolation
+# needs the position on either side, so a bracket of +-margin around a quantile
+# surely holds it when margin >= 1 / SKETCH + 2 / n.  The sketch is asked for all
+# margins at once and each column takes the narrowest that is safe for its n; the
+# widest spans all values.
 SKETCH = 10_000
-MARGIN = 5e-4
-SQUASH_FROM = 20_000
+MARGINS = (5e-4, 5e-3, 5e-2, 1.0)
 
 
 def _squash_far_values(
@@ -165,7 +167,10 @@ def _squash_far_values(
     upper edge of the lower one.  Order and counts around the wanted positions
     stay exact, and only about 0.1 % of the distinct values reach the shuffle.
     """
-    edges = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-MARGIN, MARGIN)})
+    def clamp(p: float) -> float:
+        return min(max(p, 0.0), 1.0)
+
+    edges = sorted({clamp(p + d) for p in probabilities for m in MARGINS for d in (-m, m)})
     asked = []
     for c in columns:
         asked += [
@@ -176,14 +181,14 @@ def _squash_far_values(
     position = {p: i for i, p in enumerate(edges)}
     out = {}
     for c in columns:
-        if found[f"n_{c}"] <= SQUASH_FROM:
+        edge, n = found[f"e_{c}"], found[f"n_{c}"]
+        if not n:
             continue
-        edge = found[f"e_{c}"]
+        margin = next((m for m in MARGINS if m >= 1 / SKETCH + 2 / n), MARGINS[-1])
         value = F.col(c).cast("double")
         squashed = F.lit(float("-inf"))
         for p in sorted(probabilities):
-            low = edge[position[min(max(p - MARGIN, 0.0), 1.0)]]
-            high = edge[position[min(max(p + MARGIN, 0.0), 1.0)]]
+            low, high = edge[position[clamp(p - margin)]], edge[position[clamp(p + margin)]]
             squashed = F.when(value >= low, F.least(value, F.lit(high))).otherwise(squashed)
         out[c] = F.when(value.isNotNull(), squashed)
     return out

@@ -89,8 +89,10 @@ def validate_foreign_keys(star: StarSchema) -> DataFrame:
             day = parent_name == "dates"
             # as text, keys only match when both sides have the same type
             dtype = "date" if day else parent.schema[parent_key].dataType.simpleString()
-            child_key, key = F.col(column).cast(dtype), F.col(parent_key).cast(dtype)
-            links[column] = (child_key, parent, key)
+            # A key that is not of the type is no parent's key: it stays as text and misses.
+            read = F.col(column).try_cast(dtype).cast("string")
+            child_key = F.coalesce(read, F.concat(F.lit("not read: "), F.col(column).cast("string")))
+            links[column] = (child_key, parent, F.col(parent_key).try_cast(dtype))
         names = F.create_map(*[F.lit(x) for c, (p, _) in columns.items() for x in (c, p)])
         parts.append(
             missing_keys(child, links).select(

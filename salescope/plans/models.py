@@ -46,12 +46,16 @@ NEIGHBOR_GRID = {"n_neighbors": [3, 5, 10, 20], "metric": ["cosine", "euclidean"
 # ---- end of fixed values ----
 
 
+DEEPEST = 10
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     task: str  # classification, regression or unsupervised
     grid: Mapping[str, Sequence[Any]]
     time_series: bool = False
     defaults: Mapping[str, Any] = field(default_factory=dict)
+    deepest: int = DEEPEST  # depth of trees whose grid sets no limit
 
 
 def build_model_registry() -> dict[str, ModelSpec]:
@@ -83,22 +87,22 @@ SPARK_NAMES = {
     "subsample": "subsamplingRate",
     "min_child_samples": "minInstancesPerNode",
 }
-DEEPEST = 10
 
 
-def tree_settings(parameters: Mapping[str, Any]) -> dict[str, Any]:
+def tree_settings(parameters: Mapping[str, Any], deepest: int = DEEPEST) -> dict[str, Any]:
     """Translate grid names.  Spark limits depth, not leaves, so ``num_leaves``
-    becomes the depth that holds as many; -1 means no limit of its own."""
+    becomes the depth that holds as many; -1 means no limit of its own, for
+    which ``deepest`` stands (Spark's trees need one, 30 at most)."""
     settings = {SPARK_NAMES[k]: v for k, v in parameters.items() if k in SPARK_NAMES}
     if "colsample_bytree" in parameters:
         settings["featureSubsetStrategy"] = str(float(parameters["colsample_bytree"]))
         if parameters["colsample_bytree"] >= 1:
             settings["featureSubsetStrategy"] = "all"
     if settings.get("maxDepth", 0) == -1:
-        settings["maxDepth"] = DEEPEST
+        settings["maxDepth"] = deepest
     if "num_leaves" in parameters:
         depth = int(parameters["num_leaves"]).bit_length()
-        settings["maxDepth"] = min(settings.get("maxDepth", DEEPEST), depth)
+        settings["maxDepth"] = min(settings.get("maxDepth", deepest), depth)
     return settings
 
 
@@ -107,7 +111,7 @@ def build_estimator(
 ) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features")
     kind = GBTClassifier if spec.task == "classification" else GBTRegressor
-    trees = kind(featuresCol="features", labelCol=label, seed=SEED, **tree_settings(parameters))
+    trees = kind(featuresCol="features", labelCol=label, seed=SEED, **tree_settings(parameters, spec.deepest))
     if spec.task == "classification":
         trees = trees.setWeightCol("weight")
     return Pipeline(stages=[assembler, trees])

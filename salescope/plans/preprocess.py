@@ -31,7 +31,6 @@ MAX_ONE_HOT = 10
 ID_SUFFIXES = ("_id", "_sk")
 ID_NAMES = ("id", "sales_id")
 # ---- end of fixed values ----
-MAX_INDICATORS = 1000
 UNKNOWN_CODE = -1.0  # a value the fit has not seen
 
 
@@ -242,13 +241,10 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(out)
 
 
-def _bounded_values(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values; refuses a column that would make too many indicators."""
+def _values(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a column."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    found = [r[0] for r in values.orderBy(column).limit(MAX_INDICATORS + 1).collect()]
-    if len(found) > MAX_INDICATORS:
-        raise ValueError(f"{column} has more than {MAX_INDICATORS} values, encode it as codes")
-    return found
+    return [r[0] for r in values.orderBy(column).collect()]
 
 
 def prepare(
@@ -257,15 +253,20 @@ def prepare(
     categories: Sequence[str] = (),
     numbers: Sequence[str] = (),
     scaling: str = "standard",
+    codes: Sequence[str] = (),
 ) -> DataFrame:
-    """Calendar parts, indicators and scaling of chosen columns in one go.
+    """Calendar parts, indicators, codes and scaling of chosen columns in one go.
 
-    Any ``scaling`` but "standard" means min-max.
+    ``categories`` get one indicator per value, however many there are; a column
+    with very many values belongs in ``codes``, which gives it one column of
+    sorted codes.  Any ``scaling`` but "standard" means min-max.
     """
     for column in dates:
         df = calendar_parts(df, column)
     for column in categories:
-        df = df.withColumns(one_hot_columns(column, _bounded_values(df, column))).drop(column)
+        df = df.withColumns(one_hot_columns(column, _values(df, column))).drop(column)
+    if codes:
+        df = Preprocessor("", (), (), {}, {c: code_table(df, c) for c in codes}).encode(df)
     if numbers:
         df = standard_scale(df, numbers) if scaling == "standard" else minmax_scale(df, numbers)
     return df

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +17,8 @@ SESSION_CONF = {
     # AQE split a hot partition even when that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A checkpoint goes when nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -59,13 +62,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-BROADCAST_ROWS = 1_000_000
+def fresh(spark: SparkSession, name: str) -> str:
+    """A new folder for one run in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    atexit.register(remove, spark, path)
+    return path
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow frame for broadcast when it is counted to be small.
-
-    For frames over ``durable`` data, whose size Spark cannot estimate and
-    whose rows are cheap to count.  A larger one joins the ordinary way.
-    """
-    return F.broadcast(df) if df.count() <= rows else df
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; after the end of the session there is nothing to delete with."""
+    context = spark.sparkContext
+    if context._jsc is None:
+        return
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)

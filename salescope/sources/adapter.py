@@ -178,7 +178,7 @@ def as_sales_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").cast("string").alias("sales_id"),
         F.col("user_id").alias("customer_sk"),
-        F.get_json_object("props", "$.k").cast("long").alias("product_sk"),
+        F.get_json_object("props", "$.k").try_cast("long").alias("product_sk"),
         F.col("value").alias("total_amount"),
         F.col("ts").alias("sales_date"),
     )

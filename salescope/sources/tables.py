@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Mapping
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,20 +19,23 @@ def safe_table_name(stem: str) -> str:
 
 
 def list_tables(spark: SparkSession, root: str, suffix: str) -> dict[str, str]:
-    """``{file stem: path}`` of all files below ``root`` with the suffix.
+    """``{stem: path}`` of all tables below ``root`` with the suffix.
 
-    Spark lists the files, so any file system it knows will do; only their
-    names come to the driver.
+    A table is a file, or the first folder below ``root`` that carries the suffix,
+    with all part files in it.  Spark lists the files, so any file system it
+    knows will do; only one path per table comes to the driver.
     """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{suffix}")
         .load(root)
-        .select("path")
     )
+    top = re.sub(r"^[a-z0-9]+:/+", "/", root.rstrip("/"))
+    # The shortest start of the path, below the root, that ends in the suffix.
+    table = F.regexp_extract("path", rf"^(.*?{re.escape(quote(top))}/(?:[^/]+/)*?[^/]+\.{suffix})(?:/.*)?$", 1)
     found = {}
-    for (path,) in sorted(files.collect()):
+    for (path,) in sorted(files.select(table).distinct().collect()):
         stem = unquote(path.rsplit("/", 1)[-1])[: -len(suffix) - 1]
         found[TABLE_ALIASES.get(stem, stem)] = unquote(re.sub(r"^file:/+", "/", path))
     return found

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,14 +22,16 @@ ISO_TIMES = {
 
 
 def write_event_bank(events: DataFrame, folder: str, batch_size: int = BATCH_SIZE) -> None:
-    """JSON files of at most ``batch_size`` events each, dates in ISO form."""
-    writer = events.select(*[f.name for f in EVENT_SCHEMA.fields if f.name in events.columns]).write
-    writer = writer.mode("overwrite").option("maxRecordsPerFile", batch_size)
+    """JSON files of at most ``batch_size`` events each, all columns, dates in ISO form."""
+    writer = events.write.mode("overwrite").option("maxRecordsPerFile", batch_size)
     writer.options(**ISO_TIMES).json(folder)
 
 
-def read_event_bank(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).json(folder)
+def read_event_bank(
+    spark: SparkSession, folder: str, schema: T.StructType = EVENT_SCHEMA
+) -> DataFrame:
+    """The events with the columns of ``schema``; others in the files are left."""
+    return spark.read.schema(schema).options(**ISO_TIMES).json(folder)
 
 
 def stream_event_bank(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
@@ -84,12 +88,41 @@ def stream_from_kafka(spark: SparkSession, servers: str, topic: str) -> DataFram
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    return messages.select(F.from_json("value", ENVELOPE_SCHEMA).alias("e")).select("e.*")
+    """``(event_type, table, payload, raw)``; what is no envelope keeps only ``raw``, its text."""
+    return messages.select(
+        F.from_json("value", ENVELOPE_SCHEMA).alias("e"), F.col("value").alias("raw")
+    ).select("e.*", "raw")
+
+
+def dead_letters(envelopes: DataFrame, schemas: Mapping[str, T.StructType]) -> DataFrame:
+    """``(raw, reason)`` of the messages that no table of ``schemas`` gets a row from.
+
+    With ``rows_of`` for every table, each message is counted once.
+    """
+    known = F.coalesce(F.col("event_type") == ROW_LOADED, F.lit(False))
+    row = F.lit(False)
+    for table, schema in schemas.items():
+        row = row | ((F.col("table") == table) & _readable(schema))
+    reason = (
+        F.when(F.col("event_type").isNull() | F.col("table").isNull(), "not an envelope")
+        .when(~known, "other event")
+        .when(~F.coalesce(F.col("table").isin(*schemas), F.lit(False)), "other table")
+        .when(~F.coalesce(row, F.lit(False)), "payload does not read")
+    )
+    return envelopes.select("raw", reason.alias("reason")).filter(F.col("reason").isNotNull())
+
+
+def _readable(schema: T.StructType) -> Column:
+    """Whether the payload is an object whose fields all read as ``schema`` has them."""
+    corrupt = "__corrupt"
+    marked = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    row = F.from_json("payload", marked, {"columnNameOfCorruptRecord": corrupt, **ISO_TIMES})
+    return F.col("payload").isNotNull() & row.isNotNull() & row[corrupt].isNull()
 
 
 def rows_of(envelopes: DataFrame, table_name: str, schema: T.StructType) -> DataFrame:
-    """The rows of one table out of a mixed stream of envelopes."""
+    """The rows of one table out of a mixed stream of envelopes; see ``dead_letters`` for the rest."""
     mine = envelopes.filter(
-        (F.col("event_type") == ROW_LOADED) & (F.col("table") == table_name)
+        (F.col("event_type") == ROW_LOADED) & (F.col("table") == table_name) & _readable(schema)
     )
-    return mine.select(F.from_json("payload", schema).alias("row")).select("row.*")
+    return mine.select(F.from_json("payload", schema, ISO_TIMES).alias("row")).select("row.*")
