@@ -73,11 +73,15 @@ FLUSH = 2000  # hosts that a task holds before it passes its wrappers on
 STEPS = 16  # wrappers of a host that are merged by one key in the first step
 ALIGN = 250_000  # cells of an alignment; longer lists are aligned by their ends
 
+# A tag ends at the first ">" outside a quoted value; quotes elsewhere mean nothing.
 TOKEN = re.compile(
-    r"<!--|<[!?][^>]*>?|</?[a-zA-Z][^\s/<>]*(?:[^'\"<>]++|\"[^\"]{0,8192}+\"|'[^']{0,8192}+')*+>|</?[a-zA-Z][^<>]*>?|[^<]+|<"
+    r"<!--|<[!?][^>]*>?"
+    r"|</?[a-zA-Z](?:[^'\">=]++|=\s*+(?:\"[^\"]{0,8192}+\"|'[^']{0,8192}+')?|['\"])*+>"
+    r"|[^<]+|<"
 )
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>\"']|$)", re.I)
 MARKED = re.compile(r"class|id|role|hidden|style", re.I)
+OPENING = re.compile("</?[a-zA-Z]")
 NAME = re.compile(r"</?([a-zA-Z][^\s/<>]*)")
 WORDS = re.compile(r"[a-z]+")
 LINES = re.compile(r"\d+")
@@ -112,6 +116,7 @@ def events(html: str) -> Iterator[tuple[str, str]]:
     """``open`` and ``close`` with a key, ``text`` with a decoded text, ``break`` and ``space``."""
     stack: list[tuple[str, str]] = []
     at, size, content = 0, len(html), 0  # content: articles and main elements that are open
+    last = html.rfind(">")
 
     def pop(n: int) -> Iterator[tuple[str, str]]:
         nonlocal content
@@ -123,6 +128,8 @@ def events(html: str) -> Iterator[tuple[str, str]]:
                 yield "break", ""
 
     while at < size:
+        if at > last and OPENING.match(html, at):
+            break  # the page ends inside a tag
         match = TOKEN.match(html, at)
         token, at = match.group(), match.end()
         if token[0] != "<" or token == "<":
@@ -306,17 +313,19 @@ def slots(wrapper: list, pages: int) -> dict[int, bool]:
     """Path -> whether its text belongs to a page that has neither article nor main."""
     found: dict[int, bool] = {}
 
-    def visit(node: list, path: int, link: bool) -> None:
+    def visit(node: list, path: int, link: bool, sure: bool) -> None:
+        """sure: on every page, once."""
         for child in node[4]:
+            single = sure and not child[1] and not child[2]
             if child[0] == "#":
-                fixed = child[3] != "*" and not child[2] and not child[1] and pages >= LEAST_PAGES
+                fixed = child[3] != "*" and single
                 found[path] = found.get(path, False) or not (fixed or link)
             elif child[0] == "+":
-                visit(child, path, link)
+                visit(child, path, link, single)
             else:
-                visit(child, below(path, child[0]), link or child[0].split(".")[0] == "a")
+                visit(child, below(path, child[0]), link or child[0].split(".")[0] == "a", single)
 
-    visit(wrapper, 0, False)
+    visit(wrapper, 0, False, pages >= LEAST_PAGES)
     return found
 
 

@@ -31,7 +31,7 @@ from salescope.llm.common import lower_ascii, stored
 from salescope.operators.ordered import ordered_scan
 from salescope.session import durable
 
-SEPARATOR = "\u0001"  # between host and path of a key
+SEPARATOR = "/"  # between host and path of a key; no host contains it
 DEFAULT = "allow"
 
 
@@ -98,7 +98,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> D
     )
     urls = base.select("uid", F.concat(reversed_host(F.col("host")), F.lit(SEPARATOR), F.col("path")).alias("key"))
     hosts = sweep(urls, rules.select(F.col("host_key").alias("prefix")))
-    path_of = F.substring_index("key", SEPARATOR, -1)
+    path_of = F.substring(F.col("key"), F.instr("key", SEPARATOR) + 1, F.length("key"))
     below = hosts.select("uid", path_of.alias("path"), F.explode("stack").alias("host_key"))
     paths = below.select("uid", F.concat("host_key", F.lit(SEPARATOR), "path").alias("key"))
     fits = sweep(paths, rules.select(F.col("rule_key").alias("prefix")))
