@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from salescope.catalog.registry import as_days, query, rounded, star_sql
+from salescope.functions.columns import money
 from salescope.operators.cleaning import clean_ml_dataframe
 from salescope.plans import datasets, features, manifest, preprocess, splits
+from salescope.session import fresh
 from salescope.sources import adapter
 
 
@@ -445,19 +449,58 @@ USAGE_SQL = "usage AS (" + " UNION ALL ".join(
 ) + ")"
 
 
-@query("row_usage", star_sql("SELECT * FROM usage", LEARNING_SQL, USAGE_SQL))
-def row_usage(spark, folder):
-    return manifest.row_usage(adapter.star(spark, folder))
+MANIFEST_SQL = """SELECT table_name, pk_column, CAST(count_if(used) AS BIGINT) AS used_count,
+        CAST(count_if(NOT used) AS BIGINT) AS unused_count FROM usage GROUP BY ALL"""
+
+
+@query("manifest_export", star_sql(MANIFEST_SQL, LEARNING_SQL, USAGE_SQL))
+def manifest_export(spark, folder):
+    """Write the manifest as CSV per table and counts as JSON; count the rows read back."""
+    target = fresh(spark, "manifest")
+    manifest.write_row_usage(manifest.row_usage(adapter.star(spark, folder)), target)
+    schema = "pk_column string, pk string, used boolean, table_name string"
+    rows = spark.read.schema(schema).option("header", "true").csv(f"{target}/rows")
+    return manifest.row_usage_summary(rows)
 
 
 @query(
-    "row_usage_summary",
+    "feature_tables",
     star_sql(
-        """SELECT table_name, pk_column, CAST(count_if(used) AS BIGINT) AS used_count,
-        CAST(count_if(NOT used) AS BIGINT) AS unused_count FROM usage GROUP BY ALL""",
-        LEARNING_SQL,
-        USAGE_SQL,
+        """SELECT 'customer_features' AS name, count(DISTINCT customer_sk) AS n,
+          CAST(sum(total_amount) AS DOUBLE) AS revenue FROM fact_sales
+        UNION ALL SELECT 'product_features', count(DISTINCT product_sk),
+          CAST(sum(total_amount) AS DOUBLE) FROM fact_sales
+        UNION ALL SELECT 'daily_features', count(DISTINCT CAST(sales_date AS DATE)),
+          CAST(sum(total_amount) AS DOUBLE) FROM fact_sales
+        UNION ALL SELECT 'interactions', count(DISTINCT (customer_sk, product_sk)),
+          CAST(sum(total_amount) AS DOUBLE) FROM fact_sales"""
     ),
 )
+def feature_tables(spark, folder):
+    """All four feature tables, each with its rows and the revenue it holds."""
+    built = features.feature_tables(
+        adapter.fact_sales(spark, folder), adapter.customers(spark, folder), adapter.products(spark, folder)
+    )
+    revenue = {
+        "customer_features": "total_spent",
+        "product_features": "total_revenue",
+        "daily_features": "daily_revenue",
+        "interactions": "total_spent",
+    }
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n"), F.sum(money(revenue[name])).cast("double").alias("revenue")).select(
+            F.lit(name).alias("name"), "n", "revenue"
+        )
+        for name, df in built.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("row_usage", star_sql("SELECT * FROM usage", LEARNING_SQL, USAGE_SQL))
+def row_usage(spark, folder):
+    return manifest.row_usage(adapter.star(spark, folder))
+
+
+@query("row_usage_summary", star_sql(MANIFEST_SQL, LEARNING_SQL, USAGE_SQL))
 def row_usage_summary(spark, folder):
     return manifest.row_usage_summary(manifest.row_usage(adapter.star(spark, folder)))

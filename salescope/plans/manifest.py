@@ -32,15 +32,25 @@ def learning_sales(
     return sales.withColumn("used", F.coalesce(position <= last, F.lit(False)))
 
 
-def row_usage(star: StarSchema, n: int = LEARNING_SAMPLE_SIZE) -> DataFrame:
+def row_usage(
+    star: StarSchema, n: int | None = LEARNING_SAMPLE_SIZE, sample: DataFrame | None = None
+) -> DataFrame:
     """``(table_name, pk_column, pk, used)`` for the fact and its dimensions.
 
-    The sample, ``n`` rows, is written out once for the fact and every dimension.
+    The sample is the ``n`` earliest sales, written out once for the fact and
+    every dimension, or the given one, which must be such a sample.  Without a
+    size all sales count as used.
     """
     links = FOREIGN_KEYS["fact_sales"]
-    needed = {"sales_sk", "sales_date", *links}
-    sample = durable(earliest_sales(star.fact_sales.select(*sorted(needed)), n))
-    flagged = learning_sales(star.fact_sales.select("sales_sk", "sales_date"), n, sample)
+    needed = sorted({"sales_sk", "sales_date", *links})
+    narrow = star.fact_sales.select("sales_sk", "sales_date")
+    if n is None:
+        sample = star.fact_sales.select(*needed)
+        flagged = narrow.withColumn("used", F.lit(True))
+    else:
+        if sample is None:
+            sample = durable(earliest_sales(star.fact_sales.select(*needed), n))
+        flagged = learning_sales(narrow, n, sample)
     tables = star.tables()
     parts = [_usage("fact_sales", PRIMARY_KEYS["fact_sales"][0], flagged, F.col("used"))]
     for column, (table, key) in links.items():

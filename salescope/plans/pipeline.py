@@ -46,7 +46,17 @@ def prepare_dataset(
     return durable(ready), fitted.feature_columns(ready)
 
 
-def prepare_all(star: StarSchema, max_rows: int | None):
+def learn_from(star: StarSchema, sample_size: int | None) -> tuple[dict, DataFrame]:
+    """Prepared data sets over all sales or the earliest ones, and the usage of just these."""
+    sample = None
+    learned = star
+    if sample_size is not None:
+        sample = durable(manifest.earliest_sales(star.fact_sales, sample_size))
+        learned = replace(star, fact_sales=sample)
+    return prepare_all(learned), manifest.row_usage(star, sample_size, sample)
+
+
+def prepare_all(star: StarSchema, max_rows: int | None = None):
     tables = features.feature_tables(star.fact_sales, star.customers, star.products)
     raw = datasets.model_datasets(tables, star)
     return {name: prepare_dataset(name, df, max_rows) for name, df in raw.items()}
@@ -76,8 +86,8 @@ def run_initial_pipeline(
 ) -> PipelineContext:
     """Clean, check, build features and data sets, train every model.
 
-    ``sample_size`` limits the rows each model sees and sizes the learning
-    sample of the manifest; without it the models see everything.
+    ``sample_size`` lets the models see only so many of the earliest sales;
+    without it they see everything.  The manifest reports what was really used.
     """
     spark = star.fact_sales.sparkSession
     star = clean_star(star)
@@ -85,7 +95,7 @@ def run_initial_pipeline(
     star = replace(star, fact_sales=durable(star.fact_sales))
     checks = validate_star_schema(star, strict)
     registry = models.build_model_registry()
-    prepared = prepare_all(star, sample_size)
+    prepared, usage = learn_from(star, sample_size)
     packages = {
         name: train_one(name, df, inputs, registry, **search_options)
         for name, (df, inputs) in prepared.items()
@@ -93,7 +103,6 @@ def run_initial_pipeline(
     if model_dir:
         for package in packages.values():
             models.save_package(spark, package, model_dir)
-    usage = manifest.row_usage(star, sample_size or manifest.LEARNING_SAMPLE_SIZE)
     frames = {name: df for name, (df, _) in prepared.items()}
     return PipelineContext(star, checks, frames, packages, usage, sample_size, search_options)
 
@@ -118,7 +127,7 @@ def ingest_and_retrain(
     fact = durable(context.star.fact_sales.unionByName(received).dropDuplicates())
     star = replace(context.star, fact_sales=fact)
     registry = models.build_model_registry()
-    prepared = prepare_all(star, context.sample_size)
+    prepared, usage = learn_from(star, context.sample_size)
     packages, status = {}, {}
     for name, (df, inputs) in prepared.items():
         current = context.packages.get(name)
@@ -133,7 +142,6 @@ def ingest_and_retrain(
             packages[name], status[name] = winner, "updated" if won else "kept"
         if model_dir and status[name] != "kept":
             models.save_package(spark, packages[name], model_dir)
-    usage = manifest.row_usage(star, context.sample_size or manifest.LEARNING_SAMPLE_SIZE)
     frames = {name: df for name, (df, _) in prepared.items()}
     updated = replace(context, star=star, prepared=frames, packages=packages, usage=usage)
     board = dashboard(context, updated, received, status)
@@ -155,16 +163,11 @@ def dashboard(
             F.lit(None).cast("string").alias("detail"),
         )
 
-    new_rows = received.dropDuplicates().join(
-        before.star.fact_sales.select("sales_sk"), "sales_sk", "left_anti"
-    )
-    parts = [
-        counted(before.star.fact_sales, "ingestion", "sales", "previous_rows"),
-        counted(received, "ingestion", "sales", "received_rows"),
-        counted(new_rows, "ingestion", "sales", "net_new_rows"),
-        counted(after.star.fact_sales, "ingestion", "sales", "total_rows"),
-    ]
-    known: list[tuple] = []
+    # One definition of a new row: what the merged fact has more than the one before.
+    previous, total = before.star.fact_sales.count(), after.star.fact_sales.count()
+    figures = {"previous_rows": previous, "net_new_rows": total - previous, "total_rows": total}
+    parts = [counted(received, "ingestion", "sales", "received_rows")]
+    known: list[tuple] = [("ingestion", "sales", k, float(v), None) for k, v in figures.items()]
     for name, df in after.prepared.items():
         parts.append(counted(df, "datasets", name, "rows"))
         known.append(("datasets", name, "columns", float(len(df.columns)), None))

@@ -87,10 +87,11 @@ class StarSchema:
     @classmethod
     def from_tables(cls, tables: dict[str, DataFrame]) -> StarSchema:
         """Pick the seven tables out of a loaded set, by long or short name."""
-        missing = missing_tables(tables)
+        found = {short: tables.get(long, tables.get(short)) for short, long in SHORT_NAMES.items()}
+        missing = [SHORT_NAMES[short] for short, df in found.items() if df is None]
         if missing:
             raise ValueError(f"missing tables: {', '.join(missing)}")
-        return cls(**{short: tables[long] for short, long in SHORT_NAMES.items()})
+        return cls(**found)
 
 
 def missing_tables(tables) -> list[str]:

@@ -237,3 +237,25 @@ def test_task_functions_travel_without_the_package():
         capture_output=True, check=True, cwd="/",
     )
     assert out.stdout.strip() == b"8"
+
+
+def test_manifest_without_a_sample_marks_everything(spark, small):
+    star = adapter.star(spark, small)
+    summary = {r.table_name: r for r in manifest.row_usage_summary(manifest.row_usage(star, None)).collect()}
+    assert summary["fact_sales"].unused_count == 0
+    assert summary["fact_sales"].used_count == star.fact_sales.count()
+    sample = manifest.earliest_sales(star.fact_sales, 50)
+    found = {r.table_name: r for r in manifest.row_usage_summary(manifest.row_usage(star, 50, sample)).collect()}
+    assert found["fact_sales"].used_count == 50
+    assert found["products"].used_count == sample.select("product_sk").distinct().count()
+
+
+def test_a_star_is_picked_by_long_or_short_names(spark, small):
+    from salescope.sources.schema import SHORT_NAMES, StarSchema
+
+    tables = adapter.star(spark, small).tables()
+    mixed = {(n if n in ("stores", "dates") else SHORT_NAMES[n]): df for n, df in tables.items()}
+    assert StarSchema.from_tables(mixed).tables().keys() == tables.keys()
+    del mixed["stores"]
+    with pytest.raises(ValueError, match="dim_stores"):
+        StarSchema.from_tables(mixed)
