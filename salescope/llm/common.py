@@ -23,6 +23,7 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 # ---- end of fixed values ----
 
+BUCKETS = 1 << 20
 MAX_ROUNDS = 60  # of the component search; a round at least halves every chain
 
 
@@ -65,6 +66,20 @@ def row_key(*columns: Column) -> Column:
     )
 
 
+def parted(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have one of ``keys``, and those that surely have none.
+
+    Only the first part needs a join, so wide rows without a partner are not
+    shuffled.  What is broadcast are the numbers of the buckets that the keys
+    fall in, ``BUCKETS`` at most; with very many keys all rows are in the first part.
+    """
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(BUCKETS))
+    used = F.broadcast(stored(keys.select(bucket.alias("__bucket")).distinct(), "buckets"))
+    tagged = rows.withColumn("__bucket", bucket)
+    some = tagged.join(used, "__bucket", "left_semi").drop("__bucket")
+    return some, tagged.join(used, "__bucket", "left_anti").drop("__bucket")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of the undirected ``edges(a, b)`` over long ids.
 

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import WORD, stored
+from salescope.llm.common import WORD, parted, stored
 from salescope.operators.ordered import ordered_scan
 from salescope.session import durable
 
@@ -74,13 +74,14 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
     again = stored(counts.filter("n > 1").select("h1", "h2"), "repeated")
     by_doc = Window.partitionBy(*DOC).orderBy("line")
+    # Rows of a repeated document have the same ranks and become one.
     numbered = (
         lines.join(again.withColumn("again", F.lit(1)), ["h1", "h2"], "left")
-        .dropDuplicates([*DOC, "line"])
-        .withColumn("n", F.row_number().over(by_doc))
+        .withColumn("n", F.dense_rank().over(by_doc))
         .filter("again = 1")
-        .withColumn("stretch", F.col("n") - F.row_number().over(by_doc))
+        .withColumn("stretch", F.col("n") - F.dense_rank().over(by_doc))
     )
+    numbered = numbered.withColumn("before", F.lag("line").over(by_doc)).filter("before IS NULL OR before < line")
     own = Window.partitionBy(*PLACE)
     long_enough = numbered.withColumn("words", F.sum("w").over(own)).filter(F.col("words") >= min_words)
     at = F.row_number().over(own.orderBy("line")) - 1
@@ -177,7 +178,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``(row, text, n_lines, n_removed)`` of every document; ``text`` lacks the later copies."""
     cuts = later_copies(docs, min_words).groupBy(*DOC)
     cuts = stored(cuts.agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("cuts")), "cuts")
-    rows = _keyed(docs).join(cuts, DOC, "left")
+    some, rest = parted(_keyed(docs), cuts, *DOC)
+    none = F.lit(None).cast(cuts.schema["cuts"].dataType)
+    rows = some.join(cuts, DOC, "left").unionByName(rest.withColumn("cuts", none))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, n: ~F.exists("cuts", lambda c: n.between(c["low"], c["high"])))
     removed = F.aggregate("cuts", F.lit(0).cast("long"), lambda n, c: n + c["high"] - c["low"] + 1)
