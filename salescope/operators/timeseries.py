@@ -108,3 +108,17 @@ def trend_slope(df: DataFrame, order: Sequence[str], value: str, name: str = "sl
     step = (F.row_number().over(Window.orderBy(*order)) - 1).cast("double")
     points = known.select(step.alias("x"), F.col(value).cast("double").alias("y"))
     return points.agg(F.regr_slope("y", "x").alias(name))
+
+
+def with_trend_slope(df: DataFrame, order: Sequence[str], value: str, name: str = "slope") -> DataFrame:
+    """The same slope on every row of the series, without evaluating the series twice.
+
+    The windows run over a period series, whose length is the number of periods.
+    """
+    whole = Window.partitionBy(F.lit(0))
+    known = F.col(value).isNotNull()
+    step = F.sum(known.cast("long")).over(whole.orderBy(*order)) - 1
+    x = F.when(known, step.cast("double"))
+    numbered = df.withColumn("__x", x)
+    slope = F.regr_slope(F.col(value).cast("double"), F.col("__x")).over(whole)
+    return numbered.withColumn(name, slope).drop("__x")

@@ -19,7 +19,7 @@ from salescope.operators import delivery
 from salescope.operators import distribution as dist
 from salescope.operators import timeseries as ts
 from salescope.operators.aggregates import grouped
-from salescope.operators.metrics import basket_size, lookup_join, summary_statistics
+from salescope.operators.metrics import lookup_join, summary_statistics
 from salescope.operators.scoring import weighted_score
 
 
@@ -112,7 +112,7 @@ def monthly(d: SalesData, **specs) -> DataFrame:
 
 
 def with_slope(series: DataFrame, value: str, name: str) -> DataFrame:
-    return series.withColumn(name, ts.trend_slope(series, ["period"], value, name).scalar())
+    return ts.with_trend_slope(series, ["period"], value, name)
 
 
 def revenue_trend(d: SalesData) -> DataFrame:
@@ -167,8 +167,33 @@ def order_value_stats(d: SalesData) -> DataFrame:
 
 def customer_states(d: SalesData) -> DataFrame:
     """Q9."""
-    specs = REVENUE | {"customers": ("customer_sk", "nunique"), "orders": ("sales_id", "nunique")}
-    return grouped(d.with_customer("state"), ["state"], specs)
+    figures = orders_by_state(d).withColumn("average_sale", ratio("revenue", "lines"))
+    return figures.select("state", *REVENUE, "customers", "orders")
+
+
+def orders_by_state(d: SalesData) -> DataFrame:
+    """Revenue, customers and orders per customer state.
+
+    An order has one customer, so orders are counted per customer before the
+    state is joined; no line reaches the join.
+    """
+    known = d.lines.filter(F.col("customer_sk").isNotNull())
+    per_customer = known.groupBy("customer_sk").agg(
+        F.sum("total_amount").alias("amount"),
+        F.count("total_amount").alias("lines"),
+        F.count_distinct("sales_id").alias("orders"),
+    )
+    named = lookup_join(per_customer, d.customers, "customer_sk", "customer_sk", ["state"])
+    return (
+        named.filter(F.col("state").isNotNull())
+        .groupBy("state")
+        .agg(
+            F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("revenue"),
+            F.sum("lines").alias("lines"),
+            F.count("customer_sk").alias("customers"),
+            F.sum("orders").alias("orders"),
+        )
+    )
 
 
 def category_rank(d: SalesData) -> DataFrame:
@@ -251,11 +276,7 @@ def by_attribute(d: SalesData, column: str) -> DataFrame:
 
 def state_ratio(d: SalesData) -> DataFrame:
     """Q19: orders per customer and state."""
-    counts = grouped(
-        d.with_customer("state"),
-        ["state"],
-        {"orders": ("sales_id", "nunique"), "customers": ("customer_sk", "nunique")},
-    )
+    counts = orders_by_state(d).select("state", "orders", "customers")
     return counts.withColumn("orders_per_customer", ratio("orders", "customers"))
 
 
@@ -333,8 +354,11 @@ def status_stats(d: SalesData) -> DataFrame:
 
 def basket_correlation(d: SalesData) -> DataFrame:
     """Q31."""
-    revenue = grouped(d.lines, ["sales_id"], {"revenue": ("total_amount", "sum")})
-    orders = revenue.join(basket_size(d.lines, "sales_id"), "sales_id")
+    known = d.lines.filter(F.col("sales_id").isNotNull())
+    orders = known.groupBy("sales_id").agg(
+        F.coalesce(F.sum("total_amount"), F.lit(0)).cast("double").alias("revenue"),
+        F.count(F.lit(1)).alias("basket_size"),
+    )
     return dist.correlation(orders, "basket_size", "revenue")
 
 
