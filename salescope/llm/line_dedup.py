@@ -59,32 +59,34 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
 
     ``i`` counts the lines of a stretch from 0, ``line`` those of the text.
     """
-    split = _keyed(docs).select(
-        "doc_id", *DOC, F.posexplode(F.split("text", "\n", -1)).alias("line", "content")
-    )
+    parts = F.transform(F.split("text", "\n", -1), lambda line, n: F.struct(n.alias("line"), line.alias("content")))
+    full = F.filter(parts, lambda part: F.regexp_like(part["content"], F.lit(WORD)))
+    split = _keyed(docs).select("doc_id", *DOC, F.posexplode(full).alias("n", "part"))
     lines = split.select(
         "doc_id",
         *DOC,
-        "line",
-        F.regexp_count("content", F.lit(WORD)).cast("long").alias("w"),
-        F.xxhash64("content").alias("h1"),
-        F.xxhash64(F.lit("second"), "content").alias("h2"),
+        "n",
+        "part.line",
+        F.regexp_count("part.content", F.lit(WORD)).cast("long").alias("w"),
+        F.xxhash64("part.content").alias("h1"),
+        F.xxhash64(F.lit("second"), "part.content").alias("h2"),
     )
-    lines = stored(lines.filter("w > 0"), "lines")
-    counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"))
-    again = stored(counts.filter("n > 1").select("h1", "h2"), "repeated")
-    by_doc = Window.partitionBy(*DOC).orderBy("line")
+    lines = stored(lines, "lines")
+    counts = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"))
+    again = stored(counts.filter("times > 1").select("h1", "h2"), "repeated")
+    # Most lines occur once, and most of those need no shuffle to know it.
+    some, _ = parted(lines, again, "h1", "h2")
+    by_doc = Window.partitionBy(*DOC).orderBy("n")
     # Rows of a repeated document have the same ranks and become one.
     numbered = (
-        lines.join(again.withColumn("again", F.lit(1)), ["h1", "h2"], "left")
-        .withColumn("n", F.dense_rank().over(by_doc))
-        .filter("again = 1")
+        some.join(again, ["h1", "h2"])
         .withColumn("stretch", F.col("n") - F.dense_rank().over(by_doc))
+        .withColumn("previous", F.lag("n").over(by_doc))
+        .filter("previous IS NULL OR previous < n")
     )
-    numbered = numbered.withColumn("before", F.lag("line").over(by_doc)).filter("before IS NULL OR before < line")
     own = Window.partitionBy(*PLACE)
     long_enough = numbered.withColumn("words", F.sum("w").over(own)).filter(F.col("words") >= min_words)
-    at = F.row_number().over(own.orderBy("line")) - 1
+    at = F.row_number().over(own.orderBy("n")) - 1
     return long_enough.select("doc_id", *PLACE, at.alias("i"), "line", "w", "h1", "h2")
 
 
@@ -106,19 +108,20 @@ def windows(lines: DataFrame, min_words: int) -> DataFrame:
 
 
 def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
-    """Add ``ranks``: for every ``2^k <= depth``, the rank of the next ``2^k`` lines of a position.
+    """``(u1, u2, stretch, i, line, ranks)``: for every ``2^k <= depth``, the rank of a position's next ``2^k`` lines.
 
     Equal lines have equal ranks, and ranks sort positions as the sequences of
     their lines sort; sorted by the last rank, the rows are the suffix array to
     that depth.  A sequence cut off by the end of its stretch sorts first.
     """
     order = [F.col(c) for c in (*PLACE, "i")]
-    rows = lines.withColumn("pair", F.struct("h1", "h2")).withColumn("ranks", F.array().cast("array<bigint>"))
+    rows = lines.select(*PLACE, "i", "line", F.struct("h1", "h2").alias("pair"))
+    rows = rows.withColumn("ranks", F.array().cast("array<bigint>"))
     own = Window.partitionBy(*PLACE).orderBy("i")
     step = 1
     while True:
         ranked = ordered_scan(rows, [F.col("pair"), *order], dense_rank=("pair", "rank"))
-        rows = ranked.withColumn("ranks", F.array_append("ranks", F.col("rank"))).drop("pair", "rank", "h1", "h2")
+        rows = ranked.withColumn("ranks", F.array_append("ranks", F.col("rank"))).drop("pair", "rank")
         if step * 2 > depth:
             return durable(rows)
         newest = F.element_at("ranks", -1)
@@ -132,8 +135,8 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = durable(windows(repeated_lines(docs, min_words), min_words))
     depth = lines.agg(F.max(F.greatest("m", "b"))).first()[0] or 1
     ranked = suffix_ranks(lines, depth)
-    begin = ranked.filter("m IS NOT NULL").select("doc_id", *PLACE, "i", F.col("m").alias("n"))
-    close = ranked.filter("b IS NOT NULL").select(
+    begin = lines.filter("m IS NOT NULL").select("doc_id", *PLACE, "i", F.col("m").alias("n"))
+    close = lines.filter("b IS NOT NULL").select(
         "doc_id", *PLACE, (F.col("i") - F.col("b") + 1).alias("i"), F.col("b").alias("n")
     )
     runs = begin.union(close).distinct()
