@@ -32,16 +32,17 @@ rank_values = ranked
 def top_n(df: DataFrame, group: str, value: str, n: int = 10) -> DataFrame:
     """Groups whose sum is among the ``n`` highest values; ties may give more rows.
 
-    Only the ``n`` values travel, not the ranking of all groups.
+    Only the ``n`` values travel, not the ranking of all groups.  Sums are
+    ranked in the type Spark adds up in, so close ones are no false ties.
     """
-    sums = grouped(df, [group], {value: (value, "sum")})
+    sums = exact_sums(df, group, value)
     best = sums.select(value).distinct().orderBy(F.desc(value)).limit(n)
     ranks = best.select(
         F.col(value).alias("__v"), F.row_number().over(Window.orderBy(F.desc(value))).alias("rank")
     )
     # at most n rows
     return sums.join(F.broadcast(ranks), sums[value] == ranks["__v"]).select(
-        group, value, F.col("rank").cast("long").alias("rank")
+        group, F.col(value).cast("double").alias(value), F.col("rank").cast("long").alias("rank")
     )
 
 

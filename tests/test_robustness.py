@@ -121,3 +121,11 @@ def test_fresh_folders_can_be_removed(spark):
     assert not os.path.exists(path)
     assert durable(spark.range(3)).count() == 3
     assert spark.conf.get("spark.cleaner.referenceTracking.cleanCheckpoints") == "true"
+
+
+def test_close_sums_are_no_ties(spark):
+    rows = spark.sql(
+        "SELECT * FROM VALUES ('a', 9007199254740993.0001BD), ('b', 9007199254740993.0002BD), ('c', 1BD) AS t(g, v)"
+    )
+    got = {r.g: r["rank"] for r in distribution.top_n(rows, "g", "v", 2).collect()}
+    assert got == {"b": 1, "a": 2}
