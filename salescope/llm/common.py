@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import atexit
 import sys
-import uuid
 from collections.abc import Sequence
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.session import durable, shared_dir
+from salescope.session import durable, fresh
 
 # The functions below travel with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,22 +25,6 @@ BUCKETS = 1 << 20
 MAX_ROUNDS = 60  # of the component search; a round at least halves every chain
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, deleted when the driver ends."""
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete ``path``; a session that has ended already has nothing to delete with."""
-    jvm = spark.sparkContext._jvm
-    if spark.sparkContext._jsc is None:
-        return
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
@@ -50,7 +32,7 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` and sorts or splits it above.
     """
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = fresh(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm import decontamination, embedding_dedup, html_extraction, line_dedup, mixing, pii, quality, simhash, url_filter, warc
-from salescope.llm.common import LOWER, UPPER, remove, scratch
-from salescope.session import durable
+from salescope.llm.common import LOWER, UPPER
+from salescope.session import durable, fresh, remove
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP4_SQL = rf"""
-WITH RECURSIVE d AS (
+WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (
@@ -69,7 +69,7 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
-""".replace("WITH RECURSIVE", "WITH")
+"""
 
 
 @query("op4_decontamination", OP4_SQL)
@@ -138,7 +138,7 @@ FROM g
 @query("op6_warc", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
-    path = scratch(spark, "warc")
+    path = fresh(spark, "warc")
     warc.write(pages, path)
     kind = pages.schema["page_id"].dataType
     found = warc.read(spark, path, payloads=False).select(

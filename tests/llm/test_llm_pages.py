@@ -9,7 +9,7 @@ import pytest
 from pyarrow import fs
 
 from salescope.llm import embedding_dedup, html_extraction, url_filter, warc
-from salescope.llm.common import scratch
+from salescope.session import fresh
 
 SCHEMA = "page_id long, url string, html string, host string, path string, rule string, digest string, payload string"
 
@@ -116,7 +116,7 @@ def expected_records(rows):
 @pytest.mark.parametrize("split", [64, 1000, 5000, 8 << 20])
 def test_archives_come_back_whole_for_any_split(spark, split):
     rows = awkward_pages()
-    path = scratch(spark, "warc")
+    path = fresh(spark, "warc")
     assert warc.write(spark.createDataFrame(rows, SCHEMA).repartition(3), path) == len(rows)
     if split == 64:  # many tiny ranges
         size = sum(f.size for f in fs.LocalFileSystem().get_file_info(fs.FileSelector(path.removeprefix("file:"))))
@@ -148,7 +148,7 @@ def test_damaged_members_are_passed_over(tmp_path):
 
 
 def test_archives_of_nothing(spark):
-    path = scratch(spark, "warc")
+    path = fresh(spark, "warc")
     assert warc.write(spark.createDataFrame([], SCHEMA), path) == 0
     assert warc.read(spark, path).count() == 0
 
