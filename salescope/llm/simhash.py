@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.llm.common import components, forest, row_key, stored
+from salescope.llm.common import components, forest, parted, row_key, stored
 from salescope.session import durable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -213,7 +213,8 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     smallest key; of rows that repeat both ``doc_id`` and text, any one.
     """
     found = near_duplicates(docs, **options)
-    by_key = found.groupBy("fp", "component_id", "doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    # Not by fp, which would tie the skewed join before it to this exchange.
+    by_key = found.groupBy("component_id", "doc_id", "key").agg(F.max("fp").alias("fp"), F.count(F.lit(1)).alias("rows"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     alone = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
     by_key = stored(by_key.withColumn("name", alone).withColumn("order", order), "documents")
@@ -221,9 +222,11 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     chosen = chosen.select(F.col("order.key").alias("key")).withColumn("chosen", F.lit(True))
     gone = stored(by_key.select("key").distinct().join(chosen.distinct(), "key", "left_anti"), "gone")
     keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), document_key(docs))
-    kept = keyed.join(gone, "key", "left_anti")
+    some, kept = parted(keyed, gone, "key")
+    kept = kept.unionByName(some.join(gone, "key", "left_anti"))
     twice = stored(by_key.filter("rows > 1").select("key").distinct(), "repeated")
     if not twice.isEmpty():
-        once = kept.join(twice, "key", "left_semi").dropDuplicates(["key"])
-        kept = kept.join(twice, "key", "left_anti").unionByName(once)
+        some, kept = parted(kept, twice, "key")
+        once = some.join(twice, "key", "left_semi").dropDuplicates(["key"])
+        kept = kept.unionByName(some.join(twice, "key", "left_anti")).unionByName(once)
     return kept.select("row.*")
