@@ -13,9 +13,12 @@ of all pages sends one wrapper per task, in two steps.
 The wrapper judges its slots, and a page is read by the verdicts of its host's
 slots.  Boilerplate elements (menus, headers, footers, sidebars, notices, adverts,
 forms, reader comments, hidden ones), told by element, role, class or id, are out.
-Of the rest, a page's articles are its text; without one its ``main`` element;
-without either the slots of the wrapper, but not texts that are the same on all of
-at least ``LEAST_PAGES`` pages and not slots that only ever hold links.
+Of the rest, the wrapper's verdicts decide, inside articles too: a block is out if
+each of its texts is the same wherever the wrapper has its place, on at least
+``LEAST_PAGES`` pages with different contents, or stands in a block that only ever
+holds links (inside articles and ``main``: on as many such pages).  What is left of a
+page's articles is its text; without any that of its ``main`` element; without either
+all that is left.  A page whose articles or ``main`` hold nothing else keeps it.
 
 White space includes all Unicode spaces.  A ``<br>`` and the border of a table cell
 are white space; other block elements begin and end blocks.
@@ -191,7 +194,17 @@ def events(html: str) -> Iterator[tuple[str, str]]:
 
 # A node of a wrapper is [key, repeated, optional, text, children]; the key of a
 # text is "#", that of a repeated group of elements "+".  ``text`` is a hash of the
-# text that all pages have there, or "*" for a slot.
+# text that all pages have there, or "*" for a slot.  In place of children a text has
+# hashes of the contents of pages that have it: ``LEAST_PAGES`` different ones at most.
+
+
+def content_level(key: str) -> int:
+    """Which of ``CONTENT`` an element is, or their number."""
+    if key.startswith(CONTENT):
+        name = re.split("[.#@]", key, maxsplit=1)[0]
+        if name in CONTENT:
+            return CONTENT.index(name)
+    return CONTENT.index("main") if key.endswith("@main") else len(CONTENT)
 
 
 def stream(html: str) -> list:
@@ -199,7 +212,15 @@ def stream(html: str) -> list:
     root = ["", False, False, None, []]
     path = [root]
     deeper = 0
+    own: list[int] = []  # filled at the end; merged nodes of one page still share it
+    levels: list[int | None] = [len(CONTENT)]  # of every open element: where its text counts
+    contents = [0] * (len(CONTENT) + 1)
     for kind, value in events(html):
+        if kind == "open":
+            level = levels[-1]
+            levels.append(None if level is None or value[0] in "-~" else min(level, content_level(value)))
+        elif kind == "close":
+            levels.pop()
         if kind == "open":
             if len(path) > DEPTH:
                 deeper += 1
@@ -214,9 +235,12 @@ def stream(html: str) -> list:
             node = path.pop()
             node[4] = fold(node[4])
         elif kind == "text" and not value.isspace():
-            text = f"{crc32(' '.join(value.split()).encode('utf-8', 'replace')):x}"
-            path[-1][4].append(["#", False, False, text, []])
+            words = " ".join(value.split()).encode("utf-8", "replace")
+            path[-1][4].append(["#", False, False, f"{crc32(words):x}", own])
+            if levels[-1] is not None:
+                contents[levels[-1]] = crc32(words, contents[levels[-1]])
     root[4] = fold(root[4])
+    own.append(next((c for c in contents if c), 0))
     return root
 
 
@@ -252,6 +276,9 @@ def fold(nodes: list) -> list:
 def merge(a: list, b: list) -> list:
     """The wrapper of all that two nodes of the same shape match."""
     text = a[3] if a[3] == b[3] else "*"
+    if a[0] == "#":
+        pages = a[4] if a[4] is b[4] else sorted({*a[4], *b[4]})[:LEAST_PAGES]
+        return ["#", a[1] or b[1], a[2] or b[2], text, pages]
     return [a[0], a[1] or b[1], a[2] or b[2], text, align(a[4], b[4])]
 
 
@@ -297,7 +324,7 @@ def align(a: list, b: list) -> list:
 
 def expression(node: list) -> str:
     """A wrapper as text: ``(...)+`` repeated, ``(...)?`` optional, ``#`` a text all pages have, ``*`` a slot."""
-    inner = " ".join(map(expression, node[4]))
+    inner = "" if node[0] == "#" else " ".join(map(expression, node[4]))
     own = ("*" if node[3] == "*" else "#") if node[0] == "#" else inner if node[0] in ("", "+") else f"<{node[0]}>{inner}</>"
     for flag, mark in ((node[1], "+"), (node[2], "?")):
         own = f"({own}){mark}" if flag else own
@@ -310,22 +337,33 @@ def below(path: int, key: str) -> int:
 
 
 def slots(wrapper: list, pages: int) -> dict[int, bool]:
-    """Path -> whether its text belongs to a page that has neither article nor main."""
+    """Path -> whether its text belongs to a page."""
     found: dict[int, bool] = {}
+    links: list[tuple[int, int, bool]] = []  # path, block around the link, whether the pages suffice
+    held: set[int] = set()  # blocks that hold text besides links
 
-    def visit(node: list, path: int, link: bool, sure: bool) -> None:
-        """sure: on every page, once."""
+    def visit(node: list, path: int, block: int, link: bool, content: bool) -> None:
         for child in node[4]:
-            single = sure and not child[1] and not child[2]
             if child[0] == "#":
-                fixed = child[3] != "*" and single
-                found[path] = found.get(path, False) or not (fixed or link)
+                known = pages >= LEAST_PAGES and len(child[4]) >= LEAST_PAGES
+                keeps = not (known and child[3] != "*")
+                if link and keeps:
+                    links.append((path, block, content and not known))
+                    continue
+                found[path] = found.get(path, False) or keeps
+                if keeps:
+                    held.add(block)
             elif child[0] == "+":
-                visit(child, path, link, single)
+                visit(child, path, block, link, content)
             else:
-                visit(child, below(path, child[0]), link or child[0].split(".")[0] == "a", single)
-
-    visit(wrapper, 0, False, pages >= LEAST_PAGES)
+                at = below(path, child[0])
+                name = re.split("[.#@]", child[0].lstrip("-~"), maxsplit=1)[0]
+                inside = content or content_level(child[0]) < len(CONTENT)
+                visit(child, at, at if name in BLOCKS else block, link or name == "a", inside)
+
+    visit(wrapper, 0, 0, False, False)
+    for path, block, keeps in links:
+        found[path] = found.get(path, False) or keeps or block in held
     return found
 
 
@@ -417,22 +455,24 @@ def main_text(html: str, verdicts: dict[int, bool]) -> str:
             if last is None or value[0] in "-~":
                 path.append(None)
             else:
-                name = re.split("[.#@]", value, maxsplit=1)[0]
-                main = name == "main" or value.endswith("@main")
-                path.append((last[0] or name == "article", last[1] or main, below(last[2], value)))
+                level = content_level(value)
+                path.append((last[0] or level == 0, last[1] or level == 1, below(last[2], value)))
         elif kind == "close":
             path.pop()
         elif kind == "break":
             block += 1
         elif path[-1] is not None:
             texts.append((block, path[-1], " " if kind == "space" else value))
-    for level in range(len(CONTENT)):
-        own = [t for t in texts if t[1][level]]
-        if any(not t[2].isspace() for t in own):
-            texts = own
+    belongs = {t[0] for t in texts if verdicts.get(t[1][2], True) and not t[2].isspace()}
+    own = [[t for t in texts if t[1][level]] for level in range(len(CONTENT))]
+    left = [[t for t in some if t[0] in belongs] for some in (*own, texts)]
+    # Each judged, then articles and main elements as they are.
+    for some in (*left[:-1], *own, left[-1]):
+        if any(not t[2].isspace() for t in some):
+            texts = some
             break
     else:
-        texts = [t for t in texts if verdicts.get(t[1][2], True)]
+        texts = []
     blocks: dict[int, list[str]] = {}
     for number, _, text in texts:
         blocks.setdefault(number, []).append(text)

@@ -196,6 +196,39 @@ def test_wrapper_of_a_host():
     assert html_extraction.main_text(pages[0], verdicts) == "a\nb\nx"
 
 
+def articles(n, body="<p>Text {0} of <a>link {0}</a>.</p><p>More {0}</p>", same="<div class='x7'>Notice of the house</div>"):
+    links = "<ul class='x8'><li><a>To {0}</a></li><li><a>And {0}</a></li></ul>"
+    return [f"<body><article>{same}{body}{links}</article></body>".format(i) for i in range(n)]
+
+
+def wrapper_of(pages):
+    wrapper = html_extraction.stream(pages[0])
+    for page in pages[1:]:
+        wrapper = html_extraction.merge(wrapper, html_extraction.stream(page))
+    return wrapper
+
+
+def test_wrapper_decides_inside_articles(spark):
+    """Neutral names: only the other pages of the host tell what is boilerplate."""
+    pages = articles(4)
+    found = html_extraction.extract(spark.createDataFrame([(n, "http://h/", p, *["x"] * 5) for n, p in enumerate(pages)], SCHEMA).repartition(3))
+    assert {r.page_id: r.text for r in found.collect()} == {n: f"Text {n} of link {n}.\nMore {n}" for n in range(4)}
+    assert html_extraction.main_text(pages[1], {}) == "Notice of the house\nText 1 of link 1.\nMore 1\nTo 1\nAnd 1"
+    # a notice that only some pages have
+    pages = articles(3) + articles(3, same="", body="<p>Other {0}</p>")
+    verdicts = html_extraction.slots(wrapper_of(pages), 6)
+    assert [html_extraction.main_text(p, verdicts) for p in (pages[0], pages[4])] == ["Text 0 of link 0.\nMore 0", "Other 1"]
+
+
+def test_copies_are_no_evidence_against_an_article():
+    for pages in (articles(1) * 5, articles(2)):
+        verdicts = html_extraction.slots(wrapper_of(pages), len(pages))
+        assert all(html_extraction.main_text(p, verdicts) == html_extraction.main_text(p, {}) for p in pages)
+    pages = [f"<main><ul><li><a>{n}</a></li></ul></main>" for n in range(5)]
+    verdicts = html_extraction.slots(wrapper_of(pages), 5)
+    assert html_extraction.main_text(pages[3], verdicts) == "3"
+
+
 def test_extraction_of_awkward_rows(spark):
     rows = [(n, "http://h/", html, *["x"] * 5) for n, (html, _) in enumerate(PAGES.values())]
     rows += [(50, None, "<article>n</article>", *[None] * 5), (None, "x", None, *[None] * 5), (51, "http://h/", "<p>" * 30_000 + "deep" + "<div>" * 3000 + "end", *[None] * 5)]
