@@ -34,8 +34,10 @@ from __future__ import annotations
 import json
 import re
 import sys
+from bisect import bisect_right, insort
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from zlib import crc32
 
 import pyarrow as pa
@@ -70,18 +72,15 @@ OUT_WORDS = COMMENT_WORDS | frozenset(
 )
 # ---- end of fixed values ----
 PERIOD = 3
-DEPTH = 64  # elements below this level are text of the last one above it
+DEPTH = 64  # elements below this level are text of the last one above it, in wrappers and in pages
 LEAST_PAGES = 3
 FLUSH = 2000  # hosts that a task holds before it passes its wrappers on
 STEPS = 16  # wrappers of a host that are merged by one key in the first step
-ALIGN = 250_000  # cells of an alignment; longer lists are aligned by their ends
+ALIGN = 250_000  # cells of an alignment in one table; longer lists are cut at a cell of a best path
 
-# A tag ends at the first ">" outside a quoted value; quotes elsewhere mean nothing.
-TOKEN = re.compile(
-    r"<!--|<[!?][^>]*>?"
-    r"|</?[a-zA-Z](?:[^'\">=]++|=\s*+(?:\"[^\"]{0,8192}+\"|'[^']{0,8192}+')?|['\"])*+>"
-    r"|[^<]+|<"
-)
+# Other tags, such as those with a value, are ended by ``Tags``.
+TOKEN = re.compile(r"<!--|<[!?][^>]*>?|</?[a-zA-Z][^'\">=<]*+>|[^<]+|<")
+TAG_STEP = re.compile(r">|=\s*([\"'])")
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?(?=[\s/>\"']|$)", re.I)
 MARKED = re.compile(r"class|id|role|hidden|style", re.I)
 OPENING = re.compile("</?[a-zA-Z]")
@@ -115,11 +114,46 @@ def _key(tag: str, token: str, inside: bool) -> str:
     return ("-" if out or (tag != "article" and words & OUT_WORDS) else "") + label
 
 
+class Tags:
+    """Ends of tags: the first ">" outside a quoted value; quotes elsewhere mean nothing.
+
+    Searches that found no end are remembered, so that all of them take linear time together.
+    """
+
+    def __init__(self, html: str):
+        self.html = html
+        self.dead: list[tuple[int, int]] = []  # ranges outside of values from which no end comes, in order
+        self.dead_from = len(html)  # no more steps
+        self.last = {q: html.rfind(q) for q in "\"'"}
+
+    def end(self, at: int) -> int:
+        """After the end of the tag that begins at ``at``, or -1."""
+        passed = []
+        while at < self.dead_from:
+            known = bisect_right(self.dead, (at, len(self.html))) - 1
+            if known >= 0 and at <= self.dead[known][1]:
+                break
+            step = TAG_STEP.search(self.html, at)
+            if step is None:
+                self.dead_from = at
+                break
+            if step.group() == ">":
+                return step.end()
+            passed.append((at, step.start()))
+            quote = step.group(1)
+            closed = self.last[quote] >= step.end()
+            at = self.html.index(quote, step.end()) + 1 if closed else step.end()
+        for some in passed:
+            insort(self.dead, some)
+        return -1
+
+
 def events(html: str) -> Iterator[tuple[str, str]]:
     """``open`` and ``close`` with a key, ``text`` with a decoded text, ``break`` and ``space``."""
     stack: list[tuple[str, str]] = []
     at, size, content = 0, len(html), 0  # content: articles and main elements that are open
     last = html.rfind(">")
+    tags = Tags(html)
 
     def pop(n: int) -> Iterator[tuple[str, str]]:
         nonlocal content
@@ -134,7 +168,11 @@ def events(html: str) -> Iterator[tuple[str, str]]:
         if at > last and OPENING.match(html, at):
             break  # the page ends inside a tag
         match = TOKEN.match(html, at)
-        token, at = match.group(), match.end()
+        token, begin, at = match.group(), at, match.end()
+        if token == "<" and OPENING.match(html, begin):
+            end = tags.end(begin)
+            if end > 0:
+                token, at = html[begin:end], end
         if token[0] != "<" or token == "<":
             yield "text", unescape(token)
             continue
@@ -235,6 +273,8 @@ def stream(html: str) -> list:
             node = path.pop()
             node[4] = fold(node[4])
         elif kind == "text" and not value.isspace():
+            if deeper and levels[-1] is None:
+                continue  # boilerplate is no part of the last element's text
             words = " ".join(value.split()).encode("utf-8", "replace")
             path[-1][4].append(["#", False, False, f"{crc32(words):x}", own])
             if levels[-1] is not None:
@@ -282,6 +322,58 @@ def merge(a: list, b: list) -> list:
     return [a[0], a[1] or b[1], a[2] or b[2], text, align(a[4], b[4])]
 
 
+def common(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+    """The pairs of a longest common sequence, in linear memory (Hirschberg)."""
+    m, n = len(a), len(b)
+    pairs = []
+    if m * n <= ALIGN:
+        longest = [[0] * (n + 1) for _ in range(m + 1)]
+        for i in range(m - 1, -1, -1):
+            for j in range(n - 1, -1, -1):
+                same = a[i] == b[j]
+                longest[i][j] = longest[i + 1][j + 1] + 1 if same else max(longest[i + 1][j], longest[i][j + 1])
+        i = j = 0
+        while i < m and j < n:
+            if a[i] == b[j]:
+                pairs.append((i, j))
+                i, j = i + 1, j + 1
+            elif longest[i + 1][j] >= longest[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+        return pairs
+    if m == 1:
+        return [(0, b.index(a[0]))] if a[0] in b else []
+    half = m // 2
+    upper, lower = prefixes(a[:half], b), prefixes(a[:half - 1 : -1], b[::-1])
+    cut = max(range(n + 1), key=lambda j: upper[j] + lower[n - j])
+    pairs = common(a[:half], b[:cut])
+    return pairs + [(half + i, cut + j) for i, j in common(a[half:], b[cut:])]
+
+
+def prefixes(a: list[int], b: list[int]) -> list[int]:
+    """Lengths of the longest common sequences of ``a`` and every prefix of ``b``, a row of bits at a time."""
+    places: dict[int, list[int]] = {}
+    for j, x in enumerate(b):
+        places.setdefault(x, []).append(j)
+    kept: dict[int, int] = {}  # rows of frequent numbers
+    full = row = (1 << len(b)) - 1
+    for x in a:
+        if x not in places:
+            continue
+        bits = kept.get(x)
+        if bits is None:
+            own = bytearray(len(b) // 8 + 1)
+            for j in places[x]:
+                own[j >> 3] |= 1 << (j & 7)
+            bits = int.from_bytes(own, "little")
+            if len(places[x]) > 64:
+                kept[x] = bits
+        seen = row & bits
+        row = ((row + seen) | (row - seen)) & full
+    return [0, *accumulate(int(bit == "0") for bit in f"{row:0{len(b)}b}"[::-1])]
+
+
 def align(a: list, b: list) -> list:
     """Align two lists; what only one has becomes optional."""
     left, right = list(map(shape, a)), list(map(shape, b))
@@ -295,21 +387,9 @@ def align(a: list, b: list) -> list:
         end += 1
     pairs = [(n, n) for n in range(start)]
     m, n = len(a) - start - end, len(b) - start - end
-    if m * n <= ALIGN:
-        longest = [[0] * (n + 1) for _ in range(m + 1)]
-        for i in range(m - 1, -1, -1):
-            for j in range(n - 1, -1, -1):
-                same = left[start + i] == right[start + j]
-                longest[i][j] = longest[i + 1][j + 1] + 1 if same else max(longest[i + 1][j], longest[i][j + 1])
-        i = j = 0
-        while i < m and j < n:
-            if left[start + i] == right[start + j]:
-                pairs.append((start + i, start + j))
-                i, j = i + 1, j + 1
-            elif longest[i + 1][j] >= longest[i][j + 1]:
-                i += 1
-            else:
-                j += 1
+    numbers: dict[tuple, int] = {}
+    middles = ([numbers.setdefault(x, len(numbers)) for x in some] for some in (left[start : start + m], right[start : start + n]))
+    pairs += [(start + i, start + j) for i, j in common(*middles)]
     pairs += [(len(a) - k, len(b) - k) for k in range(end, 0, -1)]
     out: list = []
     i = j = 0
@@ -456,7 +536,8 @@ def main_text(html: str, verdicts: dict[int, bool]) -> str:
                 path.append(None)
             else:
                 level = content_level(value)
-                path.append((last[0] or level == 0, last[1] or level == 1, below(last[2], value)))
+                at = below(last[2], value) if len(path) <= DEPTH else last[2]  # as in stream()
+                path.append((last[0] or level == 0, last[1] or level == 1, at))
         elif kind == "close":
             path.pop()
         elif kind == "break":

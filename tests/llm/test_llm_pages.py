@@ -229,6 +229,50 @@ def test_copies_are_no_evidence_against_an_article():
     assert html_extraction.main_text(pages[3], verdicts) == "3"
 
 
+def test_long_lists_are_aligned_exactly(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(60):
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(40))] for _ in range(2))
+        longest = len(html_extraction.common(a, b))
+        monkeypatch.setattr(html_extraction, "ALIGN", 4)
+        pairs = html_extraction.common(a, b)
+        monkeypatch.undo()
+        assert len(pairs) == longest and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+    def page(n):  # unlike siblings around a notice
+        own = [f"<div class={chr(112 + n)}{''.join(chr(97 + int(c)) for c in str(k))}>" for k in range(600)]
+        return "".join(f"{d}t{n}{k}</div>" for k, d in enumerate(own[:300] + ["<h5>"] + own[300:])).replace(f"t{n}300", "Notice")
+
+    pages = [page(n) for n in range(3)]
+    verdicts = html_extraction.slots(wrapper_of(pages), 3)
+    for n, html in enumerate(pages):
+        lines = html_extraction.main_text(html, verdicts).split("\n")
+        assert "Notice" not in lines and len(lines) == 600
+
+
+def test_deep_boilerplate_is_judged():
+    pages = [f"<p>Text {n}</p>" + "<div>" * 70 + f"Notice<nav>m{n}</nav>" + "</div>" * 70 for n in range(3)]
+    wrapper = wrapper_of(pages)
+    assert html_extraction.main_text(pages[0], html_extraction.slots(wrapper, 3)) == "Text 0"
+
+
+def test_ends_of_tags():
+    import re
+
+    for quote in "\"'":
+        html = f"<p title={quote}{'x' * 9000}> spill{quote}>text</p>"
+        assert html_extraction.main_text(html, {}) == "text"
+    slow = re.compile(r"<[a-z](?:[^'\">=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|['\"])*+>")
+    rng = random.Random(5)
+    for _ in range(4000):
+        html = "".join(rng.choices(["<a", "=", '"', "'", ">", " ", "x"], k=rng.randrange(1, 30)))
+        tags = html_extraction.Tags(html)
+        for at in [m.start() for m in re.finditer("<a", html)]:
+            found = slow.match(html, at)
+            assert tags.end(at) == (found.end() if found else -1), (html, at)
+
+
 def test_extraction_of_awkward_rows(spark):
     rows = [(n, "http://h/", html, *["x"] * 5) for n, (html, _) in enumerate(PAGES.values())]
     rows += [(50, None, "<article>n</article>", *[None] * 5), (None, "x", None, *[None] * 5), (51, "http://h/", "<p>" * 30_000 + "deep" + "<div>" * 3000 + "end", *[None] * 5)]
