@@ -11,8 +11,11 @@ held-out cases adds none.
 There are no labels of personal data, so the trees learn from the base rules:
 candidates that are base spans are positive, with copies of them in other
 spellings; candidates that touch no base span, and copies with a broken check
-digit, part or length, are negative.  They learn from the candidates of about
-``SAMPLE`` documents, chosen by hash; every whole text is searched and scored.
+digit, part or length, are negative.  They learn from the candidates of two thirds
+of about ``SAMPLE`` documents, chosen by hash; of a kind with more than its share of
+``MAX_ROWS`` candidates there, from those of some of the documents.  The thresholds
+come from a third of all documents, held out by hash, and every whole text is
+searched and scored.
 
 Base spans, leftmost and not overlapping within a kind, always stay; an added
 span never overlaps one.  All searches take time linear in the text.
@@ -35,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,13 +57,15 @@ CARD_DIGITS = range(14, 20)
 PHONE_DIGITS = range(10, 16)
 # ---- end of fixed values ----
 SAMPLE = 20_000
-MAX_ROWS = 100_000  # candidates that the trees learn from
+MAX_ROWS = 100_000  # candidates that the trees learn from, in equal shares of the kinds
+HELD = 3  # one of so many documents is held out
 TREES = 12
 DEPTH = 3
 PRECISION = 0.98
 LEAST = 20  # held-out positives that a threshold needs
 STEPS = 50  # of the thresholds
 CONTEXT = 40  # characters around a span
+CHUNK = 20_000  # candidates that are judged at once
 
 AT = re.compile(r"[\[({<]\x20?(?:at|AT)\x20?[\])}>]")
 SPELLED = re.compile(r"\x20?[A-Za-z0-9-]+(?:(?:\x20?[\[({<]\x20?(?:dot|DOT)\x20?[\])}>]\x20?|\.)[A-Za-z0-9-]+)+")
@@ -139,7 +144,7 @@ def candidates(text: str) -> set[Span]:
     found = set(emails(text))
     for match in AT.finditer(text):
         high = match.start() - (text[match.start() - 1 : match.start()] == " ")
-        start = _before(text, max(0, high - CONTEXT), high, LOCAL)
+        start = _before(text, 0, high, LOCAL)
         host = SPELLED.match(text, match.end())
         if host and start < high:
             found.add(("email", start, host.end()))
@@ -258,41 +263,83 @@ N_FEATURES = len(span_features("", ("email", 0, 0)))
 Model = tuple[list[list[tuple]], list[float], dict[str, float]]
 
 
-def fit(docs: DataFrame) -> Model:
-    """``(trees, weights, thresholds)``, as plain values."""
-    texts = docs.select(docs["text"].cast("string").alias("text")).filter("length(text) > 0")
-    scale = 1 << 30
-    share = min(1.0, SAMPLE / max(texts.count(), 1))
-    texts = texts.filter(F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(scale)) < int(share * scale))
+SCALE = 1 << 30
+
+
+def learning_rows(texts: DataFrame) -> DataFrame:
+    """``(x, y)`` of the candidates that the trees learn from, chosen per document and kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(x, y, zlib.crc32(t.encode()) % 3 == 0) for t in batch.column(0).to_pylist() for x, y in examples(t)]
-            columns = list(zip(*rows)) or [(), (), ()]
-            kinds = (pa.list_(pa.float64()), pa.int32(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["x", "y", "held"])
-
-    found = stored(texts.mapInArrow(run, "x array<double>, y int, held boolean"), "candidates")
-    total = found.count()
-    if total > MAX_ROWS:
-        found = found.filter(F.pmod(F.xxhash64("x"), F.lit(scale)) < int(MAX_ROWS / total * scale))
-    found = found.select(array_to_vector("x").alias("features"), "x", F.col("y").cast("double").alias("label"), "held")
-    learn = found.filter("NOT held")
-    if learn.select("label").distinct().count() < 2:
-        return [], [], {}
-    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(learn)
-    step = F.floor(vector_to_array("probability")[1] * STEPS)
-    kind = F.array_position(F.slice("x", 1, len(KINDS)), F.lit(1.0))
-    judged = model.transform(found.filter("held")).select(kind.alias("kind"), step.alias("step"), "label")
-    counts = judged.groupBy("kind", "step").agg(F.sum("label"), F.count(F.lit(1))).collect()
+            rows = []
+            for text in batch.column(0).to_pylist():
+                at = zlib.crc32(text.encode(), HELD)
+                rows += [(x, y, x.index(1.0), at) for x, y in examples(text)]
+            columns = list(zip(*rows)) or [()] * 4
+            kinds = (pa.list_(pa.float64()), pa.int32(), pa.int32(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["x", "y", "kind", "at"])
+
+    found = stored(texts.mapInArrow(run, "x array<double>, y int, kind int, at long"), "candidates")
+    kept = F.lit(True)
+    for kind, total in found.groupBy("kind").count().collect():
+        share = int(min(1.0, MAX_ROWS / len(KINDS) / total) * SCALE)
+        kept = kept & ((F.col("kind") != kind) | (F.pmod(F.xxhash64("kind", "at"), F.lit(SCALE)) < share))
+    return found.filter(kept).select("x", "y")
+
+
+def calibrate(held: DataFrame, trees: list[list[tuple]], weights: list[float]) -> dict[str, float]:
+    """Kind -> the lowest threshold that keeps ``PRECISION`` on the held-out texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, labels = [], []
+            totals = np.zeros((len(KINDS), STEPS + 1, 2), dtype=np.int64)
+
+            def count() -> None:
+                table = np.array(rows)
+                steps = (probabilities(table, trees, weights) * STEPS).astype(int)
+                kinds = table[:, : len(KINDS)].argmax(axis=1)
+                np.add.at(totals, (kinds, steps, 0), labels)
+                np.add.at(totals, (kinds, steps, 1), 1)
+
+            for text in batch.column(0).to_pylist():
+                for x, y in examples(text):
+                    rows.append(x)
+                    labels.append(y)
+                if len(rows) >= CHUNK:
+                    count()
+                    rows, labels = [], []
+            if rows:
+                count()
+            kinds, steps = np.nonzero(totals[:, :, 1])
+            columns = [kinds, steps, totals[kinds, steps, 0], totals[kinds, steps, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["kind", "step", "ones", "n"])
+
+    judged = held.mapInArrow(run, "kind long, step long, ones long, n long")
+    counts = judged.groupBy("kind", "step").agg(F.sum("ones"), F.sum("n")).collect()
     thresholds = {}
-    for n, name in enumerate(KINDS, 1):
-        positive = rows = 0.0
+    for n, name in enumerate(KINDS):
+        positive = rows = 0
         for _, at, ones, size in sorted((r for r in counts if r[0] == n), key=lambda r: -r[1]):
             positive, rows = positive + ones, rows + size
             if positive >= LEAST and positive >= PRECISION * rows:
                 thresholds[name] = at / STEPS
-    return [_flat(t._java_obj.rootNode()) for t in model.trees], list(model.treeWeights), thresholds
+    return thresholds
+
+
+def fit(docs: DataFrame) -> Model:
+    """``(trees, weights, thresholds)``, as plain values."""
+    texts = docs.select(docs["text"].cast("string").alias("text")).filter("length(text) > 0")
+    share = min(1.0, SAMPLE / max(texts.count(), 1))
+    held = F.crc32(F.col("text").cast("binary")) % HELD == 0
+    sample = texts.filter(F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(SCALE)) < int(share * SCALE))
+    found = learning_rows(sample.filter(~held))
+    learn = found.select(array_to_vector("x").alias("features"), F.col("y").cast("double").alias("label"))
+    if learn.select("label").distinct().count() < 2:
+        return [], [], {}
+    model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=1).fit(learn)
+    trees, weights = [_flat(t._java_obj.rootNode()) for t in model.trees], list(model.treeWeights)
+    return trees, weights, calibrate(texts.filter(held), trees, weights)
 
 
 def _flat(root) -> list[tuple]:

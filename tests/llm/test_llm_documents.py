@@ -450,6 +450,34 @@ def test_personal_data_of_documents(spark, medium, docs, none):
     assert pii.find(docs.limit(2)).count() == 2
 
 
+def cards(count, every):
+    """Texts with numbers, one of ``every`` with a card."""
+    rng = random.Random(3)
+    for n in range(count):
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        digits = next(digits + c for c in "0123456789" if pii.luhn(digits + c))
+        wrong = digits[:-1] + str((int(digits[-1]) + 1) % 10)
+        yield (f"text {n}, card {digits} paid" if n % every == 0 else f"text {n}, order {wrong} sent",)
+
+
+def test_thresholds_cover_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SAMPLE", 300)
+    texts = spark.createDataFrame(list(cards(3000, 60)), "text string").repartition(4)
+    assert "card" in pii.fit(texts)[2]  # fewer than LEAST held-out positives in the sample, enough in all
+
+
+def test_learning_rows_are_chosen_per_document(spark, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_ROWS", 400)
+    texts = spark.createDataFrame(list(cards(600, 1)) + [("a.b@example.com",)], "text string").repartition(2)
+    kinds = [row.x.index(1.0) for row in pii.learning_rows(texts).collect()]
+    assert 40 <= kinds.count(2) <= 160 and kinds.count(0) == 3
+
+
+def test_long_local_parts_are_candidates():
+    name = "first.middle." * 8 + "last"
+    assert ("email", 3, 3 + len(name) + 17) in pii.candidates(f"to {name} (at) example.com")
+
+
 def test_redaction():
     text = "mail é@ a.b@example.com, call +1 (555) 555-5555."
     spans = pii.joined(pii.base_spans(text))
