@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from salescope.catalog.datasets import DATASETS, customer_frame, forecast
@@ -15,15 +17,11 @@ from salescope.plans import datasets, features, models, pipeline
 from salescope.plans.preprocess import preprocess
 from salescope.sources import adapter
 
-# One small candidate, so that a query trains once; a real run searches the registry's grid.
-SMALL = {"n_estimators": [5], "max_depth": [3], "learning_rate": [0.1]}
-SMALLEST = {"n_estimators": [2], "max_depth": [2], "learning_rate": [0.1]}
-
 
 def trained(spark, folder, name):
     data, inputs = pipeline.prepare_dataset(name, DATASETS[name](spark, folder))
     registry = models.build_model_registry()
-    return data, pipeline.train_one(name, data, inputs, registry, grid=SMALL)
+    return data, pipeline.train_one(name, data, inputs, registry)
 
 
 def _scores(name):
@@ -42,6 +40,23 @@ for _name in ("churn", "ltv", "demand", "forecast"):
     _scores(_name)
 
 
+@query("search_results")
+def search_results(spark, folder, draws=models.SEARCH_DRAWS, grid=None, names=("churn", "ltv", "demand", "forecast")):
+    """``(model, candidate, fold, parameters, score)`` of the search of every model."""
+    rows = []
+    for name in names:
+        data, inputs = pipeline.prepare_dataset(name, DATASETS[name](spark, folder))
+        spec, label = models.build_model_registry()[name], datasets.PRIMARY_TARGET[name]
+        train = data.filter("split = 'train'")
+        if spec.task == "classification":
+            train = models.with_weight(train, label)
+        candidates = models.draw_parameters(grid or spec.grid, draws)
+        scores = models.fold_scores(spec, train, inputs, label, pipeline.ROW_KEYS[name], candidates)
+        for n, (candidate, found) in enumerate(zip(candidates, scores)):
+            rows += [(name, n, k, json.dumps(candidate), float(x)) for k, x in enumerate(found)]
+    return spark.createDataFrame(rows, "model string, candidate int, fold int, parameters string, score double")
+
+
 @query("feature_importance")
 def feature_importance(spark, folder):
     _, package = trained(spark, folder, "ltv")
@@ -50,7 +65,7 @@ def feature_importance(spark, folder):
 
 @query("champion_challenger")
 def champion_challenger(spark, folder):
-    """Five trees defend against ten on the same test rows, over a saved package."""
+    """The best of ten draws defends against that of ten others on the same test rows, over a saved package."""
     data, champion = trained(spark, folder, "ltv")
     store = fresh(spark, "models")
     models.save_package(spark, champion, store)
@@ -58,7 +73,7 @@ def champion_challenger(spark, folder):
     spec = models.build_model_registry()["ltv"]
     challenger = models.train_model(
         "ltv", spec, data, champion.features, champion.label, ["customer_sk"],
-        grid=SMALL | {"n_estimators": [10]},
+        seed=models.SEED + 1,
     )
     winner, won = models.challenge(champion, challenger, data.filter("split = 'test'"))
     rows = [
@@ -196,7 +211,7 @@ def dashboard(spark, folder):
     star = adapter.star(spark, folder)
     cut = "timestamp_ntz'1998-01-01'"
     first = pipeline.run_initial_pipeline(
-        replace(star, fact_sales=star.fact_sales.filter(f"sales_date < {cut}")), grid=SMALLEST
+        replace(star, fact_sales=star.fact_sales.filter(f"sales_date < {cut}"))
     )
     _, board = pipeline.ingest_and_retrain(first, star.fact_sales.filter(f"sales_date >= {cut}"))
     return board

@@ -7,6 +7,7 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from itertools import product
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,9 +16,9 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvalu
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from salescope.operators.evaluation import classification_metrics, regression_metrics
 from salescope.operators.metrics import class_weight
@@ -172,6 +173,7 @@ def search(
     folds: int = FOLDS,
     grid: Mapping[str, Sequence[Any]] | None = None,
     parallelism: int = 4,
+    seed: int = SEED,
 ) -> dict[str, Any]:
     """The best of the drawn parameters by cross-validated AUC or RMSE.
 
@@ -179,48 +181,41 @@ def search(
     """
     if spec.task == "unsupervised":
         raise ValueError("there is nothing to tune without a target")
-    candidates = draw_parameters(grid or spec.grid, draws)
+    candidates = draw_parameters(grid or spec.grid, draws, seed)
     if len(candidates) == 1:
         return candidates[0]
+    scores = fold_scores(spec, train, features, label, keys, candidates, folds, parallelism)
+    means = [sum(found) / len(found) for found in scores]
+    pick = max if evaluator(spec, label).isLargerBetter() else min
+    return candidates[pick(range(len(candidates)), key=means.__getitem__)]
+
+
+def fold_scores(
+    spec: ModelSpec,
+    train: DataFrame,
+    features: Sequence[str],
+    label: str,
+    keys: Sequence[str],
+    candidates: Sequence[Mapping[str, Any]],
+    folds: int = FOLDS,
+    parallelism: int = 4,
+) -> list[list[float]]:
+    """Per candidate the score of every fold; ``parallelism`` fits run at a time."""
     folded = durable(with_folds(train, spec, label, keys, folds))
     judge = evaluator(spec, label)
-    if spec.time_series:
-        scores = _forward_scores(spec, folded, features, label, candidates, folds, judge)
-    else:
-        scores = _fold_scores(spec, folded, features, label, candidates, folds, judge, parallelism)
-    pick = max if judge.isLargerBetter() else min
-    return candidates[pick(range(len(candidates)), key=scores.__getitem__)]
-
-
-def _fold_scores(spec, folded, features, label, candidates, folds, judge, parallelism):
-    pipeline = build_estimator(spec, features, label, {})
-    trees = pipeline.getStages()[-1]
-    maps = [
-        {trees.getParam(name): value for name, value in tree_settings(c).items()}
-        for c in candidates
-    ]
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=maps,
-        evaluator=judge,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    return validator.fit(folded).avgMetrics
-
-
-def _forward_scores(spec, folded, features, label, candidates, folds, judge):
-    scores = []
-    for candidate in candidates:
-        estimator = build_estimator(spec, features, label, candidate)
-        found = []
-        for block in range(1, folds + 1):
-            model = estimator.fit(folded.filter(F.col("fold") < block))
-            found.append(judge.evaluate(model.transform(folded.filter(F.col("fold") == block))))
-        scores.append(sum(found) / len(found))
-    return scores
+    fold = F.col("fold")
+    blocks = range(1, folds + 1) if spec.time_series else range(folds)
+
+    def score(task: tuple[Mapping[str, Any], int]) -> float:
+        candidate, block = task
+        known = folded.filter(fold < block if spec.time_series else fold != block)
+        model = build_estimator(spec, features, label, candidate).fit(known)
+        return judge.evaluate(model.transform(folded.filter(fold == block)))
+
+    tasks = [(candidate, block) for candidate in candidates for block in blocks]
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        found = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks, chunksize=1)
+    return [found[n : n + folds] for n in range(0, len(found), folds)]
 
 
 @dataclass(frozen=True)

@@ -161,6 +161,29 @@ def test_search_picks_a_candidate(ltv):
         models.search(models.build_model_registry()["recommendation"], train, inputs, "", [])
 
 
+def test_queries_search_the_registry(spark, small, monkeypatch):
+    from salescope.catalog import models as queries
+    from salescope.catalog.registry import REGISTRY
+
+    assert "search_results" in REGISTRY
+    asked = {}
+    monkeypatch.setattr(queries, "DATASETS", {"ltv": lambda *_: None})
+    monkeypatch.setattr(pipeline, "prepare_dataset", lambda *_: (None, None))
+    monkeypatch.setattr(pipeline, "train_one", lambda *_, **options: asked.update(options))
+    queries.trained(spark, small, "ltv")
+    assert "grid" not in asked and "draws" not in asked
+
+
+def test_search_results_has_every_fold(spark, small):
+    from salescope.catalog import models as queries
+
+    grid = {"n_estimators": [1, 2], "max_depth": [2]}
+    rows = queries.search_results(spark, small, grid=grid, names=("ltv", "forecast")).collect()
+    found = {(r.model, r.candidate, r.fold) for r in rows}
+    assert found == {(m, c, k) for m in ("ltv", "forecast") for c in (0, 1) for k in (0, 1, 2)}
+    assert all(r.score > 0 for r in rows)
+
+
 def test_packages_and_challenge(spark, ltv, tmp_path):
     data, inputs = ltv
     package = pipeline.train_one("ltv", data, inputs, models.build_model_registry(), grid=TINY)
