@@ -43,9 +43,13 @@ def lower_ascii(text: Column) -> Column:
 
 def row_key(*columns: Column) -> Column:
     """A text that tells rows with different columns apart (two 64-bit hashes)."""
-    return F.concat_ws(
-        "-", F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit("second"), *columns))
-    )
+    marked = with_nulls(*columns)
+    return F.concat_ws("-", F.hex(F.xxhash64(*marked)), F.hex(F.xxhash64(F.lit("second"), *marked)))
+
+
+def with_nulls(*columns: Column) -> list[Column]:
+    """The columns and whether each is null, since a hash passes over nulls."""
+    return [*columns, *[c.isNull() for c in columns]]
 
 
 def parted(rows: DataFrame, keys: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescope.llm.common import WORD, parted, stored
+from salescope.llm.common import WORD, parted, stored, with_nulls
 from salescope.operators.ordered import ordered_scan
 from salescope.session import durable
 
@@ -49,8 +49,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         docs["doc_id"].alias("doc_id"),
         text.alias("text"),
-        F.xxhash64(doc, text).alias("u1"),
-        F.xxhash64(F.lit("second"), doc, text).alias("u2"),
+        F.xxhash64(*with_nulls(doc, text)).alias("u1"),
+        F.xxhash64(F.lit("second"), *with_nulls(doc, text)).alias("u2"),
     )
 
 
@@ -77,13 +77,10 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     # Most lines occur once, and most of those need no shuffle to know it.
     some, _ = parted(lines, again, "h1", "h2")
     by_doc = Window.partitionBy(*DOC).orderBy("n")
-    # Rows of a repeated document have the same ranks and become one.
-    numbered = (
-        some.join(again, ["h1", "h2"])
-        .withColumn("stretch", F.col("n") - F.dense_rank().over(by_doc))
-        .withColumn("previous", F.lag("n").over(by_doc))
-        .filter("previous IS NULL OR previous < n")
-    )
+    # Rows of a repeated document become one before the window, however many there are.
+    once = some.join(again, ["h1", "h2"]).groupBy(*DOC, "n")
+    once = once.agg(*[F.first(c).alias(c) for c in ("doc_id", "line", "w", "h1", "h2")])
+    numbered = once.withColumn("stretch", F.col("n") - F.row_number().over(by_doc))
     own = Window.partitionBy(*PLACE)
     long_enough = numbered.withColumn("words", F.sum("w").over(own)).filter(F.col("words") >= min_words)
     at = F.row_number().over(own.orderBy("n")) - 1

@@ -153,7 +153,8 @@ def _close_pairs(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[p
 
 
 def _compare(prints: np.ndarray, bounds: np.ndarray, distance: int) -> pa.RecordBatch:
-    prints = prints.astype(np.int64)
+    # Unsigned: numpy counts the bits of a signed number's absolute value.
+    prints = prints.astype(np.int64).view(np.uint64)
     sizes = np.diff(bounds)
     left, right = [], []
     end = np.repeat(bounds[1:], sizes)
@@ -175,8 +176,8 @@ def _compare(prints: np.ndarray, bounds: np.ndarray, distance: int) -> pa.Record
         root = own[forest(close)]
         left.append(own[root != own])
         right.append(root[root != own])
-    a = np.concatenate(left) if left else np.empty(0, np.int64)
-    b = np.concatenate(right) if right else np.empty(0, np.int64)
+    a = np.concatenate(left or [prints[:0]]).view(np.int64)
+    b = np.concatenate(right or [prints[:0]]).view(np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"]
     )

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -158,15 +159,32 @@ def test_near_duplicates_of_awkward_rows(docs):
     check_near_duplicates(docs)
 
 
-def test_near_duplicates_of_documents(spark, small):
-    check_near_duplicates(spark.read.parquet(f"{small}/documents.parquet"))
+def test_near_duplicates_of_documents(spark, medium):
+    check_near_duplicates(spark.read.parquet(f"{medium}/documents.parquet"))
+
+
+def test_distance_counts_every_bit():
+    rng = random.Random(4)
+    signed = [x - (1 << 64) if x >> 63 else x for x in (rng.getrandbits(64) for _ in range(40))]
+    cases = [(x, x ^ (1 << b if b < 63 else -(1 << 63))) for x in signed for b in range(64)]
+    cases += [(x, y) for x in signed for y in signed] + [(0, -(1 << 21)), (-1, 0)]
+    cases += [(x, x ^ -(1 << 63) ^ sum(1 << b for b in rng.sample(range(63), k))) for x in signed for k in (3, 4)]
+    for others in (0, 70):  # few rows of a key, and many
+        for x, y in cases if not others else cases[::25]:
+            if x == y:
+                continue
+            rows = np.array([x, y] + [rng.getrandbits(63) for _ in range(others)])
+            batch = simhash._compare(rows, np.array([0, len(rows)]), 4)
+            found = {frozenset(p) for p in zip(*(c.to_pylist() for c in batch.columns))}
+            near = ((x ^ y) % 2**64).bit_count() <= 4
+            assert (frozenset((x, y)) in found) == near, (x, y)
 
 
 @pytest.mark.parametrize("blocks, part", [(5, 16), (6, 100), (8, 16)])
 def test_links_of_a_hot_key(spark, blocks, part):
     rng = random.Random(3)
     centre = rng.getrandbits(64)
-    prints = {centre ^ sum(1 << rng.randrange(20) for _ in range(rng.randrange(5))) for _ in range(400)}
+    prints = {centre ^ sum(1 << rng.choice([*range(20), 62, 63]) for _ in range(rng.randrange(5))) for _ in range(400)}
     prints |= {rng.getrandbits(64) for _ in range(200)}
     prints = [p - (1 << 64) if p >> 63 else p for p in prints]
     frame = spark.createDataFrame([(p,) for p in prints], "fp long")
@@ -344,11 +362,26 @@ def test_line_dedup_of_random_lines(spark, least):
 
 
 def test_line_dedup_of_awkward_rows(docs, none):
-    short = docs.filter("length(text) < 5000 OR text IS NULL")
-    check_line_dedup(short, 10)
+    check_line_dedup(docs.filter("length(text) < 5000 OR text IS NULL"), 10)
+    # The long one without the slow comparison of all its lines.
+    long = docs.filter("length(text) >= 5000").select("doc_id", "text")
+    text = long.first().text
+    again = long.union(long.selectExpr("doc_id + 1000", "concat('other', chr(10), text)"))
+    found = {r.row.doc_id: r.text for r in line_dedup.dedup_lines(again, 50).collect()}
+    assert set(found.values()) == {text, "other"}
     assert line_dedup.dedup_lines(none).count() == 0
 
 
+def test_null_ids_and_null_texts_are_told_apart(spark):
+    text = "\n".join(" ".join(random.Random(n).choices(WORDS, k=9)) for n in range(8))
+    rows = [(text, None), (None, text), (None, text), ("x", text), ("x", None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    assert docs.select(simhash.document_key(docs)).distinct().count() == 4
+    check_line_dedup(docs, 10)
+    docs = spark.createDataFrame([("q", None, "one two"), ("q", "one two", None)], "doc_id string, text string, source string")
+    assert sorted((r["size"], r.taken) for r in mixing.mixture(docs).collect()) == [(0, 0), (2, 2)]
+
+
 def test_suffix_ranks_sort_like_the_sequences(spark):
     rng = random.Random(8)
     rows = [(d, 0, 0, i, 1, i, rng.randrange(3), 0) for d in range(6) for i in range(rng.randrange(1, 30))]
