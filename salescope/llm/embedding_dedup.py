@@ -12,14 +12,17 @@ proved, at the price of more visits.  The default of 0.5 finds what is not built
 to hide; the README has the measured recall.  Every pair that meets is computed
 in double precision, so no link is below the threshold.
 
+Only vectors of equal length are compared.  Every length has cells of its own: as
+many as its vectors need, one for a length with few, ``MAX_CELLS`` in all but for
+the last one of each length.  A cell's number is ``length * 2^SHIFT + cell``.
+
 A cell's vectors are dealt into parts of about ``part`` rows by hash and every
 pair of parts is one blocked product, so no task holds a whole hot cell.  A part
 reports a count per vector and a spanning forest of its links, never all pairs.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
-components, and those of another length than most, link with nothing; a null
-``vec_id`` takes part but names no component unless all in it are null; rows that
-repeat a vector link with each other; other columns are ignored.
+components link with nothing, nor do those of different lengths; a null takes part but names no component unless all in it are null; rows that repeat a
+vector link with each other; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +44,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 THRESHOLD = 0.95
 SLACK = 0.5
 CELL = 1024  # representatives per cell, about
-MAX_CELLS = 4096  # centres that every task holds
+MAX_CELLS = 4096  # centres that every task holds, at most about
+SHIFT = 16  # bits of a cell's number within its length
 SAMPLE = 32_768  # vectors that fit the centres, at most about
 PART = 1024
 ROUNDS = 8
@@ -60,8 +64,6 @@ def representatives(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     usable = F.coalesce(usable, F.lit(False)) & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id"), F.when(usable, v).alias("v"))
     rows = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0)))  # no negative zero
-    size = rows.groupBy(F.size("v").alias("n")).count().filter("n > 0").orderBy(F.desc("count"), "n").first()
-    rows = rows.withColumn("v", F.when(F.size("v") == (size[0] if size else 0), F.col("v")))
     key = F.when(
         F.col("v").isNotNull(),
         F.concat_ws("-", F.hex(F.xxhash64("v")), F.hex(F.xxhash64(F.lit("second"), "v"))),
@@ -84,15 +86,31 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def fit(unique: DataFrame, count: int, cells: int) -> np.ndarray:
-    """Centres by spherical k-means over a sample of about ``SAMPLE`` vectors."""
-    share = min(1.0, SAMPLE / max(count, 1))
+def fit(unique: DataFrame, cell: int) -> dict[int, np.ndarray]:
+    """Per vector length, centres by spherical k-means over a sample of about ``SAMPLE`` vectors in all.
+
+    Only lengths with more vectors than a cell holds have centres, at most ``MAX_CELLS`` lengths.
+    """
+    sizes = durable(unique.groupBy(F.size("v").alias("n")).count())
+    total = sizes.agg(F.sum("count")).first()[0] or 0
+    cell = max(cell, -(-total // MAX_CELLS))
+    large = {r["n"]: r["count"] for r in sizes.filter(F.col("count") > cell).collect()}
+    if not large:
+        return {}
+    share = min(1.0, SAMPLE / sum(large.values()))
     scale = 1 << 30
-    chosen = unique.filter(F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(scale)) < int(share * scale))
-    sample = chosen.select("key", "v").toArrow().sort_by("key")
-    if not sample.num_rows:
-        sample = unique.select("key", "v").limit(1).toArrow()
-    rows = unit(_matrix(sample.column("v").combine_chunks()))
+    chosen = unique.filter(F.size("v").isin(list(large)))
+    chosen = chosen.filter(F.pmod(F.xxhash64(F.lit("sample"), "key"), F.lit(scale)) < int(share * scale))
+    sample = chosen.select("key", "v").toArrow().sort_by("key").column("v").combine_chunks()
+    lengths = sample.value_lengths().to_numpy(zero_copy_only=False)
+    centres = {}
+    for n in np.unique(lengths):
+        rows = unit(_matrix(sample.take(pa.array(np.flatnonzero(lengths == n)))))
+        centres[int(n)] = _centres(rows, -(-large[int(n)] // cell))
+    return centres
+
+
+def _centres(rows: np.ndarray, cells: int) -> np.ndarray:
     pick = np.random.default_rng(1).permutation(len(rows))[:cells]
     centres = rows[pick]
     for _ in range(ROUNDS):
@@ -104,42 +122,43 @@ def fit(unique: DataFrame, count: int, cells: int) -> np.ndarray:
     return centres
 
 
-def place(unique: DataFrame, centres: np.ndarray, threshold: float, slack: float) -> DataFrame:
+def place(unique: DataFrame, centres: dict[int, np.ndarray], threshold: float, slack: float) -> DataFrame:
     """``(node, copies, v, home, cells)``: home cell and all cells that hold the vector."""
     spark = unique.sparkSession
     known = spark.sparkContext.broadcast(centres)
     radius = float(np.sqrt(2 - 2 * threshold))
 
+    def visits(rows: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        near = rows @ centres.T
+        home = near.argmax(axis=1)
+        best = near[np.arange(len(rows)), home][:, None]
+        own = centres[home]
+        gaps = np.sqrt(np.maximum((own**2).sum(1)[:, None] + (centres**2).sum(1) - 2 * own @ centres.T, 0))
+        inside = best - near <= slack * radius / 2 * gaps
+        inside[np.arange(len(rows)), home] = True
+        return home, [np.flatnonzero(row) for row in inside]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centres = known.value
-        apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0)) if len(centres) <= 1024 else None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = unit(_matrix(batch.column(2)))
-            near = rows @ centres.T
-            home = near.argmax(axis=1)
-            best = near[np.arange(len(rows)), home][:, None]
-            if apart is None:
-                gaps = np.sqrt(np.maximum((centres[home] ** 2).sum(1)[:, None] + 1 - 2 * centres[home] @ centres.T, 0))
-            else:
-                gaps = apart[home]
-            inside = best - near <= slack * radius / 2 * gaps
-            inside[np.arange(len(rows)), home] = True
-            cells = [np.flatnonzero(row) for row in inside]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(list(rows), pa.list_(pa.float64())),
-                    pa.array(home, pa.int32()),
-                    pa.array(cells, pa.list_(pa.int32())),
-                ],
-                ["node", "copies", "v", "home", "cells"],
-            )
+            lengths = batch.column(2).value_lengths().to_numpy(zero_copy_only=False)
+            for n in np.unique(lengths):
+                own = batch.take(pa.array(np.flatnonzero(lengths == n)))
+                rows = unit(_matrix(own.column(2)))
+                home, cells = visits(rows, known.value.get(int(n), rows[:1]))
+                first = int(n) << SHIFT
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        own.column(0),
+                        own.column(1),
+                        pa.array(list(rows), pa.list_(pa.float64())),
+                        pa.array(home + first, pa.int64()),
+                        pa.array([c + first for c in cells], pa.list_(pa.int64())),
+                    ],
+                    ["node", "copies", "v", "home", "cells"],
+                )
 
     rows = unique.select("node", "copies", "v")
-    return rows.mapInArrow(run, "node long, copies long, v array<double>, home int, cells array<int>")
+    return rows.mapInArrow(run, "node long, copies long, v array<double>, home long, cells array<long>")
 
 
 def compare(placed: DataFrame, threshold: float, part: int) -> DataFrame:
@@ -256,19 +275,14 @@ def near_duplicates(
     """``(vec_id, n_links, component_id, kept)`` of every row."""
     rows, unique = representatives(vectors)
     rows = durable(rows)
-    count = unique.count()
-    cells = min(MAX_CELLS, max(1, -(-count // cell)))
-    if not count:
-        found = unique.select("node", F.lit(0).cast("long").alias("links"), F.col("node").alias("component"))
-    else:
-        placed = durable(place(unique, fit(unique, count, cells), threshold, slack))
-        parts = durable(compare(placed, threshold, part))
-        links = parts.groupBy("node").agg(F.sum("links").alias("links")).filter("links > 0")
-        edges = parts.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))
-        named = components(edges.distinct())
-        found = links.join(named, "node", "full").select(
-            "node", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component")
-        )
+    placed = durable(place(unique, fit(unique, cell), threshold, slack))
+    parts = durable(compare(placed, threshold, part))
+    links = parts.groupBy("node").agg(F.sum("links").alias("links")).filter("links > 0")
+    edges = parts.filter("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))
+    named = components(edges.distinct())
+    found = links.join(named, "node", "full").select(
+        "node", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("component")
+    )
     members = unique.select("node", "key", "first", "copies").join(found, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
     smallest = members.groupBy("component").agg(F.min("first").alias("component_id"))

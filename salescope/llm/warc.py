@@ -27,6 +27,7 @@ import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -66,6 +67,15 @@ def record(fields: list[tuple[str, str | None]], content: bytes, level: int = LE
     return packer.compress(raw) + packer.flush()
 
 
+def encoded(name: str | None) -> str | None:
+    """A page id as a header value that comes back whole, white space and line ends included."""
+    return None if name is None else quote(name, safe="")
+
+
+def _decoded(value: str | None) -> str | None:
+    return None if value is None else unquote(value)
+
+
 def _page_record(part: int, n: int, page_id, url, payload: bytes, digest: str, revisit: bool, refers_to) -> bytes:
     name = f"urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{part}/{n}/{page_id}/{digest}')}"
     fields = [
@@ -75,11 +85,11 @@ def _page_record(part: int, n: int, page_id, url, payload: bytes, digest: str, r
         ("WARC-Target-URI", url),
         ("WARC-Payload-Digest", f"sha256:{digest}"),
         ("Content-Type", "application/http; msgtype=response"),
-        ("X-Page-Id", page_id),
+        ("X-Page-Id", encoded(page_id)),
         ("X-Payload-Length", str(len(payload))),
     ]
     if revisit:
-        fields += [("WARC-Profile", PROFILE), ("X-Refers-To-Page-Id", refers_to)]
+        fields += [("WARC-Profile", PROFILE), ("X-Refers-To-Page-Id", encoded(refers_to))]
     return record(fields, HTTP + (b"" if revisit else payload))
 
 
@@ -239,12 +249,12 @@ def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, payload
                             digest, length = hashlib.sha256(payload).hexdigest(), len(payload)
                         rows.append(
                             (
-                                fields.get("x-page-id"),
+                                _decoded(fields.get("x-page-id")),
                                 fields.get("warc-target-uri"),
                                 kind,
                                 length,
                                 digest,
-                                fields.get("x-refers-to-page-id"),
+                                _decoded(fields.get("x-refers-to-page-id")),
                                 payload if payloads and kind == "response" else None,
                             )
                         )

@@ -130,6 +130,16 @@ def test_archives_come_back_whole_for_any_split(spark, split):
     assert {r.url for r in found if r.page_id == "2"} == {"http://b/ WARC-Type: evil"}
 
 
+def test_page_ids_come_back_whole(spark):
+    names = [" a ", "a", "a\nb", "a b", "%20", "", "\tü\r\n:", None]
+    rows = [(n, "http://a/", "same payload " * 20) for n in names]
+    path = fresh(spark, "warc")
+    warc.write(spark.createDataFrame(rows, "page_id string, url string, html string"), path)
+    found = warc.read(spark, path).collect()
+    assert sorted((r.page_id for r in found), key=str) == sorted(names, key=str)
+    assert {r.refers_to for r in found} == {None, ""}
+
+
 def test_damaged_members_are_passed_over(tmp_path):
     records = [warc.record([("WARC-Type", "response"), ("X-Page-Id", str(n))], b"h\r\n\r\n" + bytes([n]) * 999) for n in range(5)]
     broken = bytearray(records[2])
@@ -311,18 +321,14 @@ def check_vectors(spark, rows, **options):
     found = {}
     for r in embedding_dedup.near_duplicates(frame.repartition(3), **options).collect():
         found.setdefault(r.vec_id, []).append((r.n_links, r.component_id, r.kept))
-    ids, vectors = [], []
-    lengths = [len(v) for _, v in rows if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    most = min(set(lengths), key=lambda n: (-lengths.count(n), n)) if lengths else 0
-    for i, v in rows:
-        if v and len(v) == most and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            ids.append(i)
-            vectors.append(v)
-        else:
-            assert (0, i, True) in found[i]
-    if not ids:
-        return
-    unit = np.array(vectors, dtype=np.float32).astype(float)
+    usable = [bool(v) and all(x is not None and np.isfinite(x) for x in v) and any(v) for _, v in rows]
+    assert all((0, i, True) in found[i] for (i, _), good in zip(rows, usable) if not good)
+    for length in {len(v) for (_, v), good in zip(rows, usable) if good}:
+        check_length(found, [r for r, good in zip(rows, usable) if good and len(r[1]) == length])
+
+
+def check_length(found, rows):
+    ids, unit = [i for i, _ in rows], np.array([v for _, v in rows], dtype=np.float32).astype(float)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     links = unit @ unit.T >= 0.95
     np.fill_diagonal(links, False)
@@ -353,6 +359,11 @@ def test_vectors_against_brute_force(spark, options):
         (904, [float("inf")] + [1.0] * 7),
         (905, [None] + [1.0] * 7),
         (906, [1.0, 2.0]),
+        (911, [2.0, 4.0]),
+        (912, [2.0, -4.0]),
+        (913, [3.0]),
+        (914, [-3.0]),
+        *[(1000 + n, v[:5]) for n, (_, v) in enumerate(rows[:150])],
         (907, [1e30] * 8),
         (908, [1e-30] * 8),
         (909, [-0.0, 0.0, 1.0] + [0.0] * 5),
