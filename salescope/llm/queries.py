@@ -8,7 +8,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.llm import decontamination, embedding_dedup, html_extraction, line_dedup, mixing, pii, quality, simhash, url_filter, warc
+from salescope.llm import (
+    decontamination,
+    embedding_dedup,
+    html_extraction,
+    line_dedup,
+    manifest,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    url_filter,
+    warc,
+    whitening,
+)
 from salescope.llm.common import LOWER, UPPER
 from salescope.session import durable, fresh, remove
 
@@ -228,3 +242,97 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_html_extraction")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extract(table(spark, folder, "pages"))
+
+
+OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT *, row_number() OVER () AS u, {leaf} AS leaf,
+         CASE WHEN {even} THEN {cut} ELSE {leaf} END AS claimed FROM documents),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, u) - 1 AS i FROM d),
+node(source, level, i, h, n) AS (
+  SELECT source, 0, i, leaf, count(*) OVER (PARTITION BY source) FROM l
+  UNION ALL
+  SELECT source, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3
+  FROM node WHERE n > 1 GROUP BY source, level, i // 3, n),
+sub AS (SELECT source, level AS levels, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM node WHERE n = 1),
+top(level, i, h, n) AS (
+  SELECT 0, s, subroot, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3
+  FROM top WHERE n > 1 GROUP BY level, i // 3, n),
+r AS (SELECT h AS root FROM top WHERE n = 1),
+side AS (
+  SELECT a.source, a.level, a.i,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+  FROM node a JOIN node b ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.i // 3 = b.i // 3
+  WHERE a.n > 1 GROUP BY ALL),
+top_side AS (
+  SELECT a.level, a.i,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+  FROM top a JOIN top b ON a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY ALL),
+step AS (
+  SELECT u, level, lft, rgt FROM l JOIN side
+    ON l.source IS NOT DISTINCT FROM side.source AND side.i = l.i // CAST(pow(3, level) AS BIGINT)
+  UNION ALL
+  SELECT u, levels + level, lft, rgt FROM l JOIN sub ON l.source IS NOT DISTINCT FROM sub.source
+    JOIN top_side ON top_side.i = s // CAST(pow(3, level) AS BIGINT)),
+proof AS (SELECT u, sha256(string_agg(lft || rgt, '' ORDER BY level)) AS proof FROM step GROUP BY u),
+fold(u, level, h) AS (
+  SELECT u, 0, claimed FROM d
+  UNION ALL
+  SELECT fold.u, fold.level + 1, sha256(lft || h || rgt) FROM fold JOIN step ON fold.u = step.u AND fold.level = step.level),
+folded AS (SELECT u, arg_max(h, level) AS folded FROM fold GROUP BY u)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM l JOIN sub ON l.source IS NOT DISTINCT FROM sub.source JOIN r ON true
+JOIN folded USING (u) LEFT JOIN proof USING (u)
+"""
+
+
+def _leaf_sql(text: str) -> str:
+    parts = [
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+        for c in ("doc_id", "source", "lang", "n_chars", text)
+    ]
+    return f"sha256({' || '.join(parts)})"
+
+
+# The lowest bit of the CRC-32 of a doc_id, bit by bit; 3988292384 is the reversed polynomial.
+CRC_EVEN = (
+    "list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(8 * length(CAST(doc_id AS VARCHAR))),"
+    " lambda k: (ord(CAST(doc_id AS VARCHAR)[k // 8 + 1]) >> (k % 8)) & 1)),"
+    " lambda crc, bit: CASE WHEN (crc & 1) <> bit THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END) % 2 = 1"
+)
+OP11_SQL = OP11_SQL.format(leaf=_leaf_sql("text"), cut=_leaf_sql("replace(text, chr(10), '')"), even=CRC_EVEN)
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    cut = F.translate("text", "\n", "")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    true = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    claimed = manifest.leaf(*true, F.when(tampered, cut).otherwise(F.col("text")))
+    found = manifest.manifest(docs, claimed)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
+@query("op13_sharding")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    return sharding.shard(docs).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
