@@ -43,17 +43,18 @@ for _name in ("churn", "ltv", "demand", "forecast"):
 @query("search_results")
 def search_results(spark, folder, draws=models.SEARCH_DRAWS, grid=None, names=("churn", "ltv", "demand", "forecast")):
     """``(model, candidate, fold, parameters, score)`` of the search of every model."""
-    rows = []
+    tasks = {}
     for name in names:
         data, inputs = pipeline.prepare_dataset(name, DATASETS[name](spark, folder))
         spec, label = models.build_model_registry()[name], datasets.PRIMARY_TARGET[name]
         train = data.filter("split = 'train'")
         if spec.task == "classification":
             train = models.with_weight(train, label)
-        candidates = models.draw_parameters(grid or spec.grid, draws)
-        scores = models.fold_scores(spec, train, inputs, label, pipeline.ROW_KEYS[name], candidates)
-        for n, (candidate, found) in enumerate(zip(candidates, scores)):
-            rows += [(name, n, k, json.dumps(candidate), float(x)) for k, x in enumerate(found)]
+        tasks[name] = models.make_task(spec, train, inputs, label, pipeline.ROW_KEYS[name], draws, grid=grid)
+    rows = []
+    for name, found in models.search_all(tasks).items():
+        for n, (candidate, scores) in enumerate(zip(tasks[name].candidates, found.scores)):
+            rows += [(name, n, k, json.dumps(candidate), x) for k, x in enumerate(scores)]
     return spark.createDataFrame(rows, "model string, candidate int, fold int, parameters string, score double")
 
 
@@ -66,15 +67,14 @@ def feature_importance(spark, folder):
 @query("champion_challenger")
 def champion_challenger(spark, folder):
     """The best of ten draws defends against that of ten others on the same test rows, over a saved package."""
-    data, champion = trained(spark, folder, "ltv")
-    store = fresh(spark, "models")
-    models.save_package(spark, champion, store)
-    champion = models.load_package(spark, "ltv", store)
+    data, inputs = pipeline.prepare_dataset("ltv", DATASETS["ltv"](spark, folder))
     spec = models.build_model_registry()["ltv"]
-    challenger = models.train_model(
-        "ltv", spec, data, champion.features, champion.label, ["customer_sk"],
-        seed=models.SEED + 1,
-    )
+    plan = models.Plan(spec, data, tuple(inputs), datasets.PRIMARY_TARGET["ltv"], tuple(pipeline.ROW_KEYS["ltv"]))
+    # Both searches in one batch; only the draws differ.
+    both = models.train_models({"champion": plan, "challenger": plan}, seeds={"challenger": models.SEED + 1})
+    store = fresh(spark, "models")
+    models.save_package(spark, both["champion"], store)
+    champion, challenger = models.load_package(spark, "champion", store), both["challenger"]
     winner, won = models.challenge(champion, challenger, data.filter("split = 'test'"))
     rows = [
         ("champion", champion.headline(champion.score), not won),

@@ -5,24 +5,17 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import product
-from multiprocessing.pool import ThreadPool
 from typing import Any
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from salescope.operators.evaluation import classification_metrics, regression_metrics
 from salescope.operators.metrics import class_weight
 from salescope.operators.ordered import ordered_scan
+from salescope.plans import boosting
 from salescope.session import durable
 
 # ---- fixed values: tasks and search grids of the five models ----
@@ -80,42 +73,25 @@ def validate_model_registry(spark: SparkSession, registry: Mapping[str, Any]) ->
     return spark.createDataFrame(rows, "model string, status string")
 
 
-# How a grid's names read in Spark's boosted trees.
-SPARK_NAMES = {
-    "n_estimators": "maxIter",
-    "max_depth": "maxDepth",
-    "learning_rate": "stepSize",
-    "subsample": "subsamplingRate",
-    "min_child_samples": "minInstancesPerNode",
-}
-
-
-def tree_settings(parameters: Mapping[str, Any], deepest: int = DEEPEST) -> dict[str, Any]:
-    """Translate grid names.  Spark limits depth, not leaves, so ``num_leaves``
-    becomes the depth that holds as many; -1 means no limit of its own, for
-    which ``deepest`` stands (Spark's trees need one, 30 at most)."""
-    settings = {SPARK_NAMES[k]: v for k, v in parameters.items() if k in SPARK_NAMES}
-    if "colsample_bytree" in parameters:
-        settings["featureSubsetStrategy"] = str(float(parameters["colsample_bytree"]))
-        if parameters["colsample_bytree"] >= 1:
-            settings["featureSubsetStrategy"] = "all"
-    if settings.get("maxDepth", 0) == -1:
-        settings["maxDepth"] = deepest
-    if "num_leaves" in parameters:
-        depth = int(parameters["num_leaves"]).bit_length()
-        settings["maxDepth"] = min(settings.get("maxDepth", deepest), depth)
-    return settings
-
-
-def build_estimator(
-    spec: ModelSpec, features: Sequence[str], label: str, parameters: Mapping[str, Any]
-) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    kind = GBTClassifier if spec.task == "classification" else GBTRegressor
-    trees = kind(featuresCol="features", labelCol=label, seed=SEED, **tree_settings(parameters, spec.deepest))
-    if spec.task == "classification":
-        trees = trees.setWeightCol("weight")
-    return Pipeline(stages=[assembler, trees])
+LEAST_WEIGHT = 1.0  # of the second derivatives in a leaf, where a grid counts no rows
+PENALTY = 1.0
+
+
+def tree_settings(parameters: Mapping[str, Any], deepest: int = DEEPEST) -> boosting.Settings:
+    """Read a grid's names.  A depth of -1 means no limit of its own, for which ``deepest`` stands."""
+    depth = parameters.get("max_depth", -1)
+    counted = "min_child_samples" in parameters
+    return boosting.Settings(
+        trees=parameters.get("n_estimators", 100),
+        depth=deepest if depth == -1 else depth,
+        rate=parameters.get("learning_rate", 0.1),
+        leaves=parameters.get("num_leaves"),
+        row_share=parameters.get("subsample", 1.0),
+        column_share=parameters.get("colsample_bytree", 1.0),
+        least_rows=parameters.get("min_child_samples", 1),
+        least_weight=0.0 if counted else LEAST_WEIGHT,
+        penalty=0.0 if counted else PENALTY,
+    )
 
 
 def draw_parameters(
@@ -157,13 +133,24 @@ def with_folds(
     return scan.withColumn("fold", (F.col("__row") % folds).cast("int")).drop("__row")
 
 
-def evaluator(spec: ModelSpec, label: str):
-    if spec.task == "classification":
-        return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    return RegressionEvaluator(labelCol=label, metricName="rmse")
+@dataclass(frozen=True)
+class Task:
+    """A model to be searched and trained: its training rows and the parameters to try."""
 
+    spec: ModelSpec
+    train: DataFrame
+    features: tuple[str, ...]
+    label: str
+    keys: tuple[str, ...]
+    candidates: tuple[Mapping[str, Any], ...]
+    folds: int = FOLDS
 
-def search(
+    @property
+    def blocks(self) -> range:
+        return range(1, self.folds + 1) if self.spec.time_series else range(self.folds)
+
+
+def make_task(
     spec: ModelSpec,
     train: DataFrame,
     features: Sequence[str],
@@ -172,50 +159,91 @@ def search(
     draws: int | None = SEARCH_DRAWS,
     folds: int = FOLDS,
     grid: Mapping[str, Sequence[Any]] | None = None,
-    parallelism: int = 4,
     seed: int = SEED,
-) -> dict[str, Any]:
-    """The best of the drawn parameters by cross-validated AUC or RMSE.
-
-    A time series trains on the blocks before the one it is judged on.
-    """
+) -> Task:
     if spec.task == "unsupervised":
         raise ValueError("there is nothing to tune without a target")
     candidates = draw_parameters(grid or spec.grid, draws, seed)
-    if len(candidates) == 1:
-        return candidates[0]
-    scores = fold_scores(spec, train, features, label, keys, candidates, folds, parallelism)
-    means = [sum(found) / len(found) for found in scores]
-    pick = max if evaluator(spec, label).isLargerBetter() else min
-    return candidates[pick(range(len(candidates)), key=means.__getitem__)]
+    return Task(spec, train, tuple(features), label, tuple(keys), tuple(candidates), folds)
 
 
-def fold_scores(
-    spec: ModelSpec,
-    train: DataFrame,
-    features: Sequence[str],
-    label: str,
-    keys: Sequence[str],
-    candidates: Sequence[Mapping[str, Any]],
-    folds: int = FOLDS,
-    parallelism: int = 4,
-) -> list[list[float]]:
-    """Per candidate the score of every fold; ``parallelism`` fits run at a time."""
-    folded = durable(with_folds(train, spec, label, keys, folds))
-    judge = evaluator(spec, label)
-    fold = F.col("fold")
-    blocks = range(1, folds + 1) if spec.time_series else range(folds)
-
-    def score(task: tuple[Mapping[str, Any], int]) -> float:
-        candidate, block = task
-        known = folded.filter(fold < block if spec.time_series else fold != block)
-        model = build_estimator(spec, features, label, candidate).fit(known)
-        return judge.evaluate(model.transform(folded.filter(fold == block)))
-
-    tasks = [(candidate, block) for candidate in candidates for block in blocks]
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        found = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks, chunksize=1)
-    return [found[n : n + folds] for n in range(0, len(found), folds)]
+@dataclass(frozen=True)
+class Searched:
+    """Per candidate the score of every fold, and the model over all training rows."""
+
+    scores: list[list[float]]
+    models: list[boosting.BoostedTrees]
+    best: int
+
+
+def search_all(tasks: Mapping[str, Task], block_rows: int = boosting.BLOCK_ROWS) -> dict[str, Searched]:
+    """Search the parameters of several models in one batch of fits.
+
+    AUC or RMSE by folds; a time series learns from the blocks before the one it
+    is judged on.  Candidates that differ in their number of trees share one fit,
+    and the fits over all rows grow along, so the best one needs no other.
+    """
+    if not tasks:
+        return {}
+    spark = next(iter(tasks.values())).train.sparkSession
+    tables, runs, places = {}, [], {}
+    for name, task in tasks.items():
+        folded = with_folds(task.train, task.spec, task.label, task.keys, task.folds)
+        classes = task.spec.task == "classification"
+        weight = "weight" if classes else None
+        tables[name] = boosting.table(
+            name, folded, task.features, task.label, task.keys, classes, task.spec.time_series, weight, block_rows
+        )
+        counts: dict[boosting.Settings, set[int]] = {}
+        for candidate in task.candidates:
+            settings = tree_settings(candidate, task.spec.deepest)
+            counts.setdefault(replace(settings, trees=0), set()).add(settings.trees)
+        for settings, trees in counts.items():
+            for fold in [None, *task.blocks]:
+                places[name, settings, fold] = len(runs)
+                scored = () if fold is None else tuple(sorted(trees))
+                runs.append(boosting.Run(name, replace(settings, trees=max(trees)), fold, scored))
+    grown, judged = boosting.grow(spark, list(tables.values()), runs, SEED)
+    scores = _fold_scores(judged, {r for r, run in enumerate(runs) if tables[run.table].classes})
+    out = {}
+    for name, task in tasks.items():
+        found, fitted = [], []
+        for candidate in task.candidates:
+            settings = tree_settings(candidate, task.spec.deepest)
+            shape = replace(settings, trees=0)
+            found.append([scores[places[name, shape, k], settings.trees] for k in task.blocks])
+            whole = grown[places[name, shape, None]]
+            fitted.append(boosting.BoostedTrees.of(tables[name], whole, settings.trees))
+        pick = max if task.spec.task == "classification" else min
+        # A fold without both classes has no AUC.
+        means = [sum(known) / len(known) if (known := [x for x in f if x is not None]) else 0.5 for f in found]
+        out[name] = Searched(found, fitted, pick(range(len(means)), key=means.__getitem__))
+    return out
+
+
+def _fold_scores(judged: DataFrame, classes: set[int]) -> dict[tuple[int, int], float | None]:
+    """AUC of the classifiers' runs and RMSE of the others, per run and number of trees."""
+    counts = judged.filter(F.col("run").isin(list(classes))).groupBy("run", "trees", "score").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y") == 1).alias("pos")
+    )
+    # The area is the share of pairs in order; an equal pair counts half.
+    scan = ordered_scan(counts, [F.col("score")], by=["run", "trees"], running={"upto": F.col("n")})
+    rank = F.col("upto") - (F.col("n") - 1) / 2
+    positives = F.sum("pos").cast("double")
+    above = F.sum(rank * F.col("pos")) - positives * (positives + 1) / 2
+    area = F.try_divide(above, positives * (F.sum("n") - positives))
+    areas = scan.groupBy("run", "trees").agg(area.alias("found"))
+    away = F.col("score") - F.col("y")
+    errors = judged.filter(~F.col("run").isin(list(classes))).groupBy("run", "trees")
+    errors = errors.agg(F.sqrt(F.avg(away * away)).alias("found"))
+    rows = (areas.union(errors) if classes else errors).collect()
+    return {(r.run, r.trees): r.found for r in rows}
+
+
+def search(spec: ModelSpec, train: DataFrame, features, label, keys, draws=SEARCH_DRAWS, folds=FOLDS, grid=None, seed=SEED):
+    """The best of the drawn parameters by cross-validated AUC or RMSE."""
+    task = make_task(spec, train, features, label, keys, draws, folds, grid, seed)
+    return task.candidates[search_all({"model": task})["model"].best]
 
 
 @dataclass(frozen=True)
@@ -224,7 +252,7 @@ class ModelPackage:
 
     name: str
     task: str
-    model: PipelineModel | None
+    model: boosting.BoostedTrees | None
     parameters: Mapping[str, Any]
     score: Mapping[str, float] | None
     features: tuple[str, ...] = ()
@@ -232,13 +260,11 @@ class ModelPackage:
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction`` and, for a classifier, ``score``."""
-        out = self.model.transform(df)
-        if self.task == "classification":
-            out = out.withColumn("score", vector_to_array("probability")[1])
-        return out.drop("features", "rawPrediction", "probability")
+        return self.model.transform(df)
 
     def evaluate(self, test: DataFrame) -> dict[str, float]:
-        predicted = self.predict(test)
+        # Scored once, whatever the number of figures.
+        predicted = durable(self.predict(test.select(*self.features, self.label)))
         if self.task == "classification":
             return classification_metrics(predicted, self.label, "score").first().asDict()
         return regression_metrics(predicted, self.label, "prediction").first().asDict()
@@ -247,6 +273,40 @@ class ModelPackage:
         return score["roc_auc" if self.task == "classification" else "r2"]
 
 
+@dataclass(frozen=True)
+class Plan:
+    """What a model is trained on: ``data`` has a ``split`` column."""
+
+    spec: ModelSpec
+    data: DataFrame
+    features: tuple[str, ...]
+    label: str
+    keys: tuple[str, ...]
+
+
+def train_models(
+    plans: Mapping[str, Plan],
+    block_rows: int = boosting.BLOCK_ROWS,
+    seeds: Mapping[str, int] | None = None,
+    **search_options,
+) -> dict[str, ModelPackage]:
+    """Search on the training rows, fit, score on the test rows, for all models in one batch."""
+    tasks = {}
+    for name, plan in plans.items():
+        train = plan.data.filter("split = 'train'")
+        if plan.spec.task == "classification":
+            train = with_weight(train, plan.label)
+        options = search_options | ({"seed": seeds[name]} if seeds and name in seeds else {})
+        tasks[name] = make_task(plan.spec, train, plan.features, plan.label, plan.keys, **options)
+    out = {}
+    for name, found in search_all(tasks, block_rows).items():
+        plan, parameters = plans[name], tasks[name].candidates[found.best]
+        model = found.models[found.best]
+        package = ModelPackage(name, plan.spec.task, model, parameters, None, plan.features, plan.label)
+        out[name] = replace(package, score=package.evaluate(plan.data.filter("split = 'test'")))
+    return out
+
+
 def train_model(
     name: str,
     spec: ModelSpec,
@@ -254,25 +314,14 @@ def train_model(
     features: Sequence[str],
     label: str,
     keys: Sequence[str],
-    **search_options,
+    **options,
 ) -> ModelPackage:
-    """Search on the training rows of ``data`` (``split`` column), fit, score on the test rows."""
-    train = data.filter("split = 'train'")
-    test = data.filter("split = 'test'")
-    if spec.task == "classification":
-        train = with_weight(train, label)
-    parameters = search(spec, train, features, label, keys, **search_options)
-    model = build_estimator(spec, features, label, parameters).fit(train)
-    package = ModelPackage(name, spec.task, model, parameters, None, tuple(features), label)
-    return ModelPackage(
-        name, spec.task, model, parameters, package.evaluate(test), tuple(features), label
-    )
+    return train_models({name: Plan(spec, data, tuple(features), label, tuple(keys))}, **options)[name]
 
 
 def feature_importance(spark: SparkSession, package: ModelPackage, top: int = 20) -> DataFrame:
     """``(feature, importance)`` of the most important inputs."""
-    values = package.model.stages[-1].featureImportances.toArray()
-    rows = [(f, float(v)) for f, v in zip(package.features, values)]
+    rows = list(package.model.importances().items())
     frame = spark.createDataFrame(rows, "feature string, importance double")
     return frame.orderBy(F.desc("importance"), "feature").limit(top)
 
@@ -281,7 +330,7 @@ def save_package(spark: SparkSession, package: ModelPackage, folder: str) -> Non
     """The model under ``<folder>/<name>/model`` and one registry row beside it."""
     target = f"{folder}/{package.name}"
     if package.model is not None:
-        package.model.write().overwrite().save(f"{target}/model")
+        package.model.save(spark, f"{target}/model")
     row = (
         package.name,
         package.task,
@@ -305,7 +354,7 @@ def load_package(spark: SparkSession, name: str, folder: str) -> ModelPackage:
     )
     target = f"{folder}/{name}"
     entry = spark.read.schema(schema).json(f"{target}/entry").first()
-    model = None if entry.task == "unsupervised" else PipelineModel.load(f"{target}/model")
+    model = None if entry.task == "unsupervised" else boosting.BoostedTrees.load(spark, f"{target}/model")
     return ModelPackage(
         entry.name,
         entry.task,

@@ -62,19 +62,24 @@ def prepare_all(star: StarSchema, max_rows: int | None = None):
     return {name: prepare_dataset(name, df, max_rows) for name, df in raw.items()}
 
 
-def train_one(name, prepared, inputs, registry, **search_options) -> models.ModelPackage:
-    spec = registry[name]
-    if spec.task == "unsupervised":
-        return models.ModelPackage(name, spec.task, None, spec.defaults, None, tuple(inputs))
-    return models.train_model(
-        name,
-        spec,
-        prepared,
-        inputs,
-        datasets.PRIMARY_TARGET[name],
-        ROW_KEYS[name],
-        **search_options,
-    )
+def train_all(
+    prepared: Mapping[str, tuple[DataFrame, list[str]]], registry: Mapping[str, models.ModelSpec], **options
+) -> dict[str, models.ModelPackage]:
+    """Packages of all prepared data sets; the models with a target are searched and fitted in one batch."""
+    plans, packages = {}, {}
+    for name, (df, inputs) in prepared.items():
+        spec = registry[name]
+        if spec.task == "unsupervised":
+            packages[name] = models.ModelPackage(name, spec.task, None, spec.defaults, None, tuple(inputs))
+        else:
+            label = datasets.PRIMARY_TARGET[name]
+            plans[name] = models.Plan(spec, df, tuple(inputs), label, tuple(ROW_KEYS[name]))
+    packages |= models.train_models(plans, **options)
+    return {name: packages[name] for name in prepared}
+
+
+def train_one(name, prepared, inputs, registry, **options) -> models.ModelPackage:
+    return train_all({name: (prepared, inputs)}, registry, **options)[name]
 
 
 def run_initial_pipeline(
@@ -96,10 +101,7 @@ def run_initial_pipeline(
     checks = validate_star_schema(star, strict)
     registry = models.build_model_registry()
     prepared, usage = learn_from(star, sample_size)
-    packages = {
-        name: train_one(name, df, inputs, registry, **search_options)
-        for name, (df, inputs) in prepared.items()
-    }
+    packages = train_all(prepared, registry, **search_options)
     if model_dir:
         for package in packages.values():
             models.save_package(spark, package, model_dir)
@@ -129,9 +131,9 @@ def ingest_and_retrain(
     registry = models.build_model_registry()
     prepared, usage = learn_from(star, context.sample_size)
     packages, status = {}, {}
-    for name, (df, inputs) in prepared.items():
-        current = context.packages.get(name)
-        fresh = train_one(name, df, inputs, registry, **context.options)
+    trained = train_all(prepared, registry, **context.options)
+    for name, (df, _) in prepared.items():
+        current, fresh = context.packages.get(name), trained[name]
         if fresh.task == "unsupervised":
             packages[name], status[name] = fresh, "refreshed"
         elif current is None or not set(current.features) <= set(df.columns):
@@ -179,10 +181,7 @@ def dashboard(
         # Kept or new, the model is judged on the rows of this run.
         score = package.evaluate(after.prepared[name].filter("split = 'test'"))
         known += [("models", name, k, v, None) for k, v in score.items()]
-        importances = package.model.stages[-1].featureImportances.toArray()
-        known += [
-            ("importance", name, f, float(v), None) for f, v in zip(package.features, importances)
-        ]
+        known += [("importance", name, f, v, None) for f, v in package.model.importances().items()]
     schema = "section string, name string, metric string, value double, detail string"
     parts.append(spark.createDataFrame(known, schema))
     summary = manifest.row_usage_summary(after.usage)

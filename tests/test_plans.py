@@ -124,8 +124,8 @@ def test_draws_are_distinct_and_repeatable():
 
 
 def test_tree_settings():
-    got = models.tree_settings({"num_leaves": 31, "max_depth": -1, "colsample_bytree": 0.7})
-    assert got == {"maxDepth": 5, "featureSubsetStrategy": "0.7"}
+    got = models.tree_settings({"num_leaves": 31, "max_depth": -1, "colsample_bytree": 0.7, "min_child_samples": 20})
+    assert (got.leaves, got.depth, got.column_share, got.row_share, got.least_rows) == (31, models.DEEPEST, 0.7, 1.0, 20)
 
 
 @pytest.fixture(scope="module")
