@@ -7,8 +7,8 @@ every run predicts for its rows so far.  One Spark job per tree level sums the
 gradient histograms of all open nodes of all runs, keyed ``(run, node)`` and
 combined before the shuffle; the reducers choose the splits, and only the splits
 reach the driver.  So thirty fits take the jobs of one.  A data set of a single
-block has nothing to exchange: its tasks, each with some of the runs, grow a whole
-tree per job, by the same functions.
+block has nothing to exchange: its tasks, each with some of the runs, grow the trees
+up to the next checkpoint by the same functions, and they are the same trees.
 
 A run's first ``k`` trees are the fit with ``k`` trees, so every tree count of a
 grid is scored from one run.  Gradients are whole numbers (``GRADIENT_BITS`` of the
@@ -29,6 +29,7 @@ import pickle
 import sys
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +82,9 @@ class Tree:
     value: np.ndarray
     gain: np.ndarray
 
+    def columns(self) -> tuple[np.ndarray, ...]:
+        return tuple(getattr(self, name) for name in self.__dataclass_fields__)
+
     def leaf_of(self, bins: np.ndarray) -> np.ndarray:
         """The node in which every column of ``bins`` ends."""
         at = np.zeros(bins.shape[1], dtype=np.int32)
@@ -234,14 +238,14 @@ class Job:
     def split(self, sums: np.ndarray) -> list[tuple]:
         return choose(sums, self.scale, self.run.settings)
 
-    def whole(self, part: Part, margin: np.ndarray) -> list[list]:
-        """The nodes of the grown tree of a run whose rows are all in this block."""
+    def whole(self, part: Part, margin: np.ndarray) -> Growth:
+        """The grown tree of a run whose rows are all in this block."""
         while self.growth.open:
             nodes, sums = self.sums(part, margin)
             if not nodes:
                 break
             self.growth.extend(dict(zip(nodes, self.split(sums))))
-        return self.growth.rows
+        return self.growth
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -367,28 +371,35 @@ def _spread(table: Table, groups: Sequence[Sequence[int]], starts: Mapping[int,
     return spread.values()
 
 
-def _advanced(record: tuple, trees: Mapping[int, Tree], runs: Sequence[Run], number: int) -> tuple:
+def _advanced(part: Part, trees: Mapping[int, Tree], runs: Sequence[Run], number: int) -> Part:
     """The block after the trees with this number."""
-    part = Part(*record)
     margins, scored = dict(part.margins), dict(part.scored)
     for r in margins.keys() & trees.keys():
         margins[r] = margins[r] + runs[r].settings.rate * trees[r].value[trees[r].leaf_of(part.bins)]
         if number + 1 in runs[r].scored:
             held = part.fold == runs[r].fold
             scored[r, number + 1] = part.y[held], margins[r][held]
-    return (*record[:-2], margins, scored)
+    return Part(*part.record()[:-2], margins, scored)
 
 
-def _offered(record: tuple, jobs: Mapping[int, Job], alone: frozenset[str]) -> Iterator[tuple]:
-    """Whole trees of tables with one block, histograms of the others."""
-    part = Part(*record)
-    for r in sorted(part.margins.keys() & jobs.keys()):
-        if part.table in alone:
-            yield (r, -1), jobs[r].whole(part, part.margins[r])
-        else:
-            nodes, sums = jobs[r].sums(part, part.margins[r])
-            for k, node in enumerate(nodes):
-                yield (r, node), sums[:, k]
+@dataclass(frozen=True)
+class Batch:
+    """All runs, with what their jobs need of the tables."""
+
+    runs: tuple[Run, ...]
+    tables: dict[str, tuple[int, bool, bool]]  # inputs, classes, forward
+    begin: tuple[tuple[float, float], ...]
+    seed: int
+
+    def job(self, r: int, number: int) -> Job:
+        run = self.runs[r]
+        inputs, classes, forward = self.tables[run.table]
+        growth = Growth(run.settings, _columns(inputs, run.settings.column_share, self.seed, number))
+        return Job(run, classes, forward, self.begin[r][1] / 2.0**GRADIENT_BITS, growth, number, self.seed)
+
+    def last(self, names: Sequence[str]) -> int:
+        """The most trees of a run of these tables."""
+        return max((run.settings.trees for run in self.runs if run.table in names), default=0)
 
 
 def grow(
@@ -396,41 +407,84 @@ def grow(
 ) -> tuple[list[Grown], DataFrame]:
     """All runs, and ``(run, trees, y, score)`` of the rows that each is judged on."""
     shared_dir(spark)
-    context = spark.sparkContext
     known = {t.name: t for t in tables}
-    begin = {r: known[run.table].start(run) for r, run in enumerate(runs)}
-    starts = {r: b[0] for r, b in begin.items()}
-    alone = frozenset(t.name for t in tables if t.blocks == 1)
-    state = []
-    for t in tables:
-        own = [r for r, run in enumerate(runs) if run.table == t.name]
-        count = max(1, min(len(own), context.defaultParallelism // max(1, len(alone)))) if t.name in alone else 1
-        state.append(_spread(t, [own[k::count] for k in range(count)], starts))
-    state = context.union(state).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = Batch(
+        tuple(runs),
+        {t.name: (len(t.features), t.classes, t.forward) for t in tables},
+        tuple(known[run.table].start(run) for run in runs),
+        seed,
+    )
     trees: list[list[Tree]] = [[] for _ in runs]
-    last: dict[int, Tree] = {}
-    for number in range(max((run.settings.trees for run in runs), default=0)):
-        if number:
-            old, state = state, _next(state, last, runs, number - 1)
-            if number % CHECKPOINT_TREES == 0:
-                state.checkpoint()
-        jobs = {}
-        for r, run in enumerate(runs):
-            if number < run.settings.trees:
-                t = known[run.table]
-                growth = Growth(run.settings, _columns(len(t.features), run.settings.column_share, seed, number))
-                scale = begin[r][1] / 2.0**GRADIENT_BITS
-                jobs[r] = Job(run, t.classes, t.forward, scale, growth, number, seed)
-        _level(state, jobs, alone)
-        while any(job.growth.open for job in jobs.values()):
-            _level(state, {r: job for r, job in jobs.items() if job.growth.open}, alone)
-        last = {r: job.growth.tree() for r, job in jobs.items()}
-        for r, tree in last.items():
+    alone = [t for t in tables if t.blocks == 1]
+    shared = [t for t in tables if t.blocks > 1]
+    judged = [_scores(spark, step(spark, some, batch, trees)) for some, step in ((alone, _alone), (shared, _shared)) if some]
+    found = [Grown(run, batch.begin[r][0], tuple(trees[r])) for r, run in enumerate(runs)]
+    return found, reduce(DataFrame.union, judged)
+
+
+def _laid(spark: SparkSession, tables: Sequence[Table], batch: Batch, groups: int) -> RDD:
+    """The blocks of all tables, each once for each group of its runs."""
+    parts = []
+    for t in tables:
+        own = [r for r, run in enumerate(batch.runs) if run.table == t.name]
+        count = max(1, min(len(own), groups))
+        starts = {r: batch.begin[r][0] for r in own}
+        parts.append(_spread(t, [own[k::count] for k in range(count)], starts))
+    return spark.sparkContext.union(parts).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _alone(spark: SparkSession, tables: Sequence[Table], batch: Batch, trees: list[list[Tree]]) -> RDD:
+    """Tables of one block: nothing to exchange, so a job grows the trees up to the next checkpoint."""
+    state = _laid(spark, tables, batch, spark.sparkContext.defaultParallelism).map(lambda record: (record, []))
+    count = batch.last([t.name for t in tables])
+    for first in range(0, count, CHECKPOINT_TREES):
+        numbers = range(first, min(first + CHECKPOINT_TREES, count))
+        state = state.map(_grower(batch, numbers)).persist(StorageLevel.MEMORY_AND_DISK)
+        state.checkpoint()
+        for r, tree in state.flatMap(lambda pair: pair[1]).collect():
+            trees[r].append(Tree(*tree))
+    return state.keys()
+
+
+def _grower(batch: Batch, numbers: range):
+    def grown(pair: tuple) -> tuple:
+        part, found = Part(*pair[0]), []
+        for number in numbers:
+            new = {}
+            for r, margin in part.margins.items():
+                if number < batch.runs[r].settings.trees:
+                    new[r] = batch.job(r, number).whole(part, margin).tree()
+                    found.append((r, new[r].columns()))
+            part = _advanced(part, new, batch.runs, number)
+        return part.record(), found
+
+    return grown
+
+
+def _shared(spark: SparkSession, tables: Sequence[Table], batch: Batch, trees: list[list[Tree]]) -> RDD:
+    """Tables of many blocks: the histograms of a tree level meet in one job."""
+    state = _laid(spark, tables, batch, 1)
+    names = [t.name for t in tables]
+    old = state
+    for number in range(batch.last(names)):
+        own = [r for r, run in enumerate(batch.runs) if run.table in names and number < run.settings.trees]
+        jobs = {r: batch.job(r, number) for r in own}
+        while growing := {r: job for r, job in jobs.items() if job.growth.open}:
+            _level(state, growing)
+        new = {r: job.growth.tree() for r, job in jobs.items()}
+        for r, tree in new.items():
             trees[r].append(tree)
-        if number:
-            old.unpersist()
-    found = _next(state, last, runs, max((run.settings.trees for run in runs), default=0) - 1)
-    return [Grown(run, starts[r], tuple(trees[r])) for r, run in enumerate(runs)], _scores(spark, found)
+        older, old, state = old, state, state.map(_advancer(new, batch.runs, number)).persist(StorageLevel.MEMORY_AND_DISK)
+        if number % CHECKPOINT_TREES == CHECKPOINT_TREES - 1:
+            state.checkpoint()
+        if older is not old:
+            # The blocks before the last ones have been read for those.
+            older.unpersist()
+    return state
+
+
+def _advancer(trees: Mapping[int, Tree], runs: Sequence[Run], number: int):
+    return lambda record: _advanced(Part(*record), trees, runs, number).record()
 
 
 def _columns(count: int, share: float, seed: int, number: int) -> list[int]:
@@ -438,33 +492,28 @@ def _columns(count: int, share: float, seed: int, number: int) -> list[int]:
     return sorted(np.random.default_rng([seed, number]).permutation(count)[:wanted].tolist())
 
 
-def _next(state: RDD, trees: Mapping[int, Tree], runs: Sequence[Run], number: int) -> RDD:
-    return state.map(lambda record: _advanced(record, trees, runs, number)).persist(StorageLevel.MEMORY_AND_DISK)
+def _level(state: RDD, jobs: Mapping[int, Job]) -> None:
+    """One level of all runs that still grow."""
 
+    def offered(record: tuple) -> Iterator[tuple]:
+        part = Part(*record)
+        for r in sorted(part.margins.keys() & jobs.keys()):
+            nodes, sums = jobs[r].sums(part, part.margins[r])
+            for k, node in enumerate(nodes):
+                yield (r, node), sums[:, k]
+
+    def decided(pair: tuple) -> tuple:
+        (r, node), sums = pair
+        return r, node, jobs[r].split(sums[:, None])[0]
 
-def _level(state: RDD, jobs: Mapping[int, Job], alone: frozenset[str]) -> None:
-    """One level of all runs that still grow; whole trees where a table has one block."""
-    offered = state.flatMap(lambda record: _offered(record, jobs, alone))
-    if any(job.run.table not in alone for job in jobs.values()):
-        nodes = sum(len(job.growth.open) for job in jobs.values())
-        offered = offered.reduceByKey(np.add, max(1, min(nodes, state.getNumPartitions())))
+    nodes = sum(len(job.growth.open) for job in jobs.values())
+    summed = state.flatMap(offered).reduceByKey(np.add, max(1, min(nodes, state.getNumPartitions())))
     splits: dict[int, dict[int, tuple]] = {r: {} for r in jobs}
-    for (r, node), result in offered.map(lambda pair: _decided(pair, jobs)).collect():
-        if node < 0:
-            jobs[r].growth.rows = result
-        else:
-            splits[r][node] = result
+    for r, node, split in summed.map(decided).collect():
+        splits[r][node] = split
     none = (0.0, 0, 0, (0.0, 0.0), 0.0)  # of a node without rows, which only a root can be
     for r, job in jobs.items():
-        if job.run.table in alone:
-            job.growth.open = []
-        else:
-            job.growth.extend({n: splits[r].get(n, none) for n in job.growth.open})
-
-
-def _decided(pair: tuple, jobs: Mapping[int, Job]) -> tuple:
-    (r, node), value = pair
-    return (r, node), value if node < 0 else jobs[r].split(value[:, None])[0]
+        job.growth.extend({n: splits[r].get(n, none) for n in job.growth.open})
 
 
 def _scores(spark: SparkSession, state: RDD) -> DataFrame:
