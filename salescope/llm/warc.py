@@ -49,6 +49,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT = 100
 LEVEL = 6
 SPLIT_BYTES = 8 << 20
+RANGES = 16  # read by a task, at most about
 CHUNK = 1 << 20  # bytes read at a time
 PROBE = 512  # bytes that show whether a member begins here
 DATE = "2000-01-01T00:00:00Z"
@@ -229,7 +230,10 @@ def read(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES, payload
     step = F.lit(split_bytes).cast("long")
     ranges = files.withColumn("start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)))
     ranges = durable(ranges.select("path", "start", F.least(F.col("start") + step, F.col("length")).alias("end")))
-    dealt = ranges.repartition(max(1, ranges.count()))
+    # A task takes several ranges, but no core is left without one.
+    count = ranges.count()
+    wanted = max(-(-count // RANGES), min(count, 2 * spark.sparkContext.defaultParallelism), 1)
+    dealt = ranges.repartitionByRange(wanted, F.xxhash64("path", "start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
