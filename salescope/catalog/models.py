@@ -117,6 +117,28 @@ def classification_quality(spark, folder):
     return rounded(classification_metrics(churn, "churn_label", "s"), "accuracy", "roc_auc")
 
 
+POINT_LIMITS_SQL = """limits AS (SELECT quantile_cont(CAST(purchase_count AS DOUBLE), 0.01) AS lo,
+          quantile_cont(CAST(purchase_count AS DOUBLE), 0.99) AS hi FROM interactions)"""
+POINTS_SQL = """points AS (SELECT customer_sk, customer_sk || '-' || product_sk AS pair,
+          coalesce((least(greatest(CAST(purchase_count AS DOUBLE), lo), hi) - lo)
+            / nullif(hi - lo, 0), 0) AS x,
+          total_spent / 1000000 AS y, average_spend / 1000000 AS z FROM interactions, limits)"""
+
+
+def interaction_points(spark, folder):
+    """The preprocessed interactions as points, money in millions."""
+    pairs = features.interactions(adapter.fact_sales(spark, folder))
+    ready, _ = preprocess("recommendation", pairs, fit_on="all")
+    million = F.lit(1_000_000.0)
+    return ready.select(
+        "customer_sk",
+        F.concat_ws("-", "customer_sk", "product_sk").alias("pair"),
+        (F.col("purchase_count") if "purchase_count" in ready.columns else F.lit(0.0)).alias("x"),
+        (F.col("total_spent") / million).alias("y"),
+        (F.col("average_spend") / million).alias("z"),
+    ).withColumn("vector", F.array("x", "y", "z"))
+
+
 @query(
     "similar_interactions",
     star_sql(
@@ -126,12 +148,8 @@ def classification_quality(spark, folder):
             / (sqrt(a * a + b * b + c * c) * sqrt(x * x + y * y + z * z)), 9) + 0.0 AS distance
           FROM points, profiles)
         QUALIFY rank <= 5""",
-        """limits AS (SELECT quantile_cont(CAST(purchase_count AS DOUBLE), 0.01) AS lo,
-          quantile_cont(CAST(purchase_count AS DOUBLE), 0.99) AS hi FROM interactions)""",
-        """points AS (SELECT customer_sk, customer_sk || '-' || product_sk AS pair,
-          coalesce((least(greatest(CAST(purchase_count AS DOUBLE), lo), hi) - lo)
-            / nullif(hi - lo, 0), 0) AS x,
-          total_spent / 1000000 AS y, average_spend / 1000000 AS z FROM interactions, limits)""",
+        POINT_LIMITS_SQL,
+        POINTS_SQL,
         """profiles AS (SELECT customer_segment AS segment, round(avg(x), 9) AS a,
           round(avg(y), 9) AS b, round(avg(z), 9) AS c
           FROM points JOIN customers USING (customer_sk) GROUP BY customer_segment)""",
@@ -139,16 +157,7 @@ def classification_quality(spark, folder):
 )
 def similar_interactions(spark, folder):
     """The five interactions nearest to the mean one of each customer segment."""
-    pairs = features.interactions(adapter.fact_sales(spark, folder))
-    ready, _ = preprocess("recommendation", pairs, fit_on="all")
-    million = F.lit(1_000_000.0)
-    points = ready.select(
-        "customer_sk",
-        F.concat_ws("-", "customer_sk", "product_sk").alias("pair"),
-        (F.col("purchase_count") if "purchase_count" in ready.columns else F.lit(0.0)).alias("x"),
-        (F.col("total_spent") / million).alias("y"),
-        (F.col("average_spend") / million).alias("z"),
-    ).withColumn("vector", F.array("x", "y", "z"))
+    points = interaction_points(spark, folder)
     segments = adapter.customers(spark, folder).select("customer_sk", "customer_segment")
     profiles = (
         points.join(segments, "customer_sk")
@@ -158,6 +167,28 @@ def similar_interactions(spark, folder):
     return rounded(kneighbors(points, "pair", "vector", profiles, "segment"), "distance")
 
 
+@query(
+    "customer_recommendations",
+    star_sql(
+        """SELECT customer_sk, pair, round(distance, 6) AS distance,
+          row_number() OVER (PARTITION BY customer_sk ORDER BY distance, pair) AS rank
+        FROM (SELECT profiles.customer_sk, pair, round(1 - (a * x + b * y + c * z)
+            / (sqrt(a * a + b * b + c * c) * sqrt(x * x + y * y + z * z)), 9) + 0.0 AS distance
+          FROM points, profiles)
+        QUALIFY rank <= 5""",
+        POINT_LIMITS_SQL,
+        POINTS_SQL,
+        """profiles AS (SELECT customer_sk, round(avg(x), 9) AS a, round(avg(y), 9) AS b,
+          round(avg(z), 9) AS c FROM points GROUP BY customer_sk)""",
+    ),
+)
+def customer_recommendations(spark, folder):
+    """The five interactions nearest to the mean one of every customer."""
+    points = interaction_points(spark, folder)
+    profiles = points.groupBy("customer_sk").agg(F.array(*[F.round(F.avg(c), 9) for c in "xyz"]).alias("vector"))
+    return rounded(kneighbors(points, "pair", "vector", profiles, "customer_sk"), "distance")
+
+
 @query(
     "embedding_knn",
     """WITH cells AS (SELECT label, i, round(avg(CAST(embedding[i] AS DOUBLE)), 9) AS m

@@ -107,6 +107,43 @@ def test_neighbors_equal_brute_force(spark):
             assert [k for _, k in mine] == [k for _, k in want]
 
 
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+@pytest.mark.parametrize("options", [{}, {"pivots": 40, "part": 16}, {"pivots": 1, "part": 50}])
+def test_neighbors_of_every_row(spark, metric, options):
+    rng = np.random.default_rng(5)
+    points = np.concatenate([rng.normal(size=(6, 3))[rng.integers(0, 6, 260)] + rng.normal(size=(260, 3)) * 0.05, rng.normal(size=(40, 3)) * 9])
+    points = points.round(2)
+    points[::4] = points[0]
+    points[5] = points[6] = 0
+    rows = [(f"k{i:03d}", p.tolist()) for i, p in enumerate(points)]
+    odd = [("x1", None), ("x2", [None, 1.0, 2.0]), ("x3", [float("nan")] * 3), ("x4", [float("inf"), 0.0, 0.0]), ("x5", [])]
+    df = spark.createDataFrame(rows + odd, "k string, v array<double>").repartition(5)
+    queries = df.select(F.concat(F.lit("q"), "k").alias("q"), "v", F.lit(1).alias("distance"))
+    found = {}
+    for r in kneighbors(df, "k", "v", queries.unionByName(queries.limit(1)), "q", 6, metric, **options).collect():
+        found.setdefault(r.q, set()).add((r["rank"], r.k, r.distance))
+    assert set(found) == {f"q{k}" for k, _ in rows}
+    for name, p in rows:
+        p = np.array(p)
+        if metric == "cosine":
+            norms = np.linalg.norm(points, axis=1) * np.linalg.norm(p)
+            far = 1 - np.divide(points @ p, norms, out=np.zeros(len(points)), where=norms > 0)
+        else:
+            far = np.linalg.norm(points - p, axis=1)
+        want = sorted(zip(far.round(9) + 0.0, (k for k, _ in rows)))[:6]
+        mine = sorted(found[f"q{name}"])
+        assert [k for _, k, _ in mine] == [k for _, k in want]
+        assert [d for _, _, d in mine] == pytest.approx([d for d, _ in want], abs=2e-9)
+
+
+def test_neighbors_of_nothing(frame):
+    some, none = frame("k long, v array<double>", (1, [1.0, 2.0])), frame("q long, v array<double>")
+    assert kneighbors(some, "k", "v", none, "q").count() == 0
+    assert kneighbors(none.withColumnRenamed("q", "k"), "k", "v", some.withColumnRenamed("k", "q"), "q").count() == 0
+    with pytest.raises(ValueError, match="lengths"):
+        kneighbors(some, "k", "v", frame("q long, v array<double>", (1, [1.0])), "q", metric="euclidean")
+
+
 def test_registry(spark):
     registry = models.build_model_registry()
     assert registry is not models.build_model_registry()
@@ -254,9 +291,9 @@ def test_task_functions_travel_without_the_package():
     from salescope.operators import neighbors
 
     code = "import pickle, sys, numpy as np; f = pickle.load(sys.stdin.buffer); "
-    code += "print(f(np.array([[2.0, 1.0]]), np.array([7, 8]), 1)[0][1][0])"
+    code += "print(f(np.array([2.0, 1.0]), [[7], [8]], 1)[0][1])"
     out = subprocess.run(
-        [sys.executable, "-I", "-c", code], input=cloudpickle.dumps(neighbors._best_of),
+        [sys.executable, "-I", "-c", code], input=cloudpickle.dumps(neighbors._nearest),
         capture_output=True, check=True, cwd="/",
     )
     assert out.stdout.strip() == b"8"
