@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.operators.ordered import exact_quantiles
+from salescope.session import durable
 
 AGGREGATES = ("sum", "mean", "median", "min", "max", "count", "std", "nunique")
 
@@ -26,6 +27,37 @@ def builtin(name: str, column: str) -> Column:
     return {"min": F.min, "max": F.max, "count": F.count}[name](column)
 
 
+BITMAP_KEYS = 32_768  # whole numbers that one bitmap tells apart
+
+
+def with_distinct_counts(
+    df: DataFrame, by: Sequence[str], distinct: Mapping[str, str], aggregates: Sequence[Column]
+) -> DataFrame:
+    """Aggregates and exact distinct counts per key; ``distinct`` maps a name to a column.
+
+    Several ``count_distinct`` make Spark expand every row once per column.  Here
+    a column of whole numbers is a bitmap per key instead: its partial states
+    are merged, one row per key and task.  A column with a value that a bitmap
+    can't hold is found by the same pass and counted the usual way by another.
+    """
+    kinds = {c: t for c, t in df.dtypes}
+    tried = {n: c for n, c in distinct.items() if kinds[c] in ("tinyint", "smallint", "int", "bigint")}
+    plain = {n: c for n, c in distinct.items() if n not in tried}
+    while True:
+        columns = [F.count_distinct(c).alias(n) for n, c in plain.items()]
+        for n, c in tried.items():
+            fits = F.col(c).between(0, BITMAP_KEYS - 1)
+            place = F.when(fits, F.col(c).cast("bigint"))
+            columns.append(F.bitmap_count(F.bitmap_construct_agg(place)).alias(n))
+            columns.append(F.max(~fits).alias(f"__wide_{n}"))
+        out = durable(df.groupBy(*by).agg(*aggregates, *columns))
+        flags = out.agg(*[F.max(f"__wide_{n}").alias(n) for n in tried]).first() if tried else {}
+        wide = [n for n in tried if flags[n]]
+        if not wide:
+            return out.drop(*[f"__wide_{n}" for n in tried])
+        plain |= {n: tried.pop(n) for n in wide}
+
+
 def grouped(
     df: DataFrame, keys: Sequence[str], specs: Mapping[str, tuple[str, str]]
 ) -> DataFrame:

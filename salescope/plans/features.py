@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions.columns import floor_days
-from salescope.operators.aggregates import builtin
+from salescope.operators.aggregates import builtin, with_distinct_counts
 from salescope.operators.metrics import lookup_join
 from salescope.operators.timeseries import rolling_average
-from salescope.session import durable
 
 
 def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
@@ -18,17 +17,17 @@ def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
     The sales are read once: the aggregate, one row per customer, is written
     out, and the latest date comes from it.
     """
-    per_customer = durable(
-        sales.groupBy("customer_sk").agg(
+    per_customer = with_distinct_counts(
+        sales,
+        ["customer_sk"],
+        {"products_purchased": "product_sk", "stores_used": "store_sk", "campaigns_used": "campaign_sk"},
+        [
             F.count("sales_id").alias("total_orders"),
             builtin("sum", "total_amount").alias("total_spent"),
             builtin("mean", "total_amount").alias("average_order_value"),
             F.min("sales_date").alias("first_purchase_date"),
             F.max("sales_date").alias("last_purchase_date"),
-            F.count_distinct("product_sk").alias("products_purchased"),
-            F.count_distinct("store_sk").alias("stores_used"),
-            F.count_distinct("campaign_sk").alias("campaigns_used"),
-        )
+        ],
     )
     latest = per_customer.agg(F.max("last_purchase_date")).scalar()
     known = per_customer.filter(F.col("customer_sk").isNotNull()).withColumns(
@@ -42,16 +41,15 @@ def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 def product_features(sales: DataFrame, products: DataFrame) -> DataFrame:
     """One row per product with sales."""
-    per_product = (
-        sales.filter(F.col("product_sk").isNotNull())
-        .groupBy("product_sk")
-        .agg(
+    per_product = with_distinct_counts(
+        sales.filter(F.col("product_sk").isNotNull()),
+        ["product_sk"],
+        {"customers_purchased": "customer_sk", "stores_sold_in": "store_sk"},
+        [
             F.count(F.lit(1)).alias("total_units_sold"),
             builtin("sum", "total_amount").alias("total_revenue"),
             builtin("mean", "total_amount").alias("average_sales_value"),
-            F.count_distinct("customer_sk").alias("customers_purchased"),
-            F.count_distinct("store_sk").alias("stores_sold_in"),
-        )
+        ],
     )
     return lookup_join(per_product, products, "product_sk", "product_sk", ["category", "brand"])
 

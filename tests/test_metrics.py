@@ -1,6 +1,7 @@
 """Figures, ranks, shares and scores on hand-made rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from salescope.functions.columns import ratio
 from salescope.operators import delivery, distribution, metrics
 from salescope.operators import timeseries as ts
+from salescope.operators.aggregates import with_distinct_counts
 from salescope.operators.evaluation import classification_metrics, regression_metrics
 from salescope.operators.scoring import weighted_score
 
@@ -195,3 +197,28 @@ def test_prediction_quality(frame):
     df = frame("y int, s double", (1, 0.9), (0, 0.8), (1, 0.8), (0, 0.1))
     row = classification_metrics(df, "y", "s").first()
     assert (row.accuracy, row.roc_auc) == approx((0.75, 0.875))
+
+
+@pytest.mark.parametrize("values", [[0, 1, 2, 32767], [0, 1, 32767, 32768], [-1, 0, 1], [2**40, 5, 0]])
+def test_distinct_counts_of_any_keys(spark, values):
+    rng = random.Random(1)
+    rows = [(n % 5 if n % 7 else None, rng.choice(values + [None]), rng.choice([3, 4, None]), rng.choice("abc")) for n in range(300)]
+    df = spark.createDataFrame(rows, "g long, a long, b int, c string").repartition(3)
+    found = with_distinct_counts(df, ["g"], {"na": "a", "nb": "b", "nc": "c"}, [F.count(F.lit(1)).alias("n")])
+    for r in found.collect():
+        own = [x for x in rows if x[0] == r.g]
+        assert (r.n, r.na, r.nb, r.nc) == (len(own), *[len({x[k] for x in own} - {None}) for k in (1, 2, 3)])
+    assert found.count() == 6
+    assert with_distinct_counts(df.limit(0), ["g"], {"na": "a"}, []).count() == 0
+
+
+def test_customer_features_expand_no_rows(spark, small, monkeypatch):
+    from salescope.operators import aggregates
+    from salescope.plans import features
+    from salescope.sources import adapter
+
+    plans = []
+    monkeypatch.setattr(aggregates, "durable", lambda df: plans.append(df._jdf.queryExecution().toString()) or df)
+    features.customer_features(adapter.fact_sales(spark, small), adapter.customers(spark, small))
+    features.product_features(adapter.fact_sales(spark, small), adapter.products(spark, small))
+    assert len(plans) == 2 and not any("Expand" in plan for plan in plans)
