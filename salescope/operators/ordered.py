@@ -194,6 +194,43 @@ def _squash_far_values(
     return out
 
 
+# The same per group, for groups large enough to be worth it; there are at most
+# rows / LARGE_GROUP of them.  MARGIN >= 1 / GROUP_SKETCH + 2 / LARGE_GROUP.
+GROUP_SKETCH = 1_000
+GROUP_MARGIN = 2e-3
+LARGE_GROUP = 4_000
+
+
+def _squash_far_values_by_group(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], by: Sequence[str]
+) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with the brackets of its large groups, and per column the expression that uses them.
+
+    Values of small groups, of which little would be saved, stay as they are.
+    """
+    wanted = sorted(probabilities)
+    edges = [min(max(p + d, 0.0), 1.0) for p in wanted for d in (-GROUP_MARGIN, GROUP_MARGIN)]
+    asked = []
+    for c in columns:
+        asked += [
+            F.count(c).alias(f"__n_{c}"),
+            F.percentile_approx(F.col(c).cast("double"), edges, GROUP_SKETCH).alias(f"__e_{c}"),
+        ]
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in by])
+    sizes = reduce(F.greatest, [F.col(f"__n_{c}") for c in columns]) if len(columns) > 1 else F.col(f"__n_{columns[0]}")
+    found = durable(df.filter(known).groupBy(*by).agg(*asked).filter(sizes >= LARGE_GROUP))
+    bracketed = df.join(found.withColumnsRenamed({c: f"__by_{c}" for c in by}), [F.col(c) == F.col(f"__by_{c}") for c in by], "left")
+    out = {}
+    for c in columns:
+        value, edge = F.col(c).cast("double"), F.col(f"__e_{c}")
+        squashed = F.lit(float("-inf"))
+        for k in range(len(wanted)):
+            squashed = F.when(value >= edge[2 * k], F.least(value, edge[2 * k + 1])).otherwise(squashed)
+        large = F.coalesce(F.col(f"__n_{c}") >= LARGE_GROUP, F.lit(False))
+        out[c] = F.when(value.isNotNull(), F.when(large, squashed).otherwise(value))
+    return bracketed, out
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -208,7 +245,10 @@ def exact_quantiles(
     distinct values are range-partitioned and only the few rows that cover a
     wanted position are kept.
     """
-    squash = {} if by else _squash_far_values(df, columns, list(quantiles.values()))
+    if by:
+        df, squash = _squash_far_values_by_group(df, columns, list(quantiles.values()), by)
+    else:
+        squash = _squash_far_values(df, columns, list(quantiles.values()))
     counts = value_counts(df, columns, by, squash)
     positions = {n: (F.col("total") - 1) * F.lit(float(q)) for n, q in quantiles.items()}
 

@@ -79,6 +79,33 @@ def test_quantiles_of_many_rows_are_exact(spark):
         assert got[f"x_{n}"] == pytest.approx(want[n])
 
 
+def test_quantiles_of_large_groups_move_few_values(spark, monkeypatch):
+    """Exact for large, small and null groups with ties, and most distinct values stay where they are."""
+    from salescope.operators import ordered
+
+    group = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 4 == 1, "warm").when(F.col("id") % 100 == 3, None)
+    df = spark.range(80_000).select(
+        group.otherwise(F.concat(F.lit("g"), F.col("id") % 60)).alias("g"),
+        F.when(F.col("id") % 5 == 0, F.lit(7.0)).otherwise(F.rand(5) * 1000).alias("x"),
+        F.when(F.col("id") % 3 > 0, F.randn(8)).alias("y"),
+    )
+    df = ordered.durable(df)
+    moved, counts = [], ordered.value_counts
+    monkeypatch.setattr(ordered, "value_counts", lambda *a, **k: moved.append(counts(*a, **k)) or moved[-1])
+    points = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.75, "e": 0.999, "f": 1.0}
+    got = {r.g: r for r in exact_quantiles(df, ["x", "y"], points, by=["g"], partitions=5).collect()}
+    want = df.filter("g IS NOT NULL").groupBy("g").agg(
+        *[F.percentile(c, F.lit(q)).alias(f"{c}_{n}") for c in ("x", "y") for n, q in points.items()]
+    ).collect()
+    assert len(got) == len(want)
+    for r in want:
+        assert all(got[r.g][c] == pytest.approx(r[c]) for c in r.asDict() if c != "g")
+    large = df.filter("g IN ('hot', 'warm')")
+    distinct = large.groupBy("g").agg(F.count_distinct("x") + F.count_distinct("y")).collect()
+    sent = moved[0].filter("g IN ('hot', 'warm')").count()
+    assert sent < 0.05 * sum(r[1] for r in distinct)
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], "g string, v double")
     assert exact_quantiles(empty, ["v"], {"m": 0.5}).first()["v_m"] is None
