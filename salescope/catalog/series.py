@@ -60,7 +60,7 @@ for _unit, _freq, _name in (
     ),
 )
 def monthly_growth(spark, folder):
-    grown = ts.growth_rate(monthly(spark, folder), ["period"], "revenue", "growth_pct")
+    grown = ts.growth_rate(monthly(spark, folder), ["period"], "revenue", "growth_pct", series=True)
     return rounded(grown, "growth_pct")
 
 
@@ -74,7 +74,7 @@ def monthly_growth(spark, folder):
     ),
 )
 def rolling_revenue(spark, folder):
-    rolled = ts.rolling_average(monthly(spark, folder), ["period"], "revenue", "rolling")
+    rolled = ts.rolling_average(monthly(spark, folder), ["period"], "revenue", "rolling", series=True)
     return rounded(rolled, "rolling", digits=4)
 
 
@@ -85,7 +85,38 @@ SLOPE_SQL = """SELECT round(regr_slope({v}, x), 4) AS slope FROM (
 
 @query("trend_slope", star_sql(SLOPE_SQL.format(v="revenue"), period_sql("month")))
 def trend_slope(spark, folder):
-    return rounded(ts.trend_slope(monthly(spark, folder), ["period"], "revenue"), "slope", digits=4)
+    return rounded(ts.trend_slope(monthly(spark, folder), ["period"], "revenue", series=True), "slope", digits=4)
+
+
+LINES_SQL = """lines AS (
+  SELECT sales_sk, sales_date, CAST(total_amount AS DOUBLE) AS amount, total_amount,
+         row_number() OVER (ORDER BY sales_date, sales_sk) - 1 AS x FROM fact_sales)"""
+
+
+@query(
+    "line_rolling",
+    star_sql(
+        """SELECT sales_sk, CASE WHEN count(total_amount) OVER w = 30
+        THEN round(CAST(sum(total_amount) OVER w AS DOUBLE) / 30, 6) END AS rolling,
+        round((amount - lag(amount) OVER o) / nullif(lag(amount) OVER o, 0) * 100, 6) AS growth_pct
+        FROM lines WINDOW o AS (ORDER BY x), w AS (ORDER BY x ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""",
+        LINES_SQL,
+    ),
+)
+def line_rolling(spark, folder):
+    """Rolling mean and growth over all sales lines in the order of their dates."""
+    lines = sales(spark, folder).select("sales_sk", "sales_date", "total_amount")
+    order = ["sales_date", "sales_sk"]
+    rolled = ts.rolling_average(lines, order, "total_amount", "rolling", 30)
+    grown = ts.growth_rate(rolled, order, "total_amount", "growth_pct")
+    return rounded(grown.select("sales_sk", "rolling", "growth_pct"), "rolling", "growth_pct")
+
+
+@query("line_slope", star_sql("SELECT round(regr_slope(amount, CAST(x AS DOUBLE)), 6) AS slope FROM lines", LINES_SQL))
+def line_slope(spark, folder):
+    """The slope over all sales lines in the order of their dates."""
+    lines = sales(spark, folder).select("sales_sk", "sales_date", "total_amount")
+    return rounded(ts.trend_slope(lines, ["sales_date", "sales_sk"], "total_amount"), "slope")
 
 
 STORE_SUMS = """sums AS (

@@ -10,11 +10,12 @@ boundary) is broadcast back.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from salescope.session import durable
 
@@ -129,6 +130,35 @@ def _carry(tagged, by, sums, whole, dense, unwanted):
     return carried.select(PART, *by, *keep)
 
 
+BUCKET_ROWS = 1 << 16
+
+
+def over_previous(
+    df: DataFrame,
+    order: Sequence[Column],
+    reach: int,
+    columns: Callable[[WindowSpec], Mapping[str, Column]],
+    bucket_rows: int = BUCKET_ROWS,
+) -> DataFrame:
+    """Add window columns that look at the row and at most ``reach`` rows before it.
+
+    ``columns`` gets the ordered window to build them on.  The rows are numbered
+    by an ordered scan and cut into buckets; each bucket also gets the last
+    ``reach`` rows of the one before, so no task holds more than a few buckets,
+    whatever the number of rows.
+    """
+    numbered = ordered_scan(df, order, row_number="__row")
+    size = max(bucket_rows, reach, 1)
+    place = F.col("__row") - 1
+    own = F.floor(place / size)
+    late = place % size >= size - reach
+    copies = F.when(late, F.array(own, own + 1)).otherwise(F.array(own))
+    spread = numbered.select("*", own.alias("__own"), F.explode(copies).alias("__bucket"))
+    window = Window.partitionBy("__bucket").orderBy("__row")
+    out = spread.withColumns(dict(columns(window)))
+    return out.filter(F.col("__own") == F.col("__bucket")).drop("__row", "__own", "__bucket")
+
+
 def value_counts(
     df: DataFrame,
     columns: Sequence[str],

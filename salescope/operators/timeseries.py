@@ -1,9 +1,9 @@
 """Period aggregates and operators on period series.
 
 A period series has one row per calendar period, so its length is bounded by
-the calendar and not by the sales volume.  That is why the operators below may
-use a window without a partition key, in one task.  For entity-level rows use
-``salescope.operators.ordered``.
+the calendar and not by the sales volume.  That is why what builds on one may
+use a window without a partition key, in one task; callers say so by ``series``.
+Growth, rolling means and slopes of any other frame run over range partitions.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from salescope.operators.aggregates import grouped
+from salescope.operators.ordered import ordered_scan, over_previous
 
 # frequency -> (step of the calendar, unit periods are truncated to)
 FREQUENCIES = {
@@ -85,27 +87,46 @@ def fill_periods(series: DataFrame, freq: str) -> DataFrame:
     )
 
 
-def growth_rate(df: DataFrame, order: Sequence[str], value: str, name: str) -> DataFrame:
-    """Change over the previous period in percent; NULL after a zero."""
-    previous = F.lag(value).over(Window.orderBy(*order)).cast("double")
-    change = F.try_divide(F.col(value).cast("double") - previous, previous) * 100
-    return df.withColumn(name, change)
+def growth_rate(df: DataFrame, order: Sequence[str], value: str, name: str, series: bool = False) -> DataFrame:
+    """Change over the previous row in percent; NULL after a zero."""
+
+    def change(window: WindowSpec) -> dict[str, Column]:
+        previous = F.lag(value).over(window).cast("double")
+        return {name: F.try_divide(F.col(value).cast("double") - previous, previous) * 100}
+
+    return _over_previous(df, order, 1, change, series)
 
 
 def rolling_average(
-    df: DataFrame, order: Sequence[str], value: str, name: str, window: int = 3
+    df: DataFrame, order: Sequence[str], value: str, name: str, window: int = 3, series: bool = False
 ) -> DataFrame:
     """Mean of the last ``window`` rows, NULL unless all of them have a value."""
-    frame = Window.orderBy(*order).rowsBetween(1 - window, Window.currentRow)
-    full = F.count(value).over(frame) == window
-    mean = F.sum(F.col(value)).over(frame).cast("double") / window
-    return df.withColumn(name, F.when(full, mean))
+
+    def mean(ordered: WindowSpec) -> dict[str, Column]:
+        frame = ordered.rowsBetween(1 - window, Window.currentRow)
+        total = F.sum(F.col(value)).over(frame).cast("double")
+        return {name: F.when(F.count(value).over(frame) == window, total / window)}
+
+    return _over_previous(df, order, window - 1, mean, series)
 
 
-def trend_slope(df: DataFrame, order: Sequence[str], value: str, name: str = "slope") -> DataFrame:
+def _over_previous(df, order, reach, columns, series):
+    """``series`` promises one row per calendar period; then one task is enough."""
+    if series:
+        return df.withColumns(columns(Window.orderBy(*order)))
+    return over_previous(df, [F.col(c) for c in order], reach, columns)
+
+
+def trend_slope(
+    df: DataFrame, order: Sequence[str], value: str, name: str = "slope", series: bool = False
+) -> DataFrame:
     """Least-squares slope per step of the non-null values, one row."""
     known = df.filter(F.col(value).isNotNull())
-    step = (F.row_number().over(Window.orderBy(*order)) - 1).cast("double")
+    if series:
+        known = known.withColumn("__row", F.row_number().over(Window.orderBy(*order)))
+    else:
+        known = ordered_scan(known, [F.col(c) for c in order], row_number="__row")
+    step = (F.col("__row") - 1).cast("double")
     points = known.select(step.alias("x"), F.col(value).cast("double").alias("y"))
     return points.agg(F.regr_slope("y", "x").alias(name))
 

@@ -127,7 +127,7 @@ def ask(
     if intent == "growth":
         need(date=date)
         series = ts.aggregate_time_period(df, date, column, freq, agg or "sum")
-        return ts.growth_rate(series, ["period"], column, "growth_pct")
+        return ts.growth_rate(series, ["period"], column, "growth_pct", series=True)
     if intent == "concentration" and group is None:
         # rows are the entities; they need an order among equal values
         entities = df.select(column, F.xxhash64(*df.columns).alias("__key"))

@@ -65,7 +65,7 @@ def daily_features(sales: DataFrame) -> DataFrame:
         )
     )
     for days in (7, 30):
-        daily = rolling_average(daily, ["date"], "__exact", f"rolling_{days}_day_average", days)
+        daily = rolling_average(daily, ["date"], "__exact", f"rolling_{days}_day_average", days, series=True)
     return daily.select(
         "date",
         F.col("__exact").cast("double").alias("daily_revenue"),

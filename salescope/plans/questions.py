@@ -118,8 +118,8 @@ def with_slope(series: DataFrame, value: str, name: str) -> DataFrame:
 def revenue_trend(d: SalesData) -> DataFrame:
     """Q2."""
     series = monthly(d, revenue=("total_amount", "sum"))
-    series = ts.growth_rate(series, ["period"], "revenue", "growth_pct")
-    series = ts.rolling_average(series, ["period"], "revenue", "rolling")
+    series = ts.growth_rate(series, ["period"], "revenue", "growth_pct", series=True)
+    series = ts.rolling_average(series, ["period"], "revenue", "rolling", series=True)
     return with_slope(series, "revenue", "slope")
 
 
@@ -338,7 +338,7 @@ def rating_by(d: SalesData, key: str) -> DataFrame:
 def rating_trend(d: SalesData) -> DataFrame:
     """Q27."""
     series = monthly(d, rating=("rating", "mean"), lines=("rating", "count"))
-    series = ts.rolling_average(series, ["period"], "rating", "rolling")
+    series = ts.rolling_average(series, ["period"], "rating", "rolling", series=True)
     return with_slope(series, "rating", "slope")
 
 

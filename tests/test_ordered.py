@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from salescope.operators.ordered import average_ranks, exact_quantiles, ordered_scan
+from salescope.operators import timeseries as ts
+from salescope.operators.ordered import average_ranks, exact_quantiles, ordered_scan, over_previous
 
 
 @pytest.fixture
@@ -116,3 +117,29 @@ def test_empty_input(spark):
 def test_average_ranks_share_ties(frame):
     df = frame("x double, w long", (1.0, 1), (2.0, 2), (3.0, 1))
     assert {r.x: r.r for r in average_ranks(df, "x", "w", "r").collect()} == {1: 1, 2: 2.5, 3: 4}
+
+
+@pytest.mark.parametrize(("reach", "size"), [(1, 7), (6, 10), (9, 4), (0, 5), (500, 20)])
+def test_rows_before_come_from_the_bucket_before(skewed, reach, size):
+    order = [F.col("v"), F.col("id")]
+
+    def columns(window):
+        frame = window.rowsBetween(-reach, 0)
+        return {"n": F.count("*").over(frame), "s": F.sum("id").over(frame), "last": F.lag("id", min(reach, 1)).over(window)}
+
+    got = over_previous(skewed, order, reach, columns, bucket_rows=size)
+    same(got, skewed.withColumns(columns(Window.orderBy(*order))))
+
+
+def test_any_frame_gives_what_a_series_gives(skewed):
+    order = ["v", "id"]
+    for f in (ts.growth_rate, ts.rolling_average):
+        got, want = f(skewed, order, "id", "x"), f(skewed, order, "id", "x", series=True)
+        same(got.select("id", "x"), want.select("id", "x"))
+        # What meets in one task is one row per partition; the rows meet by bucket.
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        for window in plan.split("Window ")[1:]:
+            assert "__bucket" in window or "__part" in window
+    slope = ts.trend_slope(skewed, order, "id")
+    assert slope.first()[0] == pytest.approx(ts.trend_slope(skewed, order, "id", series=True).first()[0])
+    assert ts.growth_rate(skewed.limit(0), order, "id", "x").count() == 0
