@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salescope.catalog.registry import as_days, query, rounded, star_sql
-from salescope.operators import cleaning, profiling, validation
-from salescope.plans import datasets
+from salescope.functions.columns import string_columns
+from salescope.operators import cleaning, distribution, profiling, validation
+from salescope.plans import datasets, features
+from salescope.session import durable
 from salescope.sources import adapter
 from salescope.sources.schema import StarSchema
 
@@ -161,8 +164,6 @@ RULES_CTE = """rules AS (
     star_sql("SELECT *, nulls = 0 AND duplicates = 0 AS passed FROM pk", PK_CTE),
 )
 def pk_check(spark, folder):
-    from functools import reduce
-
     parts = [
         validation.validate_primary_keys(df, name)
         for name, df in adapter.star(spark, folder).tables().items()
@@ -196,77 +197,174 @@ def star_validation(spark, folder):
     return validation.validate_star_schema(adapter.star(spark, folder))
 
 
-@query(
-    "ml_dataset_check",
-    star_sql(
-        """SELECT 'rows' AS "check", '' AS subject, count(*) AS value FROM churn
-        UNION ALL SELECT 'columns', '', 15
-        UNION ALL SELECT 'null_cells', '', 0
-        UNION ALL SELECT 'duplicate_rows', '', 0
-        UNION ALL SELECT 'constant', 'first_name', 1
-        UNION ALL SELECT 'target_values', 'churn_label', count(DISTINCT churn_label) FROM churn"""
-    ),
+# Every feature table and model data set as a view, and its columns.
+FEATURE_COLUMNS = {
+    "customer_features": "customer_sk total_orders total_spent average_order_value first_purchase_date"
+    " last_purchase_date products_purchased stores_used campaigns_used customer_lifetime_days"
+    " days_since_last_purchase customer_segment",
+    "product_features": "product_sk total_units_sold total_revenue average_sales_value customers_purchased"
+    " stores_sold_in category brand",
+    "daily_features": "date daily_revenue transaction_count day_of_week month quarter rolling_7_day_average"
+    " rolling_30_day_average",
+    "interactions": "customer_sk product_sk purchase_count total_spent average_spend",
+}
+DATASET_COLUMNS = {
+    "churn": FEATURE_COLUMNS["customer_features"] + " first_name last_name churn_label",
+    "ltv": FEATURE_COLUMNS["customer_features"] + " customer_ltv",
+    "demand": FEATURE_COLUMNS["product_features"] + " product_name origin_location",
+    "forecast": FEATURE_COLUMNS["daily_features"] + " full_date year weekday future_revenue",
+    "recommendation": FEATURE_COLUMNS["interactions"],
+}
+VIEWS_SQL = (
+    "ltv AS (SELECT *, total_spent AS customer_ltv FROM customer_features)",
+    """demand AS (SELECT pf.*, product_name, origin_location
+      FROM product_features pf LEFT JOIN products USING (product_sk))""",
+    "recommendation AS (SELECT * FROM interactions)",
 )
-def ml_dataset_check(spark, folder):
-    from salescope.catalog.datasets import churn
 
-    return profiling.validate_ml_dataframe(churn(spark, folder), datasets.TARGETS["churn"])
 
+def _columns_sql(views, select):
+    return " UNION ALL ".join(
+        select.format(view=view, column=column) for view, columns in views.items() for column in columns.split()
+    )
 
-PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+PROFILE_SQL = (
+    "profile AS ("
+    + _columns_sql(
+        DATASET_COLUMNS,
+        """SELECT '{view}' AS dataset, '{column}' AS column_name, count(*) AS row_count,
+          CAST(count_if({column} IS NULL) AS BIGINT) AS nulls, count(DISTINCT {column}) AS distinct_values,
+          (SELECT max(c) FROM (SELECT count(*) AS c FROM {view} GROUP BY {column})) AS top_count,
+          (SELECT any_value(typeof({column})) FROM {view}) = 'VARCHAR' AS is_text FROM {view}""",
+    )
+    + ")"
+)
+ROLES_SQL = "roles AS (SELECT * FROM (VALUES {}) r(dataset, column_name, role))".format(
+    ", ".join(
+        [f"('{d}', '{c}', 'target')" for d in DATASET_COLUMNS for c in datasets.TARGETS[d]]
+        + [f"('{d}', '{c}', 'protected')" for d in DATASET_COLUMNS for c in sorted(datasets.protected_columns(d))]
+    )
+)
 
 
-def _profile_sql(column, dtype):
-    x = f"CAST({column} AS DOUBLE)"
-    stats = f"""count({column}) AS count, round(avg({x}), 4) AS mean,
-      round(stddev_samp({x}), 4) AS std, min({x}) AS min, max({x}) AS max,
-      round(skewness({x}), 4) AS skew, round(quantile_cont({x}, 0.25), 4) AS p25,
-      round(quantile_cont({x}, 0.5), 4) AS p50, round(quantile_cont({x}, 0.75), 4) AS p75"""
-    return f"""SELECT '{column}' AS column_name, '{dtype}' AS type, count(*) AS row_count,
-      CAST(count_if({column} IS NULL) AS BIGINT) AS nulls,
-      count(DISTINCT {column}) AS distinct_values, {stats} FROM lineitem"""
+def _of_all(spark, folder, look):
+    """What ``look(name, frame)`` finds in every model data set."""
+    from salescope.catalog.datasets import DATASETS
+
+    parts = []
+    for name, build in DATASETS.items():
+        frame = build(spark, folder)
+        frame = as_days(frame, *[c for c, kind in frame.dtypes if kind.startswith("timestamp")])
+        parts.append(look(name, frame).withColumn("dataset", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
-    "feature_profile",
-    " UNION ALL ".join(
-        _profile_sql(c, "int" if c == "l_linenumber" else "double") for c in PROFILED
-    )
-    + """ UNION ALL SELECT 'l_returnflag', 'string', count(*),
-      CAST(count_if(l_returnflag IS NULL) AS BIGINT), count(DISTINCT l_returnflag),
-      NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM lineitem""",
+    "ml_dataset_check",
+    star_sql(
+        """SELECT dataset, 'rows' AS "check", '' AS subject, max(row_count) AS value FROM profile GROUP BY dataset
+        UNION ALL SELECT dataset, 'columns', '', count(*) FROM profile GROUP BY dataset
+        UNION ALL SELECT dataset, 'null_cells', '', CAST(sum(nulls) AS BIGINT) FROM profile GROUP BY dataset
+        UNION ALL """
+        + " UNION ALL ".join(
+            f"""SELECT '{d}', 'duplicate_rows', '',
+            (SELECT count(*) FROM {d}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {d}))"""
+            for d in DATASET_COLUMNS
+        )
+        + """ UNION ALL SELECT dataset, 'constant', column_name, distinct_values FROM profile WHERE distinct_values <= 1
+        UNION ALL SELECT dataset, 'target_values', column_name, distinct_values
+          FROM profile JOIN roles USING (dataset, column_name) WHERE role = 'target'""",
+        *VIEWS_SQL,
+        PROFILE_SQL,
+        ROLES_SQL,
+    ),
 )
+def ml_dataset_check(spark, folder):
+    return _of_all(spark, folder, lambda name, df: profiling.validate_ml_dataframe(df, datasets.TARGETS[name]))
+
+
+_STATS_SQL = """SELECT '{view}' AS dataset, '{column}' AS column_name,
+  replace(replace(lower((SELECT any_value(typeof({column})) FROM {view})), 'varchar', 'string'), 'integer', 'int') AS type,
+  count(*) AS row_count, CAST(count_if({column} IS NULL) AS BIGINT) AS nulls,
+  count(DISTINCT {column}) AS distinct_values,
+  CASE WHEN n THEN count({column}) END AS count, round(avg(x), 2) AS mean, round(stddev_samp(x), 2) AS std,
+  min(x) AS min, max(x) AS max, round(skewness(x), 4) AS skew, round(quantile_cont(x, 0.25), 4) AS p25,
+  round(quantile_cont(x, 0.5), 4) AS p50, round(quantile_cont(x, 0.75), 4) AS p75
+  FROM (SELECT {column}, typeof({column}) IN ('BIGINT', 'INTEGER', 'DOUBLE') AS n,
+    CASE WHEN typeof({column}) IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN TRY_CAST(CAST({column} AS VARCHAR) AS DOUBLE) END AS x
+    FROM {view}) GROUP BY n"""
+
+
+@query("feature_profile", star_sql(_columns_sql(FEATURE_COLUMNS, _STATS_SQL)))
 def feature_profile(spark, folder):
-    lines = adapter.table(spark, folder, "lineitem").select(*PROFILED, "l_returnflag")
-    return rounded(
-        profiling.inspect_dataset(lines), "mean", "std", "skew", "p25", "p50", "p75", digits=4
-    )
+    """All columns of the four feature tables."""
+    star = adapter.star(spark, folder)
+    parts = []
+    for name, df in features.feature_tables(star.fact_sales, star.customers, star.products).items():
+        df = as_days(df, *[c for c, kind in df.dtypes if kind.startswith("timestamp")])
+        parts.append(profiling.inspect_dataset(durable(df)).withColumn("dataset", F.lit(name)))
+    found = rounded(reduce(DataFrame.unionByName, parts), "skew", "p25", "p50", "p75", digits=4)
+    return rounded(found, "mean", "std", digits=2)
 
 
 @query(
     "constant_columns",
-    star_sql("SELECT 'first_name' AS column_name, count(DISTINCT first_name) AS distinct_values, "
-             "max(c) AS top_count FROM (SELECT first_name, count(*) OVER "
-             "(PARTITION BY first_name) AS c FROM churn)"),
+    star_sql(
+        """SELECT dataset, column_name, distinct_values, top_count FROM profile
+        WHERE (distinct_values + CAST(nulls > 0 AS INTEGER) <= 1 OR top_count >= row_count * 0.99)
+          AND (dataset, column_name) NOT IN (SELECT dataset, column_name FROM roles WHERE role = 'protected')""",
+        *VIEWS_SQL,
+        PROFILE_SQL,
+        ROLES_SQL,
+    ),
 )
 def constant_columns(spark, folder):
-    from salescope.catalog.datasets import churn
+    def look(name, df):
+        found = profiling.constant_columns(profiling.column_profile(df), datasets.protected_columns(name))
+        return found.select("column_name", "distinct_values", "top_count")
 
-    profile = profiling.column_profile(churn(spark, folder))
-    found = profiling.constant_columns(profile, datasets.protected_columns("churn"))
-    return found.select("column_name", "distinct_values", "top_count")
+    return _of_all(spark, folder, look)
 
 
 @query(
     "high_cardinality_columns",
-    star_sql("SELECT 'last_name' AS column_name, count(DISTINCT last_name) AS distinct_values "
-             "FROM churn"),
+    star_sql(
+        """SELECT dataset, column_name, distinct_values FROM profile
+        WHERE is_text AND distinct_values >= row_count * 0.95""",
+        *VIEWS_SQL,
+        PROFILE_SQL,
+    ),
 )
 def high_cardinality_columns(spark, folder):
-    from salescope.catalog.datasets import churn
-    from salescope.functions.columns import string_columns
+    def look(name, df):
+        found = profiling.high_cardinality_columns(profiling.column_profile(df), string_columns(df))
+        return found.select("column_name", "distinct_values")
+
+    return _of_all(spark, folder, look)
+
+
+@query(
+    "target_distribution",
+    star_sql(
+        " UNION ALL ".join(
+            f"""SELECT '{d}' AS dataset, '{c}' AS target, CAST({c} AS DOUBLE) AS value, count(*) AS n
+            FROM {d} GROUP BY {c}"""
+            for d in DATASET_COLUMNS
+            for c in datasets.TARGETS[d]
+        ),
+        *VIEWS_SQL,
+    ),
+)
+def target_distribution(spark, folder):
+    """How often every value of every target occurs."""
+    from salescope.catalog.datasets import DATASETS
 
-    frame = churn(spark, folder)
-    profile = profiling.column_profile(frame)
-    found = profiling.high_cardinality_columns(profile, string_columns(frame))
-    return found.select("column_name", "distinct_values")
+    parts = []
+    for name, targets in datasets.TARGETS.items():
+        frame = DATASETS[name](spark, folder) if targets else None
+        for target in targets:
+            found = distribution.target_distribution(frame, target)
+            value = F.col(target).cast("double").alias("value")
+            parts.append(found.select(F.lit(name).alias("dataset"), F.lit(target).alias("target"), value, "n"))
+    return reduce(DataFrame.unionByName, parts)

@@ -328,13 +328,6 @@ def segment_category_pivot(spark, folder):
     return rounded(dist.mean_matrix(lines, "customer_segment", "category", "total_amount"), "mean")
 
 
-@query("target_distribution", star_sql("SELECT churn_label, count(*) AS n FROM churn GROUP BY ALL"))
-def target_distribution(spark, folder):
-    from salescope.catalog.datasets import churn
-
-    return dist.target_distribution(churn(spark, folder), "churn_label")
-
-
 @query(
     "event_top_products",
     star_sql(
