@@ -189,6 +189,21 @@ def stream_monthly(spark, folder):
     return metrics.stream_monthly(event_stream(spark, folder), fresh(spark, "monthly"))
 
 
+@query(
+    "stream_event_time",
+    star_sql(
+        f"""SELECT strftime(sales_date, '%Y-%m-%d') AS day, {EVENT_SUM}, count(*) AS transactions FROM sales_events
+        GROUP BY 1 HAVING any_value(date_trunc('day', sales_date)) + INTERVAL 1 DAY
+          <= (SELECT max(sales_date) FROM sales_events) - INTERVAL 2 DAY"""
+    ),
+)
+def stream_event_time(spark, folder):
+    """The days that are over, two days after their end in event time; every event comes twice."""
+    stream = event_stream(spark, folder)
+    twice = stream.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return metrics.daily_by_event_time(twice, fresh(spark, "event-time"))[0]
+
+
 MONTHLY = """SELECT strftime(sales_date, '%Y-%m') AS key, CAST(sum(total_amount) AS DOUBLE) AS value
   FROM fact_sales GROUP BY 1"""
 DAILY = """SELECT strftime(sales_date, '%Y-%m-%d') AS key, CAST(sum(total_amount) AS DOUBLE) AS value

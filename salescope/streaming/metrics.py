@@ -4,19 +4,21 @@ Two forms.  ``running_aggregate`` keeps one aggregate in Spark's state store
 and writes the keys that changed.  ``process_events`` keeps no state: each
 micro-batch writes its own sums, which add up on reading.  Both write a folder
 per ``batch_id`` in overwrite mode, so a batch that runs again after a failure
-replaces its own output.
+replaces its own output, and both are compacted (see ``salescope.streaming.state``).
+``daily_by_event_time`` follows event time and closes a day when it is over.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescope.functions.columns import money
 from salescope.sources.schema import REQUIRED_EVENT_COLUMNS
+from salescope.streaming import state
 
 # ---- fixed values ----
 TOP_ENTITIES = 10
@@ -41,13 +43,15 @@ def counted_key(column: str, skip_zero_keys: bool) -> Column:
     return known & (F.col(column) != 0) if skip_zero_keys else known
 
 
-def _latest(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
+def _latest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
     """Per key the values of the last batch that changed it."""
-    versions = spark.read.parquet(folder)
-    values = [c for c in versions.columns if c not in (*keys, "batch")]
-    newest = F.max_by(F.struct(*values), "batch").alias("__v")
-    grouped = versions.groupBy(*keys).agg(newest)
-    return grouped.select(*keys, "__v.*")
+
+    def merge(versions: DataFrame) -> DataFrame:
+        values = [c for c in versions.columns if c not in keys]
+        newest = F.max_by(F.struct(*values), state.BATCH).alias("__v")
+        return versions.groupBy(*keys).agg(newest).select(*keys, "__v.*")
+
+    return merge
 
 
 def running_aggregate(
@@ -59,11 +63,12 @@ def running_aggregate(
     value of every key.
     """
 
+    totals = stream.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
+    merge = _latest([c for c in totals.columns if c not in sums])
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/values/batch={batch_id}")
+        state.write_batch(batch, f"{folder}/values", batch_id, merge)
 
-    totals = stream.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
-    names = [c for c in totals.columns if c not in sums]
     run = (
         totals.writeStream.outputMode("update")
         .foreachBatch(write)
@@ -72,7 +77,7 @@ def running_aggregate(
         .start()
     )
     run.awaitTermination()
-    return _latest(stream.sparkSession, f"{folder}/values", names)
+    return state.read_state(stream.sparkSession, f"{folder}/values", merge).drop(state.BATCH)
 
 
 def amount() -> Column:
@@ -155,7 +160,7 @@ def process_events(stream: DataFrame, folder: str, skip_zero_keys: bool = False)
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # read twice below
         sums = batch_increments(batch, skip_zero_keys)
-        sums.write.mode("overwrite").parquet(f"{folder}/increments/batch={batch_id}")
+        state.write_batch(sums, f"{folder}/increments", batch_id, metric_state)
         _, dead = split_events(batch)
         dead.write.mode("overwrite").json(f"{folder}/dead/batch={batch_id}")
         batch.unpersist()
@@ -167,41 +172,94 @@ def process_events(stream: DataFrame, folder: str, skip_zero_keys: bool = False)
         .start()
     )
     run.awaitTermination()
-    return metric_state(stream.sparkSession.read.parquet(f"{folder}/increments"))
+    return state.read_state(stream.sparkSession, f"{folder}/increments", metric_state).drop(state.BATCH)
 
 
 def metric_state(increments: DataFrame) -> DataFrame:
-    return increments.groupBy("metric", "key").agg(
-        F.sum("amount").alias("amount"), F.sum("n").alias("n")
-    )
+    """Increments, or states, of any number of batches added up."""
+    kept = [F.max(state.BATCH).alias(state.BATCH)] if state.BATCH in increments.columns else []
+    amount = F.sum("amount").cast(increments.schema["amount"].dataType)
+    return increments.groupBy("metric", "key").agg(amount.alias("amount"), F.sum("n").alias("n"), *kept)
+
+
+def daily_by_event_time(stream: DataFrame, folder: str, delay: str = "2 days") -> tuple[DataFrame, DataFrame]:
+    """Revenue of the days that are over in event time, and the events that came too late.
+
+    An event is late if it is older than the newest one of the batches before it
+    less ``delay``; late events go to the dead letters ``<folder>/late`` and count
+    nowhere.  Of events with one ``sales_id`` within the delay, one counts.  A day
+    is returned once the watermark has passed its end; its sum changes no more, so
+    state is kept for the days within the delay only.
+
+    Returns ``(day, revenue, transactions)`` and the late events.
+    """
+    spark = stream.sparkSession
+    columns = ["sales_id", "sales_date", "total_amount"]
+    valid = stream.filter(is_valid() & F.col("sales_date").isNotNull()).select(*columns)
+    schema = valid.schema
+
+    def newest(marks: DataFrame) -> DataFrame:
+        return marks.agg(F.max("newest").alias("newest"), F.max(state.BATCH).alias(state.BATCH))
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        seen = state.read_state(spark, f"{folder}/marks", newest, batch_id)
+        mark = seen.select("newest").first()[0] if seen is not None else None
+        late = F.lit(False)
+        if mark is not None:
+            late = F.col("sales_date") < F.lit(mark) - F.expr(f"interval {delay}")
+        batch.persist()  # read three times below
+        state.write_batch(batch.agg(F.max("sales_date").alias("newest")), f"{folder}/marks", batch_id, newest)
+        batch.filter(late).write.mode("overwrite").parquet(f"{folder}/late/{batch_id:09d}")
+        batch.filter(~late).write.mode("overwrite").parquet(f"{folder}/on-time/{batch_id:09d}")
+        batch.unpersist()
+
+    def run(frame: DataFrame, name: str, write) -> None:
+        writer = frame.writeStream.foreachBatch(write).option("checkpointLocation", f"{folder}/progress-{name}")
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    run(valid, "route", route)
+    # This watermark is never ahead of the one above, so it drops nothing more.
+    on_time = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{folder}/on-time")
+    on_time = on_time.withColumn("at", F.col("sales_date").cast("timestamp")).withWatermark("at", delay)
+    once = on_time.dropDuplicatesWithinWatermark(["sales_id"])
+    days = once.groupBy(F.window("at", "1 day")).agg(amount().alias("revenue"), F.count(F.lit(1)).alias("transactions"))
+    days = days.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "revenue", "transactions")
+
+    def closed(batch: DataFrame, batch_id: int) -> None:
+        state.write_batch(batch, f"{folder}/days", batch_id, lambda df: df)
+
+    run(days, "days", closed)
+    found = state.read_state(spark, f"{folder}/days", lambda df: df).drop(state.BATCH)
+    late = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{folder}/late")
+    return _as_double(found), late
 
 
-def _top(state: DataFrame, metric: str, value: str) -> DataFrame:
-    found = state.filter(F.col("metric") == metric)
+def _top(sums: DataFrame, metric: str, value: str) -> DataFrame:
+    found = sums.filter(F.col("metric") == metric)
     ordered = found.orderBy(F.desc(value), F.col("key").cast("long")).limit(TOP_ENTITIES)
     return ordered.select(
         F.lit(f"top_{metric}s").alias("section"), "key", F.col(value).cast("double").alias("value")
     )
 
 
-def _section(state: DataFrame, metric: str, name: str, value: str = "amount") -> DataFrame:
-    return state.filter(F.col("metric") == metric).select(
+def _section(sums: DataFrame, metric: str, name: str, value: str = "amount") -> DataFrame:
+    return sums.filter(F.col("metric") == metric).select(
         F.lit(name).alias("section"), "key", F.col(value).cast("double").alias("value")
     )
 
 
-def event_summary(state: DataFrame) -> DataFrame:
+def event_summary(sums: DataFrame) -> DataFrame:
     """``(section, key, value)``: totals, the top ten, daily and monthly revenue."""
-    total = _section(state, "total", "total_revenue").withColumn("value", F.round("value", 2))
+    total = _section(sums, "total", "total_revenue").withColumn("value", F.round("value", 2))
     return reduce(
         DataFrame.unionByName,
         [
             total,
-            _section(state, "total", "transactions", "n"),
-            _top(state, "product", "n"),
-            _top(state, "customer", "amount"),
-            _section(state, "day", "daily_sales"),
-            _section(state, "month", "monthly_sales"),
+            _section(sums, "total", "transactions", "n"),
+            _top(sums, "product", "n"),
+            _top(sums, "customer", "amount"),
+            _section(sums, "day", "daily_sales"),
+            _section(sums, "month", "monthly_sales"),
         ],
     )
 

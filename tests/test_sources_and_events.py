@@ -1,10 +1,14 @@
 """Files in and out, event banks, row events and streams."""
 
+import datetime as dt
+import time
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
 from salescope.sources import adapter, tables
-from salescope.streaming import metrics, transport
+from salescope.streaming import metrics, state, transport
 
 EVENTS = "sales_id string, customer_sk long, product_sk long, total_amount double, sales_date timestamp_ntz"
 
@@ -121,6 +125,62 @@ def test_replayed_batch_changes_nothing(spark, frame, tmp_path):
     assert total(metrics.process_events(stream(), out)) == once
 
 
+def test_state_is_compacted_and_replays_change_nothing(spark, frame, tmp_path):
+    folder = str(tmp_path / "s")
+
+    def rows(n):
+        return frame("metric string, key string, amount decimal(18,4), n long", ("m", str(n % 3), Decimal(n), 1))
+
+    def now():
+        found = state.read_state(spark, folder, metrics.metric_state)
+        return {r.key: (r.amount, r.n) for r in found.collect()}
+
+    assert state.read_state(spark, folder, metrics.metric_state) is None
+    most = 0
+    for n in range(23):
+        for _ in range(2):  # every batch runs twice
+            state.write_batch(rows(n), folder, n, metrics.metric_state, compact_after=4)
+        done = range(n + 1)
+        assert now() == {str(k): (sum(x for x in done if x % 3 == k), len([x for x in done if x % 3 == k])) for k in range(min(3, n + 1))}
+        most = max(most, len(list((tmp_path / "s").iterdir())))
+    assert most <= 2 * 4 + 4
+    before = state.read_state(spark, folder, metrics.metric_state, before=22)
+    assert before.agg({"n": "sum"}).first()[0] == 22
+    # A base that was not finished does not count.
+    (tmp_path / "s" / "base-21").mkdir()
+    assert sum(n for _, n in now().values()) == 23
+
+
+def test_late_and_repeated_events(spark, frame, tmp_path):
+    bank, out = str(tmp_path / "bank"), str(tmp_path / "out")
+    def day(d, h=12):
+        return dt.datetime(2024, 1, d, h)
+
+    files = [
+        [("a", day(1)), ("b", day(2)), ("b", day(2))],
+        [("c", day(1)), ("d", day(9)), ("a", day(1))],  # within two days of the newest so far
+        [("e", day(3)), ("f", day(7, 13)), ("d", day(9)), ("g", day(12))],  # e is late, f is not
+        [("h", day(9)), ("i", day(11)), ("j", day(20))],  # h is late
+    ]
+    schema = "sales_id string, customer_sk long, product_sk long, total_amount double, sales_date timestamp_ntz"
+    for i, rows in enumerate(files):
+        frame(schema, *[(n, 1, 1, 1.0, at) for n, at in rows]).coalesce(1).write.json(f"{bank}/{i}")
+        time.sleep(0.05)
+
+    def stream():
+        return spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).json(bank)
+
+    found, late = metrics.daily_by_event_time(stream(), out)
+    assert sorted(r.sales_id for r in late.collect()) == ["e", "h"]
+    days = {r.day: (r.revenue, r.transactions) for r in found.collect()}
+    assert days == {f"2024-01-{d:02d}": (n, n) for d, n in ((1, 2), (2, 1), (7, 1), (9, 1), (11, 1), (12, 1))}
+    # Going on with nothing new changes nothing; the last day closes with a later event.
+    frame(schema, ("k", 1, 1, 1.0, day(28))).coalesce(1).write.json(f"{bank}/9")
+    again, late = metrics.daily_by_event_time(stream(), out)
+    assert {r.day for r in again.collect()} == {*days, "2024-01-20"}
+    assert late.count() == 2
+
+
 def test_summary_equals_batch(spark, small, tmp_path):
     events = adapter.sales_events(spark, small)
     transport.write_event_bank(events, str(tmp_path / "bank"), batch_size=100)
