@@ -5,13 +5,15 @@ card, phone), among them spellings that the base rules below don't know, such as
 ``name (at) host (dot) org``, addresses of version 6 and numbers without a plus
 sign.  Gradient-boosted trees (Spark's ``GBTClassifier``) judge every candidate by
 its format and context.  Per kind, the lowest threshold that keeps ``PRECISION``
-on held-out documents selects the spans that are added; a kind without enough
-held-out cases adds none.
+on held-out documents selects the spans that are added.  A kind's precision counts
+``PRIOR`` cases of all kinds together on top of its own, so a kind with few or no
+held-out cases has the threshold of all.
 
 There are no labels of personal data, so the trees learn from the base rules:
 candidates that are base spans are positive, with copies of them in other
 spellings; candidates that touch no base span, and copies with a broken check
-digit, part or length, are negative.  They learn from the candidates of two thirds
+digit, part or length, are negative.  A candidate of the text that is written like
+one of those other spellings is neither: nobody knows what it is.  They learn from the candidates of two thirds
 of about ``SAMPLE`` documents, chosen by hash; of a kind with more than its share of
 ``MAX_ROWS`` candidates there, from those of some of the documents.  The thresholds
 come from a third of all documents, held out by hash, and every whole text is
@@ -62,7 +64,7 @@ HELD = 3  # one of so many documents is held out
 TREES = 12
 DEPTH = 3
 PRECISION = 0.98
-LEAST = 20  # held-out positives that a threshold needs
+PRIOR = 20  # held-out cases of all kinds that count for each kind
 STEPS = 50  # of the thresholds
 CONTEXT = 40  # characters around a span
 CHUNK = 20_000  # candidates that are judged at once
@@ -72,6 +74,7 @@ SPELLED = re.compile(r"\x20?[A-Za-z0-9-]+(?:(?:\x20?[\[({<]\x20?(?:dot|DOT)\x20?
 SIX = re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}(?![0-9A-Za-z:])")
 ANY_CARD = re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20.\-]?[0-9]){11,18}(?![0-9A-Za-z])")
 ANY_PHONE = re.compile(r"(?<![0-9A-Za-z+])[+(]?[0-9][0-9\x20().\-/]{5,20}[0-9](?![0-9A-Za-z])")
+NATIONAL = re.compile(r"(?:\([0-9]{3}\) |[0-9]{3}-)[0-9]{3}-[0-9]{4}")
 HINTS = {
     "email": ("mail", "contact", "correo", "courriel"),
     "ip": ("ip", "host", "server", "address"),
@@ -206,7 +209,12 @@ def variants(kind: str, own: str) -> list[tuple[str, int]]:
         name, _, host = own.partition("@")
         return [(f"{name} (at) {host}", 1), (f"{name} [at] {host.replace('.', ' [dot] ')}", 1)]
     if kind == "ip":
-        return [(own.rpartition(".")[0], 0), (f"{own}.{digits[:2]}", 0), (f"9{own.partition('.')[0]}99" + own[own.find(".") :], 0)]
+        parts = own.split(".")
+        groups = [*[f"{int(p):x}" for p in parts], digits[:4], digits[-3:]]
+        six = "2001:db8:" + ":".join(groups)
+        short = "2001:db8::" + ":".join(groups[:4])
+        broken = [parts[0] + "." + parts[1] + "." + parts[2], f"{own}.{digits[:2]}", ".".join([f"9{parts[0]}99", *parts[1:]])]
+        return [(six, 1), (short, 1), *[(b, 0) for b in broken]]
     if kind == "card":
         grouped = [digits[i : i + 4] for i in range(0, len(digits), 4)]
         broken = digits[:-1] + str((int(digits[-1]) + 3) % 10)
@@ -216,6 +224,20 @@ def variants(kind: str, own: str) -> list[tuple[str, int]]:
     return [(f"({short[:3]}) {short[3:6]}-{short[6:]}", 1), (national, 1), (digits[:8], 0), (digits, 0)]
 
 
+def spelled_otherwise(span: Span, text: str) -> bool:
+    """Whether a span is written like a positive one of ``variants``."""
+    kind, start, end = span
+    own = text[start:end]
+    if kind == "email":
+        return bool(AT.search(own))
+    if kind == "ip":
+        return ":" in own
+    digits = digits_of(own)
+    if kind == "card":
+        return len(digits) in CARD_DIGITS and luhn(digits)
+    return bool(NATIONAL.fullmatch(own))
+
+
 def examples(text: str) -> Iterator[tuple[list[float], int]]:
     """Labelled candidates of a text; see the module's head."""
     base = base_spans(text)
@@ -223,7 +245,7 @@ def examples(text: str) -> Iterator[tuple[list[float], int]]:
     for span in sorted(candidates(text)):
         if span in known:
             yield span_features(text, span), 1
-        elif not cover.touches(span):
+        elif not cover.touches(span) and not spelled_otherwise(span, text):
             yield span_features(text, span), 0
     for kind, start, end in base:
         left, right = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
@@ -317,14 +339,14 @@ def calibrate(held: DataFrame, trees: list[list[tuple]], weights: list[float]) -
 
     judged = held.mapInArrow(run, "kind long, step long, ones long, n long")
     counts = judged.groupBy("kind", "step").agg(F.sum("ones"), F.sum("n")).collect()
-    thresholds = {}
-    for n, name in enumerate(KINDS):
-        positive = rows = 0
-        for _, at, ones, size in sorted((r for r in counts if r[0] == n), key=lambda r: -r[1]):
-            positive, rows = positive + ones, rows + size
-            if positive >= LEAST and positive >= PRECISION * rows:
-                thresholds[name] = at / STEPS
-    return thresholds
+    totals = np.zeros((STEPS + 1, len(KINDS), 2))
+    for kind, at, ones, size in counts:
+        totals[at, kind] = ones, size
+    above = totals[::-1].cumsum(axis=0)[::-1]  # what a threshold of a step lets through
+    pooled = above.sum(axis=1, keepdims=True)
+    share = np.divide(pooled[..., 0], pooled[..., 1], out=np.zeros((STEPS + 1, 1)), where=pooled[..., 1] > 0)
+    precise = (above[..., 0] + PRIOR * share) >= PRECISION * (above[..., 1] + PRIOR)
+    return {name: int(np.flatnonzero(ok)[0]) / STEPS for name, ok in zip(KINDS, precise.T) if ok.any()}
 
 
 def fit(docs: DataFrame) -> Model:
