@@ -61,10 +61,12 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """
     parts = F.transform(F.split("text", "\n", -1), lambda line, n: F.struct(n.alias("line"), line.alias("content")))
     full = F.filter(parts, lambda part: F.regexp_like(part["content"], F.lit(WORD)))
-    split = _keyed(docs).select("doc_id", *DOC, F.posexplode(full).alias("n", "part"))
+    keyed = _keyed(docs).withColumn("uid", F.monotonically_increasing_id())
+    split = keyed.select("doc_id", *DOC, "uid", F.posexplode(full).alias("n", "part"))
     lines = split.select(
         "doc_id",
         *DOC,
+        "uid",
         "n",
         "part.line",
         F.regexp_count("part.content", F.lit(WORD)).cast("long").alias("w"),
@@ -77,10 +79,11 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     # Most lines occur once, and most of those need no shuffle to know it.
     some, _ = parted(lines, again, "h1", "h2")
     by_doc = Window.partitionBy(*DOC).orderBy("n")
-    # Rows of a repeated document become one before the window, however many there are.
-    once = some.join(again, ["h1", "h2"]).groupBy(*DOC, "n")
-    once = once.agg(*[F.first(c).alias(c) for c in ("doc_id", "line", "w", "h1", "h2")])
-    numbered = once.withColumn("stretch", F.col("n") - F.row_number().over(by_doc))
+    # Of rows that repeat a document one goes on, so a window sees a document once.
+    rows = lines.filter("n = 0").groupBy(*DOC).agg(F.min("uid").alias("kept"), F.count(F.lit(1)).alias("times"))
+    twice = stored(rows.filter("times > 1").drop("times"), "repeated-rows")
+    once = some.join(twice, DOC, "left").filter("kept IS NULL OR uid = kept").drop("uid", "kept")
+    numbered = once.join(again, ["h1", "h2"]).withColumn("stretch", F.col("n") - F.row_number().over(by_doc))
     own = Window.partitionBy(*PLACE)
     long_enough = numbered.withColumn("words", F.sum("w").over(own)).filter(F.col("words") >= min_words)
     at = F.row_number().over(own.orderBy("n")) - 1
