@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -269,7 +270,7 @@ def test_decontamination_of_awkward_rows(docs):
 
 
 def test_decontamination_in_several_passes(docs):
-    check_decontamination(docs, planted(docs), shard_bytes=100)
+    check_decontamination(docs, planted(docs), table_bytes=5_000)
 
 
 def test_decontamination_by_nothing(docs, none):
@@ -279,12 +280,25 @@ def test_decontamination_by_nothing(docs, none):
     assert decontamination.decontaminate(none, benchmark).count() == 0
 
 
+def test_tables_stay_within_their_estimate():
+    rng = random.Random(4)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(20_000)]
+    items = [(str(n), " ".join(rng.choices(vocabulary, k=400)).encode()) for n in range(500)]
+    tables = decontamination.build(items)
+    arrays = [tables.text, *[getattr(s, f) for s in tables.searches for f in ("blocks", "shifts", "tails", "bounds", "places", "owners")]]
+    words = len(tables.text)
+    assert words == 500 * 400
+    assert sum(a.nbytes for a in arrays) <= decontamination.WORD_COST * words
+    names = sum(map(sys.getsizeof, tables.numbers)) + sys.getsizeof(tables.numbers) + 32 * len(tables.numbers)
+    assert names <= decontamination.NAME_COST * (len(tables.numbers) + len(tables.names))
+
+
 def test_search_equals_plain_comparison():
     rng = random.Random(2)
     for _ in range(300):
         tokens = [rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randrange(30))]
         items = [(str(n), b" ".join(rng.choices([b"a", b"b", b"c"], k=rng.randrange(1, 7)))) for n in range(4)]
-        ranges, ids = decontamination.search(tokens, decontamination.build(decontamination.patterns(items, 4)))
+        ranges, ids = decontamination.search(tokens, decontamination.build(items, 4))
         words, hit, n, digest, _ = None, 0, 0, "", False
         want, who = set(), set()
         for item, passage in items:
