@@ -52,7 +52,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 BLOCK = 2
 SHARE = 20  # a document is contaminated when a word in so many is hit
-TABLE_BYTES = 256_000_000
+TABLE_BYTES = 128_000_000
 WORD_COST = 48  # bytes of the tables per word of a test text
 NAME_COST = 160  # and per different word or item, which are Python strings
 
