@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from salescope.llm import decontamination, line_dedup, mixing, quality, simhash
 from salescope.llm.common import row_key, stored
+from salescope.operators.ordered import ordered_scan
+from salescope.session import durable
 
 
 def _with(docs: DataFrame, judged: DataFrame, **changed) -> DataFrame:
@@ -45,21 +47,27 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of the mix with the words it takes of each, repeats counted.
 
-    Documents of which the mix takes nothing are not in it.
+    Documents of which the mix takes nothing are not in it.  Columns of the names
+    that it adds (``size``, ``source_size``, ``target``, ``taken``) are replaced.
     """
-    found = mixing.mixture(docs).groupBy("key").agg(
-        F.first("size").alias("size"),
-        F.first("source_size").alias("source_size"),
-        F.first("target").alias("target"),
-        # Rows that repeat each other share their words.
-        F.expr("sum(taken) div count(1)").alias("taken"),
-    )
-    taken = stored(found.filter("taken > 0"), "mix")
-    added = [c for c in taken.columns if c != "key"]
+    mixed = durable(mixing.mixture(docs).drop("doc_id"))
+    added = [c for c in mixed.columns if c != "key"]
     key = row_key(*[docs[c].cast("string") for c in ("doc_id", "source", "text")]).alias("mix_key")
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key)
-    rows = rows.join(taken, rows["mix_key"] == taken["key"])
-    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
+    times = mixed.groupBy("key").agg(F.count(F.lit(1)).alias("times"))
+    again = stored(times.filter("times > 1").select("key"), "repeated")
+    alone = stored(mixed.filter("taken > 0").join(again, "key", "left_anti"), "mix")
+    found = rows.join(alone, rows["mix_key"] == alone["key"])
+    if not again.isEmpty():
+        # Of rows that repeat each other, each takes one share; which one makes no difference.
+        shares = mixed.join(again, "key")
+        shares = ordered_scan(shares, [F.desc("taken")], by=["key"], row_number="place").filter("taken > 0")
+        copies = rows.join(again, rows["mix_key"] == again["key"], "left_semi").withColumn("uid", F.monotonically_increasing_id())
+        copies = ordered_scan(copies, [F.col("uid")], by=["mix_key"], row_number="at")
+        same = (copies["mix_key"] == shares["key"]) & (copies["at"] == shares["place"])
+        repeats = copies.join(shares, same)
+        found = found.select("row", *added).unionByName(repeats.select("row", *added))
+    return found.select(*[F.col("row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
 STAGES = [
