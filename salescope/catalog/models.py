@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from salescope.catalog.datasets import DATASETS, customer_frame, forecast
 from salescope.catalog.events import fresh
-from salescope.catalog.registry import query, rounded, star_sql
+from salescope.catalog.registry import as_days, query, rounded, star_sql
 from salescope.catalog.series import period_sql
 from salescope.operators.evaluation import classification_metrics, regression_metrics
 from salescope.operators.neighbors import kneighbors
 from salescope.plans import ask as asking
-from salescope.plans import datasets, features, models, pipeline
+from salescope.plans import datasets, features, ingest, models, pipeline
 from salescope.plans.preprocess import preprocess
 from salescope.sources import adapter
 
@@ -234,6 +234,29 @@ def ingest_union(spark, folder):
     )
 
 
+def _loaded(spark, folder):
+    """Three loads that overlap by a year each."""
+    sales = adapter.fact_sales(spark, folder)
+    store = ingest.SalesStore(spark, fresh(spark, "sales"))
+    spans = (("1992-01-01", "1995-01-01"), ("1994-01-01", "1997-01-01"), ("1996-01-01", "2100-01-01"))
+    for load, (first, last) in enumerate(spans):
+        old = F.col("sales_date") < F.expr(f"timestamp_ntz'{last}'")
+        store.ingest(sales.filter(old & (F.col("sales_date") >= F.expr(f"timestamp_ntz'{first}'"))), load)
+    return store
+
+
+@query(
+    "ingested_customers",
+    star_sql(
+        """SELECT * REPLACE (round(average_order_value, 6) AS average_order_value) FROM customer_features"""
+    ),
+)
+def ingested_customers(spark, folder):
+    """Customer features kept up to date by three loads, from sums alone."""
+    found = _loaded(spark, folder).customer_features(adapter.customers(spark, folder))
+    return rounded(as_days(found, "first_purchase_date", "last_purchase_date"), "average_order_value")
+
+
 @query("dashboard")
 def dashboard(spark, folder):
     """A first run on the older sales, then an ingest of the rest."""

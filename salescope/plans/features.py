@@ -29,6 +29,11 @@ def customer_features(sales: DataFrame, customers: DataFrame) -> DataFrame:
             F.max("sales_date").alias("last_purchase_date"),
         ],
     )
+    return finished_customers(per_customer, customers)
+
+
+def finished_customers(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
+    """The feature table out of the sums per customer, a written table."""
     latest = per_customer.agg(F.max("last_purchase_date")).scalar()
     known = per_customer.filter(F.col("customer_sk").isNotNull()).withColumns(
         {
@@ -64,6 +69,11 @@ def daily_features(sales: DataFrame) -> DataFrame:
             F.count("sales_id").alias("transaction_count"),
         )
     )
+    return finished_days(daily)
+
+
+def finished_days(daily: DataFrame) -> DataFrame:
+    """The feature table out of ``(date, __exact, transaction_count)``."""
     for days in (7, 30):
         daily = rolling_average(daily, ["date"], "__exact", f"rolling_{days}_day_average", days, series=True)
     return daily.select(

@@ -25,20 +25,24 @@ BATCH = "__batch"
 Merge = Callable[[DataFrame], DataFrame]
 
 
-def _numbers(spark: SparkSession, folder: str) -> tuple[list[int], list[int]]:
-    """The ids of the complete bases and of the batches, ascending."""
+def folders(spark: SparkSession, folder: str, kind: str) -> list[int]:
+    """The numbers of the complete ``<kind>-<number>`` folders, ascending."""
     context = spark.sparkContext
     root = context._jvm.org.apache.hadoop.fs.Path(folder)
     store = root.getFileSystem(context._jsc.hadoopConfiguration())
     if not store.exists(root):
-        return [], []
-    found: dict[str, list[int]] = {"base": [], "batch": []}
+        return []
+    found = []
     for status in store.listStatus(root):
-        kind, _, number = status.getPath().getName().partition("-")
+        name, _, number = status.getPath().getName().partition("-")
         done = context._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if kind in found and number.isdigit() and store.exists(done):
-            found[kind].append(int(number))
-    return sorted(found["base"]), sorted(found["batch"])
+        if name == kind and number.isdigit() and store.exists(done):
+            found.append(int(number))
+    return sorted(found)
+
+
+def _numbers(spark: SparkSession, folder: str) -> tuple[list[int], list[int]]:
+    return folders(spark, folder, "base"), folders(spark, folder, "batch")
 
 
 def read_state(spark: SparkSession, folder: str, merge: Merge, before: int | None = None) -> DataFrame | None:
