@@ -321,6 +321,25 @@ def encode_categories(spark, folder):
     return preprocess.encode_categories(frame)
 
 
+@query(
+    "sparse_customers",
+    star_sql(
+        """SELECT f.sales_sk, dense_rank() OVER (ORDER BY lpad(CAST(c AS VARCHAR), 12, '0')) - 1 AS customer,
+          (SELECT count(DISTINCT customer_sk) FROM fact_sales) + dense_rank() OVER (ORDER BY p) - 1 AS product
+        FROM (SELECT sales_sk, customer_sk AS c, 'p' || lpad(CAST(product_sk AS VARCHAR), 12, '0') AS p FROM fact_sales) f"""
+    ),
+)
+def sparse_customers(spark, folder):
+    """Every line with the positions of its customer and product among all customers and products."""
+    sales = adapter.fact_sales(spark, folder).select(
+        "sales_sk",
+        F.lpad(F.col("customer_sk").cast("string"), 12, "0").alias("c"),
+        F.lpad(F.col("product_sk").cast("string"), 12, "0").alias("p"),
+    )
+    found, _ = preprocess.sparse_indicators(sales, ["c", "p"])
+    return found.select("sales_sk", F.col("indicators")[0].alias("customer"), F.col("indicators")[1].alias("product"))
+
+
 @query(
     "prepare_sales",
     star_sql(

@@ -21,6 +21,7 @@ from salescope.functions.columns import (
 from salescope.operators.ordered import exact_quantiles, ordered_scan
 from salescope.operators.profiling import column_profile
 from salescope.plans.datasets import LEAKAGE_COLUMNS, TARGETS, protected_columns
+from salescope.session import durable
 
 # ---- fixed values ----
 HIGH_CARDINALITY = 0.95
@@ -247,6 +248,29 @@ def _values(df: DataFrame, column: str) -> list[str]:
     return [r[0] for r in values.orderBy(column).collect()]
 
 
+def sparse_indicators(
+    df: DataFrame, columns: Sequence[str], name: str = "indicators"
+) -> tuple[DataFrame, DataFrame]:
+    """Indicators of any number of values, as the positions of the ones.
+
+    Returns ``df`` with ``name``, the ascending positions in place of ``columns``, and
+    the dictionary ``(position, column_name, value)``: columns in the given order,
+    values sorted.  Neither passes through the driver.  A null has no position.
+    """
+    cells = [F.struct(F.lit(n).alias("n"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for n, c in enumerate(columns)]
+    values = df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").filter("value IS NOT NULL").distinct()
+    scan = ordered_scan(values, [F.col("n"), F.col("value")], row_number="__row")
+    dictionary = durable(scan.select((F.col("__row") - 1).alias("position"), "column_name", "value"))
+    out = df
+    for n, column in enumerate(columns):
+        own = dictionary.filter(F.col("column_name") == column)
+        own = own.select(F.col("value").alias(f"__value_{n}"), F.col("position").alias(f"__at_{n}"))
+        out = out.join(own, F.col(column).cast("string") == F.col(f"__value_{n}"), "left").drop(f"__value_{n}")
+    places = F.array_compact(F.array(*[F.col(f"__at_{n}") for n in range(len(columns))]))
+    out = out.withColumn(name, places).drop(*columns, *[f"__at_{n}" for n in range(len(columns))])
+    return out, dictionary
+
+
 def prepare(
     df: DataFrame,
     dates: Sequence[str] = (),
@@ -257,9 +281,10 @@ def prepare(
 ) -> DataFrame:
     """Calendar parts, indicators, codes and scaling of chosen columns in one go.
 
-    ``categories`` get one indicator per value, however many there are; a column
-    with very many values belongs in ``codes``, which gives it one column of
-    sorted codes.  Any ``scaling`` but "standard" means min-max.
+    ``categories`` get one indicator per value, however many there are, and their
+    values pass through the driver.  A column with very many values belongs in
+    ``codes``, which gives it one column of sorted codes, or to
+    ``sparse_indicators``.  Any ``scaling`` but "standard" means min-max.
     """
     for column in dates:
         df = calendar_parts(df, column)

@@ -21,6 +21,25 @@ def test_indicators_have_no_limit(spark):
     assert codes.agg(F.count_distinct("c")).first()[0] == 1500
 
 
+def test_sparse_indicators_equal_wide_ones(spark):
+    rows = [(n, f"c{n * 7 % 50:02d}" if n % 9 else None, n % 4 if n % 5 else None) for n in range(300)]
+    df = spark.createDataFrame(rows, "id long, c string, d int").repartition(4)
+    out, dictionary = preprocess.sparse_indicators(df, ["c", "d"])
+    names = [(r.position, r.column_name, r.value) for r in dictionary.orderBy("position").collect()]
+    values = [("c", v) for v in sorted({r[1] for r in rows} - {None})] + [("d", str(v)) for v in range(4)]
+    assert names == [(k, *v) for k, v in enumerate(values)]
+    for r in out.collect():
+        own = [(c, str(v)) for c, v in zip(("c", "d"), rows[r.id][1:]) if v is not None]
+        assert [values[k] for k in r.indicators] == own
+    assert out.columns == ["id", "indicators"]
+    many = spark.range(60_000).select(F.format_string("c%06d", F.col("id") % 20_000).alias("c"))
+    out, dictionary = preprocess.sparse_indicators(many, ["c"])
+    assert dictionary.count() == 20_000
+    assert out.agg(F.sum(F.col("indicators")[0])).first()[0] == 3 * sum(range(20_000))
+    none, dictionary = preprocess.sparse_indicators(df.limit(0), ["c", "d"])
+    assert none.count() == dictionary.count() == 0
+
+
 def test_matrix_keeps_labels_nobody_listed(frame):
     df = frame("r string, c string, v double", ("a", "x", 1.0), ("a", "NEW", 3.0), ("a", "x", 2.0), ("b", "NEW", None))
     got = {(r.r, r.c): r["mean"] for r in distribution.mean_matrix(df, "r", "c", "v").collect()}
