@@ -123,11 +123,19 @@ def jdbc_writer(url: str, **options: str) -> Callable[[str, DataFrame], None]:
     return write
 
 
-def bucketed_writer(key: str, buckets: int) -> Callable[[str, DataFrame], None]:
-    """Bucket a table by a join key, so later joins on it need no shuffle."""
+def bucketed_writer(key: str, buckets: int, folder: str | None = None) -> Callable[[str, DataFrame], None]:
+    """Bucket a table by a join key, so later joins and groups on it need no shuffle.
+
+    Tables that are joined want the same key type and number of buckets.  With
+    ``folder`` the files go there and not to the warehouse.
+    """
 
     def write(name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        # One task per bucket, so a bucket is one file and comes sorted.
+        dealt = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+        if folder:
+            dealt = dealt.option("path", f"{folder}/{name}")
+        dealt.saveAsTable(name)
 
     return write
 

@@ -69,6 +69,29 @@ def odd_events(frame):
                  ("4", 0, 0, 1.0, None), ("5", 1, None, 1.0, None))
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, small, tmp_path):
+    star = adapter.star(spark, small)
+    write = tables.bucketed_writer("customer_sk", 6, str(tmp_path))
+    readers = {"bucketed sales": lambda: star.fact_sales, "bucketed customers": lambda: star.customers, "gone": lambda: 1 / 0}
+    report = {r.table_name: r.loaded for r in tables.load_tables(spark, readers, write).collect()}
+    assert report == {"bucketed_sales": True, "bucketed_customers": True, "gone": False}
+    sales, people = spark.table("bucketed_sales"), spark.table("bucketed_customers")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = sales.join(people, "customer_sk", "left")
+        summed = joined.groupBy("customer_sk", "customer_segment").agg(F.sum("total_amount").alias("x"))
+        plan = summed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        want = star.fact_sales.join(star.customers, "customer_sk", "left").groupBy("customer_sk", "customer_segment")
+        want = want.agg(F.sum("total_amount").alias("x"))
+        assert sorted(map(str, summed.collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE bucketed_sales")
+        spark.sql("DROP TABLE bucketed_customers")
+
+
 def test_dead_letters(odd_events):
     valid, dead = metrics.split_events(odd_events)
     assert sorted(r.sales_id for r in valid.collect()) == ["1", "4"]
