@@ -371,7 +371,12 @@ def challenge(
 ) -> tuple[ModelPackage, bool]:
     """The challenger wins if it gains at least ``threshold`` on the same test rows."""
     test = durable(test)
-    before = champion.headline(champion.evaluate(test))
-    after = challenger.headline(challenger.evaluate(test))
-    won = after - before >= threshold
+    won = wins(champion, champion.evaluate(test), challenger.evaluate(test), threshold)
     return (challenger if won else champion), won
+
+
+def wins(
+    champion: ModelPackage, before: Mapping[str, float], after: Mapping[str, float], threshold: float = 0.0
+) -> bool:
+    """Whether the scores ``after`` gain at least ``threshold`` over the champion's."""
+    return champion.headline(after) - champion.headline(before) >= threshold

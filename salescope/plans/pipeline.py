@@ -130,7 +130,7 @@ def ingest_and_retrain(
     star = replace(context.star, fact_sales=fact)
     registry = models.build_model_registry()
     prepared, usage = learn_from(star, context.sample_size)
-    packages, status = {}, {}
+    packages, status, scores = {}, {}, {}
     trained = train_all(prepared, registry, **context.options)
     for name, (df, _) in prepared.items():
         current, fresh = context.packages.get(name), trained[name]
@@ -140,20 +140,30 @@ def ingest_and_retrain(
             # no champion, or one that needs inputs the data no longer has
             packages[name], status[name] = fresh, "initial_training"
         else:
-            winner, won = models.challenge(current, fresh, df.filter("split = 'test'"), threshold)
-            packages[name], status[name] = winner, "updated" if won else "kept"
+            # The new model was scored on these test rows when it was trained.
+            before = current.evaluate(df.filter("split = 'test'"))
+            won = models.wins(current, before, fresh.score, threshold)
+            packages[name], status[name] = (fresh, "updated") if won else (current, "kept")
+            scores[name] = fresh.score if won else before
         if model_dir and status[name] != "kept":
             models.save_package(spark, packages[name], model_dir)
     frames = {name: df for name, (df, _) in prepared.items()}
     updated = replace(context, star=star, prepared=frames, packages=packages, usage=usage)
-    board = dashboard(context, updated, received, status)
+    board = dashboard(context, updated, received, status, scores)
     return updated, board
 
 
 def dashboard(
-    before: PipelineContext, after: PipelineContext, received: DataFrame, status: Mapping[str, str]
+    before: PipelineContext,
+    after: PipelineContext,
+    received: DataFrame,
+    status: Mapping[str, str],
+    scores: Mapping[str, Mapping[str, float]],
 ) -> DataFrame:
-    """``(section, name, metric, value, detail)`` rows of an ingest run."""
+    """``(section, name, metric, value, detail)`` rows of an ingest run.
+
+    ``scores`` are those of the models, kept or new, on the test rows of this run.
+    """
     spark = received.sparkSession
 
     def counted(df: DataFrame, section: str, name: str, metric: str) -> DataFrame:
@@ -178,8 +188,7 @@ def dashboard(
         known += [("models", name, f"parameter_{k}", None, str(v)) for k, v in package.parameters.items()]
         if package.model is None:
             continue
-        # Kept or new, the model is judged on the rows of this run.
-        score = package.evaluate(after.prepared[name].filter("split = 'test'"))
+        score = scores.get(name, package.score)  # a first model was scored on this run's rows
         known += [("models", name, k, v, None) for k, v in score.items()]
         known += [("importance", name, f, v, None) for f, v in package.model.importances().items()]
     schema = "section string, name string, metric string, value double, detail string"
