@@ -222,3 +222,18 @@ def test_customer_features_expand_no_rows(spark, small, monkeypatch):
     features.customer_features(adapter.fact_sales(spark, small), adapter.customers(spark, small))
     features.product_features(adapter.fact_sales(spark, small), adapter.products(spark, small))
     assert len(plans) == 2 and not any("Expand" in plan for plan in plans)
+
+
+def test_distinct_counts_of_wide_keys_take_one_pass_and_no_bitmaps(spark, monkeypatch):
+    from salescope.operators import aggregates
+
+    plans = []
+    keep = aggregates.durable
+    monkeypatch.setattr(aggregates, "durable", lambda df: plans.append(df._jdf.queryExecution().toString()) or keep(df))
+    rows = [(n % 40, 1_000_000 + n % 900, n % 5) for n in range(4_000)]
+    df = spark.createDataFrame(rows, "g long, a long, b long")
+    found = with_distinct_counts(df, ["g"], {"na": "a", "nb": "b"}, [F.count(F.lit(1)).alias("n")]).collect()
+    for r in found:
+        own = [x for x in rows if x[0] == r.g]
+        assert (r.n, r.na, r.nb) == (len(own), len({x[1] for x in own}), len({x[2] for x in own}))
+    assert len(found) == 40 and len(plans) == 1 and "bitmap" not in plans[0]
