@@ -178,3 +178,15 @@ def test_models_come_back(spark, tmp_path):
     shares = model.importances()
     assert shares == again.importances() and sum(shares.values()) == pytest.approx(1)
     assert max(shares, key=shares.get) == "a" and shares["same"] == 0
+
+
+def test_a_table_of_one_block_takes_as_many_jobs_for_many_trees(spark):
+    context, jobs = spark.sparkContext, {}
+    table = boosting.table("t", frame(spark, rows()), FEATURES, "y", ["id"])
+    for trees in (2, 60):
+        context.setJobGroup(f"grow-{trees}", "grow")
+        grown, _ = boosting.grow(spark, [table], [Run("t", Settings(trees, 2, 0.3), fold, (trees,) if fold else ()) for fold in (None, 1)])
+        context.setJobGroup("other", "other")
+        assert [len(g.trees) for g in grown] == [trees, trees]
+        jobs[trees] = len(context.statusTracker().getJobIdsForGroup(f"grow-{trees}"))
+    assert jobs[2] == jobs[60] > 0
