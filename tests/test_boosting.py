@@ -190,3 +190,21 @@ def test_a_table_of_one_block_takes_as_many_jobs_for_many_trees(spark):
         assert [len(g.trees) for g in grown] == [trees, trees]
         jobs[trees] = len(context.statusTracker().getJobIdsForGroup(f"grow-{trees}"))
     assert jobs[2] == jobs[60] > 0
+
+
+@pytest.mark.parametrize("classes, share", [(False, 1.0), (True, 0.6)])
+def test_rows_stay_with_their_node_to_the_leaf(classes, share):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 20, (3, 400)).astype(np.uint8)
+    y = ((x[0] > 9).astype(float) + x[1] % 2 + rng.random(400) > 1).astype(float)
+    key = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    part = boosting.Part("t", x, y, np.ones(400), np.arange(400) % 3, key, {}, {})
+    run = Run("t", Settings(1, 5, 0.1, row_share=share), 2)
+    job = boosting.Batch((run,), {"t": (3, classes, False)}, ((0.0, 1.0),), 7).job(0, 0)
+    learned = job.learns_from(part)
+    growth, ends = job.whole(part, np.zeros(400))
+    leaf = growth.tree().leaf_of(x)
+    assert len(ends) > 4 and sorted(r for both in ends.values() for rows in both for r in rows) == list(range(400))
+    for node, (used, others) in ends.items():
+        assert (leaf[used] == node).all() and (leaf[others] == node).all()
+        assert learned[used].all() and not learned[others].any()
