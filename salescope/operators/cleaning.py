@@ -17,7 +17,12 @@ UNKNOWN = "Unknown"
 
 
 def clean_dataframe(df: DataFrame) -> DataFrame:
-    """Distinct rows, then infinities to NULL, text dates parsed, text trimmed.
+    """Distinct rows, then ``clean_columns``."""
+    return clean_columns(df.dropDuplicates())
+
+
+def clean_columns(df: DataFrame) -> DataFrame:
+    """Infinities to NULL, text dates parsed, text trimmed.
 
     A column is a date when its name contains "date"; text that is no date
     becomes NULL.  NULL text stays NULL.
@@ -30,8 +35,7 @@ def clean_dataframe(df: DataFrame) -> DataFrame:
             trimmed = F.trim(field.name)
             is_date = "date" in field.name.lower()
             changes[field.name] = F.try_to_timestamp(trimmed) if is_date else trimmed
-    out = df.dropDuplicates()
-    return out.withColumns(changes) if changes else out
+    return df.withColumns(changes) if changes else df
 
 
 def clean_star(star: StarSchema) -> StarSchema:

@@ -352,3 +352,18 @@ def test_a_star_is_picked_by_long_or_short_names(spark, small):
     del mixed["stores"]
     with pytest.raises(ValueError, match="dim_stores"):
         StarSchema.from_tables(mixed)
+
+
+def test_a_new_row_adds_one_row_of_sums(spark, small, tmp_path):
+    sales = durable(adapter.fact_sales(spark, small))
+    store = ingest.SalesStore(spark, str(tmp_path))
+    store.ingest(sales.filter("sales_date < '1998-01-01'"), 0)
+    new = store.ingest(sales.unionByName(sales), 1)  # copies within a load come once
+    assert new.count() == sales.filter("sales_date >= '1998-01-01' OR sales_date IS NULL").distinct().count()
+    sums = spark.read.parquet(f"{tmp_path}/sums/batch-1")
+    met = new.select(*ingest.KEYS).distinct().count()
+    days = new.select(F.to_date("sales_date")).distinct().count()
+    assert sums.count() == met + days and sums.agg(F.sum("n")).first()[0] == 2 * new.count()
+    # A bucket's rows meet in one task, which writes them as one file.
+    files = new.select(F.input_file_name().alias("f"))
+    assert files.distinct().count() == new.select(ingest.bucket_of(sales.columns)).distinct().count()
