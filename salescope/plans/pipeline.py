@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.operators.cleaning import clean_dataframe, clean_ml_dataframe, clean_star
+from salescope.operators.cleaning import clean_columns, clean_dataframe, clean_ml_dataframe, clean_star
 from salescope.operators.validation import validate_star_schema
 from salescope.plans import datasets, features, manifest, models, preprocess, splits
 from salescope.session import durable
@@ -110,8 +110,11 @@ def run_initial_pipeline(
 
 
 def ingest_union(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """History plus cleaned new rows, equal rows once."""
-    return history.unionByName(clean_dataframe(incoming)).dropDuplicates()
+    """History plus cleaned new rows, equal rows once.
+
+    The new rows are not made distinct before: a task would hold them twice.
+    """
+    return history.unionByName(clean_columns(incoming)).dropDuplicates()
 
 
 def ingest_and_retrain(

@@ -5,6 +5,7 @@ from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from salescope.operators.neighbors import kneighbors
@@ -367,3 +368,14 @@ def test_a_new_row_adds_one_row_of_sums(spark, small, tmp_path):
     # A bucket's rows meet in one task, which writes them as one file.
     files = new.select(F.input_file_name().alias("f"))
     assert files.distinct().count() == new.select(ingest.bucket_of(sales.columns)).distinct().count()
+
+
+def test_new_rows_are_made_distinct_once(spark):
+    schema = "k long, name string, v double"
+    old = spark.createDataFrame([(1, "a", 1.0), (1, "a", 1.0), (2, None, 2.0)], schema)
+    new = spark.createDataFrame([(2, None, 2.0), (3, " b", 1.0), (3, "b ", 1.0), (4, "c", float("inf")), (4, "c", None)], schema)
+    found = pipeline.ingest_union(old, new)
+    assert sorted(map(str, found.collect())) == sorted(map(str, [
+        Row(k=1, name="a", v=1.0), Row(k=2, name=None, v=2.0), Row(k=3, name="b", v=1.0), Row(k=4, name="c", v=None)]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
