@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from salescope.catalog.registry import as_days, query, rounded, star_sql
 from salescope.functions.columns import string_columns
 from salescope.operators import cleaning, distribution, profiling, validation
-from salescope.plans import datasets, features
-from salescope.session import durable
+from salescope.plans import datasets
+from salescope.session import written
 from salescope.sources import adapter
 from salescope.sources.schema import StarSchema
 
@@ -250,11 +250,10 @@ ROLES_SQL = "roles AS (SELECT * FROM (VALUES {}) r(dataset, column_name, role))"
 
 def _of_all(spark, folder, look):
     """What ``look(name, frame)`` finds in every model data set."""
-    from salescope.catalog.datasets import DATASETS
+    from salescope.catalog.datasets import all_datasets
 
     parts = []
-    for name, build in DATASETS.items():
-        frame = build(spark, folder)
+    for name, frame in all_datasets(spark, folder).items():
         frame = as_days(frame, *[c for c, kind in frame.dtypes if kind.startswith("timestamp")])
         parts.append(look(name, frame).withColumn("dataset", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
@@ -299,11 +298,12 @@ _STATS_SQL = """SELECT '{view}' AS dataset, '{column}' AS column_name,
 @query("feature_profile", star_sql(_columns_sql(FEATURE_COLUMNS, _STATS_SQL)))
 def feature_profile(spark, folder):
     """All columns of the four feature tables."""
-    star = adapter.star(spark, folder)
+    from salescope.catalog.datasets import feature_frames
+
     parts = []
-    for name, df in features.feature_tables(star.fact_sales, star.customers, star.products).items():
+    for name, df in feature_frames(spark, folder).items():
         df = as_days(df, *[c for c, kind in df.dtypes if kind.startswith("timestamp")])
-        parts.append(profiling.inspect_dataset(durable(df)).withColumn("dataset", F.lit(name)))
+        parts.append(profiling.inspect_dataset(written(df, name)).withColumn("dataset", F.lit(name)))
     found = rounded(reduce(DataFrame.unionByName, parts), "skew", "p25", "p50", "p75", digits=4)
     return rounded(found, "mean", "std", digits=2)
 
@@ -358,11 +358,11 @@ def high_cardinality_columns(spark, folder):
 )
 def target_distribution(spark, folder):
     """How often every value of every target occurs."""
-    from salescope.catalog.datasets import DATASETS
+    from salescope.catalog.datasets import all_datasets
 
-    parts = []
+    parts, frames = [], all_datasets(spark, folder)
     for name, targets in datasets.TARGETS.items():
-        frame = DATASETS[name](spark, folder) if targets else None
+        frame = frames[name]
         for target in targets:
             found = distribution.target_distribution(frame, target)
             value = F.col(target).cast("double").alias("value")

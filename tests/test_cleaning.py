@@ -1,7 +1,9 @@
 """Cleaning, validation, profiling and preprocessing on hand-made rows."""
 
 import datetime as dt
+import io
 import math
+from contextlib import redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
@@ -102,6 +104,26 @@ def test_duplicates_and_constants(frame):
                    ("duplicate_rows", ""): 1, ("constant", "b"): 0, ("target_values", "a"): 2}
 
 
+def test_profile_counts_values_of_all_types(frame):
+    df = frame(
+        "x double, n int, s string, b boolean, d date, f float",
+        (0.0, 1, "1", True, dt.date(2024, 1, 1), 0.5), (-0.0, 1, "1.0", False, None, 0.5),
+        (float("nan"), None, None, None, None, 0.25), (None, None, "1", True, None, None),
+    )
+    got = {r.column_name: tuple(r)[1:] for r in profiling.column_profile(df).collect()}
+    # rows, nulls, distinct values, rows of the most frequent value; -0.0 equals 0.0
+    assert got == {"x": (4, 1, 2, 2), "n": (4, 2, 1, 2), "s": (4, 1, 2, 2), "b": (4, 1, 2, 2),
+                   "d": (4, 3, 1, 3), "f": (4, 1, 2, 2)}
+
+
+def test_a_data_set_is_profiled_once(spark):
+    df = spark.range(5).withColumn("y", F.col("id") % 2)
+    out = io.StringIO()
+    with redirect_stdout(out):
+        profiling.validate_ml_dataframe(df, ["y"]).explain()
+    assert out.getvalue().count("Generate explode") == 1
+
+
 def test_constant_and_high_cardinality_limits(spark):
     df = spark.range(100).select(
         F.when(F.col("id") < 99, 1).otherwise(2).alias("c99"),
