@@ -52,10 +52,10 @@ def with_distinct_counts(
             bit = F.when(near, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(c).cast("int")))
             columns.append(F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).alias(f"__near_{n}"))
             far = far & ~near
-        pairs.append(F.when(far, F.struct(F.lit(k).alias("kind"), F.col(c).cast(wide).alias("value"))))
+        pairs.append(F.struct(F.lit(k).alias("kind"), F.when(far, F.col(c).cast(wide)).alias("value")))
     sums = df.groupBy(*by).agg(*aggregates, *columns)
     keys = [F.col(c).alias(f"__by_{c}") for c in by]
-    rows = df.select(*keys, F.explode(F.array_compact(F.array(*pairs))).alias("__p"))
+    rows = df.select(*keys, F.explode(F.array(*pairs)).alias("__p")).filter("__p.value IS NOT NULL")
     own = [f"__by_{c}" for c in by]
     rows = rows.select(*own, "__p.kind", "__p.value", F.pmod(F.xxhash64("__p.value"), F.lit(SALTS)).alias("__salt"))
     # Equal values are neighbours of a sort, which holds less than a table of all values and can spill.
