@@ -249,13 +249,15 @@ ROLES_SQL = "roles AS (SELECT * FROM (VALUES {}) r(dataset, column_name, role))"
 
 
 def _of_all(spark, folder, look):
-    """What ``look(name, frame)`` finds in every model data set."""
+    """What ``look(name, frame)`` finds in every model data set; None where there is nothing to look at."""
     from salescope.catalog.datasets import all_datasets
 
     parts = []
     for name, frame in all_datasets(spark, folder).items():
         frame = as_days(frame, *[c for c, kind in frame.dtypes if kind.startswith("timestamp")])
-        parts.append(look(name, frame).withColumn("dataset", F.lit(name)))
+        found = look(name, frame)
+        if found is not None:
+            parts.append(found.withColumn("dataset", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -338,7 +340,11 @@ def constant_columns(spark, folder):
 )
 def high_cardinality_columns(spark, folder):
     def look(name, df):
-        found = profiling.high_cardinality_columns(profiling.column_profile(df), string_columns(df))
+        text = string_columns(df)
+        if not text:
+            return None  # and the data set is not built for it
+        # Only text is judged, so only text is counted.
+        found = profiling.high_cardinality_columns(profiling.column_profile(df.select(*text)), text)
         return found.select("column_name", "distinct_values")
 
     return _of_all(spark, folder, look)

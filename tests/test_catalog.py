@@ -106,3 +106,15 @@ def test_data_sets_share_their_sales_and_features(spark, small, name, monkeypatc
     assert sorted(m for m, _ in seen) == ["customer_features", "product_features"]
     # Both read the joined sales where they were written, not the tables.
     assert all("/sales-" in file for _, files in seen for file in files)
+
+
+def test_only_text_is_counted_for_its_cardinality(spark, small, monkeypatch):
+    from salescope.operators import profiling
+
+    seen = []
+    real = profiling.column_profile
+    monkeypatch.setattr(profiling, "column_profile", lambda df: seen.append(df.dtypes) or real(df))
+    found = QUERIES["high_cardinality_columns"](spark, small)
+    # Churn, ltv and demand have text; days and pairs have none, so they aren't built.
+    assert len(seen) == 3 and {kind for columns in seen for _, kind in columns} == {"string"}
+    assert found.columns == ["column_name", "distinct_values", "dataset"]
