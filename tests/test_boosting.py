@@ -208,3 +208,23 @@ def test_rows_stay_with_their_node_to_the_leaf(classes, share):
     for node, (used, others) in ends.items():
         assert (leaf[used] == node).all() and (leaf[others] == node).all()
         assert learned[used].all() and not learned[others].any()
+
+
+@pytest.mark.parametrize("columns, calls", [((0, 1, 2, 3), 4), ((3, 0, 2), 4), ((1,), 2)])
+def test_two_columns_are_counted_in_one_pass(monkeypatch, columns, calls):
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, boosting.BINS, (4, 5_000)).astype(np.uint8)
+    rows = np.sort(rng.choice(5_000, 4_000, replace=False))
+    slots, first, second = np.sort(rng.integers(0, 3, 4_000)), np.rint(rng.normal(size=4_000) * 2.0**28), np.full(4_000, 2.0**24)
+    want = np.zeros((3, 3, len(columns), boosting.BINS), dtype=np.int64)
+    for k, c in enumerate(columns):
+        for figure, w in enumerate((first, second, np.ones(4_000))):
+            np.add.at(want[figure, :, k], (slots, bins[c, rows]), w.astype(np.int64))
+    made, real = [], np.bincount
+    monkeypatch.setattr(boosting.np, "bincount", lambda *a, **k: made.append(a) or real(*a, **k))
+    found = boosting.histograms(bins, columns, rows, slots, 3, first, second)
+    assert len(made) == calls
+    np.testing.assert_array_equal(found, want)
+    # With few rows a slot the cells of two columns would cost more than they save.
+    few = boosting.histograms(bins, columns, rows[:50], slots[:50], 3, first[:50], second[:50])
+    assert few[2].sum() == 50 * len(columns) and len(made) == calls + 2 * len(columns)
