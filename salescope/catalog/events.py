@@ -46,7 +46,7 @@ def event_bank_roundtrip(spark, folder):
     """Write the whole fact as JSON batches and read all of its columns back."""
     bank = fresh(spark, "bank")
     sales = adapter.fact_sales(spark, folder)
-    transport.write_event_bank(sales, bank)
+    transport.write_event_bank(sales, bank, compression="gzip")
     return (
         transport.read_event_bank(spark, bank, sales.schema)
         .groupBy("customer_sk")
@@ -99,8 +99,9 @@ def stream_row_events(spark, folder):
     """Produce row events of all star tables, consume them as one stream, route by table."""
     topic = fresh(spark, "topic")
     envelopes = reduce(DataFrame.unionByName, [_envelopes(spark, folder, t) for t in ROW_TABLES])
-    transport.send_to_files(envelopes, topic)
-    key = F.coalesce(*[F.get_json_object("payload", f"$.{c}") for c in ROW_TABLES.values()])
+    transport.send_to_files(envelopes, topic, compression="gzip")
+    # Each payload is searched for the key of its own table only.
+    key = F.coalesce(*[F.when(F.col("table") == t, F.get_json_object("payload", f"$.{c}")) for t, c in ROW_TABLES.items()])
     return metrics.running_aggregate(
         transport.stream_from_files(spark, topic).filter(F.col("event_type") == "row_loaded"),
         ["table"],

@@ -14,6 +14,7 @@ from salescope.sources.schema import ENVELOPE_SCHEMA, EVENT_SCHEMA
 BATCH_SIZE = 5000
 ROW_LOADED = "row_loaded"
 # ---- end of fixed values ----
+FILE_EVENTS = 1_000_000  # some 30 MB of compressed envelopes
 # Spark's own JSON form would cut times to milliseconds.
 ISO_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -21,10 +22,12 @@ ISO_TIMES = {
 }
 
 
-def write_event_bank(events: DataFrame, folder: str, batch_size: int = BATCH_SIZE) -> None:
+def write_event_bank(
+    events: DataFrame, folder: str, batch_size: int = BATCH_SIZE, compression: str = "none"
+) -> None:
     """JSON files of at most ``batch_size`` events each, all columns, dates in ISO form."""
     writer = events.write.mode("overwrite").option("maxRecordsPerFile", batch_size)
-    writer.options(**ISO_TIMES).json(folder)
+    writer.options(**ISO_TIMES, compression=compression).json(folder)
 
 
 def read_event_bank(
@@ -55,9 +58,15 @@ def _as_messages(envelopes: DataFrame) -> DataFrame:
     return envelopes.select(F.to_json(F.struct("event_type", "table", "payload")).alias("value"))
 
 
-def send_to_files(envelopes: DataFrame, folder: str) -> None:
-    """Append the envelopes as JSON lines; the stand-in for a topic."""
-    _as_messages(envelopes).write.mode("append").text(folder)
+def send_to_files(envelopes: DataFrame, folder: str, compression: str = "none") -> None:
+    """Append the envelopes as JSON lines; the stand-in for a topic.
+
+    A compressed file is read by one task, so it has at most ``FILE_EVENTS`` of them.
+    """
+    writer = _as_messages(envelopes).write.mode("append").option("compression", compression)
+    if compression != "none":
+        writer = writer.option("maxRecordsPerFile", FILE_EVENTS)
+    writer.text(folder)
 
 
 def send_to_kafka(envelopes: DataFrame, servers: str, topic: str) -> None:

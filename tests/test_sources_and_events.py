@@ -7,6 +7,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from salescope import catalog
+from salescope.catalog import events as catalog_events
 from salescope.sources import adapter, tables
 from salescope.streaming import metrics, state, transport
 
@@ -218,3 +220,42 @@ def test_summary_equals_batch(spark, small, tmp_path):
 
 def test_preview(frame):
     assert [r.a for r in tables.preview(frame("a long", 3, 1, 2), "a", 2).collect()] == [1, 2]
+
+
+def _packed(folder) -> int:
+    """The bytes of a folder's data files, all of which are compressed."""
+    files = [p for p in folder.rglob("part-*")]
+    assert files and all(p.name.endswith(".gz") for p in files)
+    return sum(p.stat().st_size for p in files)
+
+
+def test_a_topic_in_compressed_files(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(transport, "FILE_EVENTS", 500)
+    events = transport.row_events(adapter.table(spark, small, "orders"), "orders")
+    transport.send_to_files(events, str(tmp_path / "plain"))
+    transport.send_to_files(events, str(tmp_path / "packed"), compression="gzip")
+    plain = sum(p.stat().st_size for p in (tmp_path / "plain").glob("part-*"))
+    assert _packed(tmp_path / "packed") < plain / 4
+    # A file is read by one task, so none has very many events.
+    counts = spark.read.text(str(tmp_path / "packed")).groupBy(F.input_file_name()).count().collect()
+    assert len(counts) > 1 and max(r["count"] for r in counts) <= 500
+    back = transport.decode(spark.read.text(str(tmp_path / "packed"))).drop("raw")
+    assert sorted(back.collect()) == sorted(events.collect())
+
+
+def test_a_bank_in_compressed_files(spark, small, tmp_path):
+    events = adapter.sales_events(spark, small)
+    transport.write_event_bank(events, str(tmp_path / "plain"), batch_size=300)
+    transport.write_event_bank(events, str(tmp_path / "packed"), batch_size=300, compression="gzip")
+    plain = sum(p.stat().st_size for p in (tmp_path / "plain").glob("part-*"))
+    assert _packed(tmp_path / "packed") < plain / 2
+    counts = spark.read.text(str(tmp_path / "packed")).groupBy(F.input_file_name()).count().collect()
+    assert len(counts) == 4 and max(r["count"] for r in counts) <= 300
+    assert sorted(transport.read_event_bank(spark, str(tmp_path / "packed")).collect()) == sorted(events.collect())
+
+
+@pytest.mark.parametrize("name, folder", [("event_bank_roundtrip", "bank"), ("stream_row_events", "topic")])
+def test_queries_keep_what_they_write_compressed(spark, small, tmp_path, monkeypatch, name, folder):
+    monkeypatch.setattr(catalog_events, "fresh", lambda spark, kind: str(tmp_path / kind))
+    assert catalog.load()[name].run(spark, small).count() > 0
+    assert _packed(tmp_path / folder) > 0
