@@ -274,3 +274,41 @@ def test_a_run_over_millions_of_rows_takes_one_task():
     leaf = first.leaf_of(x)
     for node in np.unique(leaf):
         assert first.value[node] == pytest.approx(part.y[leaf == node].sum() / ((leaf == node).sum() + 1), rel=1e-6)
+
+
+def test_only_the_best_is_fitted_over_all_rows(spark, monkeypatch):
+    """Tasks over the same rows share their layout and their fits of the folds; the models are those of all rows."""
+    data = rows()
+    train = frame(spark, data).drop("fold")
+    spec = models.build_model_registry()["ltv"]
+    grid = {"n_estimators": [2, 4], "max_depth": [1, 3], "min_child_samples": [5]}
+    tasks = {
+        name: models.make_task(spec, train, FEATURES, "y", ["id"], None, grid=some)
+        for name, some in {"all": grid, "deep": grid | {"max_depth": [3, 4]}}.items()
+    }
+    grown, grow = [], boosting.grow
+    monkeypatch.setattr(boosting, "grow", lambda s, tables, runs, seed=0: grown.append((tables, runs)) or grow(s, tables, runs, seed))
+    found = models.search_all(tasks)
+    (tables, folds), (_, whole) = grown
+    assert len(tables) == 1 and len(folds) == 3 * models.FOLDS and all(run.fold is not None for run in folds)
+    assert [run.fold for run in whole] == [None, None]
+    for name, task in tasks.items():
+        alone = models.search_all({name: task})[name]
+        assert alone.scores == found[name].scores and alone.best == found[name].best
+        assert len(alone.scores) == 4 and all(len(s) == models.FOLDS for s in alone.scores)
+        best = models.tree_settings(task.candidates[alone.best], spec.deepest)
+        want = grow(spark, tables, [Run("all", best)], models.SEED)[0][0].trees
+        assert len(found[name].model.trees) == best.trees
+        for a, b in zip(found[name].model.trees, want, strict=True):
+            assert all((getattr(a, n) == getattr(b, n)).all() for n in ("feature", "cut", "value"))
+
+
+def test_a_plan_that_comes_twice_is_laid_out_once(spark, monkeypatch):
+    data = frame(spark, rows()).withColumn("split", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    spec = models.build_model_registry()["ltv"]
+    plan = models.Plan(spec, data, tuple(FEATURES), "y", ("id",))
+    laid, table = [], boosting.table
+    monkeypatch.setattr(boosting, "table", lambda *a: laid.append(a[0]) or table(*a))
+    both = models.train_models({"a": plan, "b": plan}, seeds={"b": 1}, draws=2, grid=spec.grid | {"n_estimators": [3]})
+    assert laid == ["a"] and set(both) == {"a", "b"}
+    assert all(len(p.model.trees) == 3 and set(p.score) for p in both.values())
